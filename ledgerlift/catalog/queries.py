@@ -688,7 +688,7 @@ def cluster_profile_full(lake: Lake) -> DataFrame:
 
 @query("segment_features")
 def segment_features(lake: Lake) -> DataFrame:
-    return rounded(segmentation.prepare_features(lake.customer_summary()), 2, "desvio_padrao_brl", "ticket_medio_brl")
+    return rounded(segmentation.prepare_features(lake.customer_summary()), 2, "desvio_padrao_brl")
 
 
 @query("scaled_features")

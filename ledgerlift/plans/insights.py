@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlift.operators.ordering import ntile_of, quantiles, rank_descending
 from ledgerlift.operators.quality import union_all
 
-EVERYTHING = W.partitionBy()
 REVENUE = "total_receita_brl"
 
 
@@ -44,7 +45,7 @@ def _revenue_by(enriched: DataFrame, key: str) -> DataFrame:
     grouped = enriched.groupBy(key).agg(
         F.sum("valor_brl").alias("receita_brl"), F.count("*").alias("quantidade_transacoes")
     )
-    return grouped.withColumn("participacao", percent(F.col("receita_brl"), F.sum("receita_brl").over(EVERYTHING)))
+    return grouped.withColumn("participacao", percent(F.col("receita_brl"), F.sum("receita_brl").over(W.partitionBy())))
 
 
 def revenue_by_account_type(enriched: DataFrame) -> DataFrame:
@@ -119,7 +120,7 @@ def pareto_curve(summary: DataFrame) -> DataFrame:
     )
 
 
-def vip_split(summary: DataFrame, top_share: float = 0.2) -> DataFrame:
+def vip_split(summary: DataFrame, top_share: Decimal = Decimal("0.2")) -> DataFrame:
     """Customers ranked within the top ``top_share`` (rounded up) against the rest."""
     vips = summary.agg(F.ceil(F.count("*") * F.lit(top_share))).scalar()
     group = F.when(F.col("posicao") <= vips, "VIP").otherwise("DEMAIS")
@@ -128,7 +129,7 @@ def vip_split(summary: DataFrame, top_share: float = 0.2) -> DataFrame:
         .groupBy(group.alias("grupo"))
         .agg(F.count("*").alias("clientes"), F.sum(REVENUE).alias("receita_brl"))
     )
-    return split.withColumn("participacao", percent(F.col("receita_brl"), F.sum("receita_brl").over(EVERYTHING)))
+    return split.withColumn("participacao", percent(F.col("receita_brl"), F.sum("receita_brl").over(W.partitionBy())))
 
 
 def revenue_tiers(summary: DataFrame, tiles: int = 3, label: str = "cluster") -> DataFrame:
@@ -166,7 +167,7 @@ def country_cluster_matrix(segments: DataFrame, labels: list[int], label: str =
 
 def cluster_distribution(segments: DataFrame, label: str = "cluster") -> DataFrame:
     sizes = segments.groupBy(label).agg(F.count("*").alias("clientes"))
-    return sizes.withColumn("percentual", percent(F.col("clientes"), F.sum("clientes").over(EVERYTHING)))
+    return sizes.withColumn("percentual", percent(F.col("clientes"), F.sum("clientes").over(W.partitionBy())))
 
 
 def cluster_rankings(segments: DataFrame, label: str = "cluster") -> DataFrame:
@@ -188,8 +189,8 @@ def cluster_ticket(segments: DataFrame, label: str = "cluster") -> DataFrame:
 def cluster_efficiency(segments: DataFrame, label: str = "cluster") -> DataFrame:
     """Revenue share over customer share."""
     sized = clusters_size_revenue(segments, label)
-    customers = F.col("clientes") / F.sum("clientes").over(EVERYTHING)
-    revenue = F.col("receita_brl").cast("double") / F.sum("receita_brl").over(EVERYTHING).cast("double")
+    customers = F.col("clientes") / F.sum("clientes").over(W.partitionBy())
+    revenue = F.col("receita_brl").cast("double") / F.sum("receita_brl").over(W.partitionBy()).cast("double")
     return sized.select(
         label,
         F.round(customers * 100, 4).alias("clientes_pct"),
