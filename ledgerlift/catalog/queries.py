@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlift.functions.columns import RATE, normalize_columns
-from ledgerlift.functions.country import country_currency, currency_country, currency_name, normalize_country
+from ledgerlift.functions.country import country_currency, currency_country, currency_name, with_country
 from ledgerlift.operators import cluster_metrics as cm, fx, quality
 from ledgerlift.operators.sizing import hot_keys
 from ledgerlift.plans import gold, insights, segmentation, silver
@@ -361,23 +361,21 @@ def silver_finalized(lake: Lake) -> DataFrame:
 
 @query("country_normalize")
 def country_normalize(lake: Lake) -> DataFrame:
-    return lake.bronze("cliente").select(
-        "id_cliente", "nome_cliente", normalize_country(F.col("pais_cliente")).alias("pais_normalizado")
-    )
+    named = with_country(lake.bronze("cliente"), "pais_cliente", "pais_normalizado")
+    return named.select("id_cliente", "nome_cliente", "pais_normalizado")
 
 
 @query("country_currency")
 def country_currencies(lake: Lake) -> DataFrame:
-    code = country_currency(normalize_country(F.col("pais_cliente")))
-    return (
-        lake.silver("cliente").select("id_cliente", code.alias("currency"))
-        .select("id_cliente", "currency", currency_name(F.col("currency")).alias("moeda"), currency_country(F.col("currency")).alias("pais_moeda"))
+    named = with_country(lake.silver("cliente"), "pais_cliente", "_country")
+    return named.select("id_cliente", country_currency("_country").alias("currency")).select(
+        "id_cliente", "currency", currency_name("currency").alias("moeda"), currency_country("currency").alias("pais_moeda")
     )
 
 
 def _receivable_stream(lake: Lake) -> DataFrame:
     people = fx.settle_currency(
-        gold.customer_lookup(lake.stored("cliente")).withColumn("currency", country_currency(F.col("pais_cliente"))),
+        gold.customer_lookup(lake.stored("cliente")).withColumn("currency", country_currency("pais_cliente")),
         fx.rate_history(lake.stored("exchange_rates")),
         "currency",
     )
@@ -413,7 +411,7 @@ def fx_asof_large(lake: Lake) -> DataFrame:
 @query("fx_unavailable")
 def fx_unavailable(lake: Lake) -> DataFrame:
     """Customers whose currency was never quoted and is treated as the home currency."""
-    wanted = gold.customer_lookup(lake.stored("cliente")).withColumn("moeda_pais", country_currency(F.col("pais_cliente")))
+    wanted = gold.customer_lookup(lake.stored("cliente")).withColumn("moeda_pais", country_currency("pais_cliente"))
     settled = fx.settle_currency(
         wanted.withColumn("currency", F.col("moeda_pais")), fx.rate_history(lake.stored("exchange_rates")), "currency"
     )

@@ -62,10 +62,9 @@ def mid_rate(buy: Column, sell: Column) -> Column:
     return F.round((buy + sell) / 2, 4).cast(RATE)
 
 
-def percent_equal(column: Column, value: str) -> Column:
+def percent_equal(column: str, value: str) -> str:
     """Share of rows equal to ``value`` in percent; null rows count in the denominator."""
-    hit = F.when(column == value, 1.0).otherwise(0.0)
-    return F.bround(F.avg(hit) * 100, 2)
+    return f"bround(avg(if({column} = '{value}', 1D, 0D)) * 100, 2)"
 
 
 def zero_if_null(name: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Currency code -> (name, country).
 CURRENCY_REFERENCE = {
@@ -46,38 +46,42 @@ COUNTRY_RULES = [
 BLANK_COUNTRY = "NAO INFORMADO"
 
 
-def _chain(pairs, otherwise: Column) -> Column:
-    """``CASE`` over (condition, value) pairs."""
-    head, *rest = pairs
-    expr = F.when(*head)
-    for condition, value in rest:
-        expr = expr.when(condition, value)
-    return expr.otherwise(otherwise)
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
-def normalize_country(value: Column) -> Column:
-    """Fold a free-text country to one spelling."""
-    letters = F.translate(F.upper(F.coalesce(value.cast("string"), F.lit(""))), ACCENTED, PLAIN)
-    text = F.trim(F.regexp_replace(F.regexp_replace(letters, "[^A-Z ]", " "), " +", " "))
-    rules = []
+def _case(subject: str, values: dict[str, str], otherwise: str) -> str:
+    whens = " ".join(f"WHEN {_literal(k)} THEN {_literal(v)}" for k, v in values.items())
+    return f"CASE {subject} {whens} ELSE {otherwise} END"
+
+
+def _rules(text: str) -> str:
+    whens = []
     for country, whole, parts in COUNTRY_RULES:
-        hit = F.lit(False) if not whole else text.isin(*whole)
-        for part in parts:
-            hit = hit | text.contains(part)
-        rules.append((hit, F.lit(country)))
-    return _chain(rules, F.when(text == "", BLANK_COUNTRY).otherwise(text))
+        tests = [f"{text} = {_literal(w)}" for w in whole] + [f"contains({text}, {_literal(p)})" for p in parts]
+        whens.append(f"WHEN {' OR '.join(tests)} THEN {_literal(country)}")
+    return f"CASE {' '.join(whens)} WHEN {text} = '' THEN {_literal(BLANK_COUNTRY)} ELSE {text} END"
+
+
+def with_country(df: DataFrame, source: str, country: str) -> DataFrame:
+    """Add ``country``: the free-text ``source`` folded to one spelling.
+
+    The cleaned text is a column of its own, so that the rules read it and do not
+    recompute it.
+    """
+    letters = f"translate(upper(coalesce(cast({source} AS string), '')), '{ACCENTED}', '{PLAIN}')"
+    text = f"trim(regexp_replace(regexp_replace({letters}, '[^A-Z ]', ' '), ' +', ' '))"
+    return df.withColumn("_place", F.expr(text)).withColumn(country, F.expr(_rules("_place"))).drop("_place")
 
 
-def country_currency(country: Column) -> Column:
-    pairs = [(country == name, F.lit(code)) for name, code in COUNTRY_CURRENCY.items()]
-    return _chain(pairs, F.lit(HOME_CURRENCY))
+def country_currency(country: str) -> Column:
+    """Currency of a normalised country column."""
+    return F.expr(_case(country, COUNTRY_CURRENCY, _literal(HOME_CURRENCY)))
 
 
-def currency_name(code: Column) -> Column:
-    pairs = [(code == key, F.lit(ref[0])) for key, ref in CURRENCY_REFERENCE.items()]
-    return _chain(pairs, code)
+def currency_name(code: str) -> Column:
+    return F.expr(_case(code, {c: name for c, (name, _) in CURRENCY_REFERENCE.items()}, code))
 
 
-def currency_country(code: Column) -> Column:
-    pairs = [(code == key, F.lit(ref[1])) for key, ref in CURRENCY_REFERENCE.items()]
-    return _chain(pairs, F.lit(UNKNOWN_COUNTRY))
+def currency_country(code: str) -> Column:
+    return F.expr(_case(code, {c: place for c, (_, place) in CURRENCY_REFERENCE.items()}, _literal(UNKNOWN_COUNTRY)))

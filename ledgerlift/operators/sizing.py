@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 100
@@ -32,26 +32,25 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     return top.select(F.inline("_top")).select(F.col("item").alias(key)).distinct()
 
 
-def spread_left_join(big: DataFrame, small: DataFrame, key: str, spread_by: Column, hot: DataFrame | None = None):
+def spread_left_join(
+    big: DataFrame, small: DataFrame, key: str, spread_by: str, hot: DataFrame | None = None
+) -> DataFrame:
     """``big LEFT JOIN small USING (key)`` where ``small`` has one row per key.
 
     Rows with a hot key meet the (at most ``HOT_KEYS``) matching rows by
     broadcast; for the shuffle join their key, and every null key, is swapped for
     a spread value that matches nothing. So no reducer gets a whole hot key, and
-    the later grouping by ``key`` starts with a partial aggregate.
+    a later grouping by ``key`` starts with a partial aggregate.
     ``key`` is text on both sides and ``hot`` lists keys of ``big``.
     """
     hot = hot_keys(big, key) if hot is None else hot
     fields = [c for c in small.columns if c != key]
-    few = small.join(F.broadcast(hot), key, "left_semi").select(
-        F.col(key).alias("_hot_key"), F.struct(*fields).alias("_hot_row")
-    )
-    rest = small.select(F.col(key).alias("_join_key"), F.struct(*fields).alias("_row"))
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("string"))
+    row = f"struct({', '.join(fields)})"
+    few = small.join(F.broadcast(hot), key, "left_semi").selectExpr(f"{key} AS _hot_key", f"{row} AS _hot_row")
+    rest = small.selectExpr(f"{key} AS _join_key", f"{row} AS _row")
+    filler = f"concat('\\u0000', pmod(xxhash64({spread_by}), {SPREAD}))"
     marked = big.join(F.broadcast(few), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_spread_key",
-        F.when(F.col(key).isNull() | F.col("_hot_key").isNotNull(), filler).otherwise(F.col(key)),
+        "_spread_key", F.expr(f"if({key} IS NULL OR _hot_key IS NOT NULL, {filler}, {key})")
     )
     joined = marked.join(rest, F.col("_spread_key") == F.col("_join_key"), "left")
-    found = F.coalesce("_hot_row", "_row")
-    return joined.select(*big.columns, *[found.getField(c).alias(c) for c in fields])
+    return joined.selectExpr(*big.columns, *[f"coalesce(_hot_row, _row).{c} AS {c}" for c in fields])

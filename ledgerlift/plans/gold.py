@@ -13,7 +13,7 @@ from ledgerlift.functions.country import (
     country_currency,
     currency_country,
     currency_name,
-    normalize_country,
+    with_country,
 )
 from ledgerlift.operators.dedup import keep_greatest
 from ledgerlift.operators.fx import rate_history, resolve_rates, settle_currency
@@ -46,10 +46,10 @@ KEYS = ["customer_dim_id", "account_id", "currency_id", "date_id"]
 
 def customer_lookup(customers: DataFrame) -> DataFrame:
     """One row per trimmed customer id: name and normalised country. Null ids are no customer."""
-    rows = customers.filter(F.col("id_cliente").isNotNull()).select(
-        F.trim(F.col("id_cliente").cast("string")).alias("id_cliente"),
-        safe_text(F.col("nome_cliente")).alias("nome_cliente"),
-        normalize_country(F.col("pais_cliente")).alias("pais_cliente"),
+    rows = with_country(customers.filter("id_cliente IS NOT NULL"), "pais_cliente", "_country").selectExpr(
+        "trim(cast(id_cliente AS string)) AS id_cliente",
+        "coalesce(trim(nome_cliente), '') AS nome_cliente",
+        "_country AS pais_cliente",
     )
     return keep_greatest(rows, ["id_cliente"])
 
@@ -66,7 +66,7 @@ def category_lookup(categories: DataFrame) -> DataFrame:
 
 def customer_currencies(lookup: DataFrame, history: DataFrame) -> DataFrame:
     """Resolve the currency and its quoted span once per customer, not once per transaction."""
-    priced = lookup.withColumn("currency", country_currency(F.col("pais_cliente")))
+    priced = lookup.withColumn("currency", country_currency("pais_cliente"))
     return settle_currency(priced, history, "currency")
 
 
@@ -77,7 +77,9 @@ def used_currencies(rates: DataFrame, customers: DataFrame) -> DataFrame:
     """Quoted currencies, the home currency and every currency a customer country maps to."""
     home = rates.sparkSession.range(1).select(F.lit(HOME_CURRENCY).alias("currency_code"))
     quoted = rates.filter(F.col("currency").isNotNull()).select(F.upper(F.trim("currency")).alias("currency_code"))
-    by_country = customers.select(country_currency(normalize_country(F.col("pais_cliente"))).alias("currency_code"))
+    by_country = with_country(customers, "pais_cliente", "_country").select(
+        country_currency("_country").alias("currency_code")
+    )
     return union_all([home, quoted.distinct(), by_country.distinct()]).distinct()
 
 
@@ -86,9 +88,11 @@ def currency_dim(rates: DataFrame, customers: DataFrame, existing: DataFrame | N
     codes = used_currencies(rates, customers)
     if existing is not None:
         codes = codes.join(F.broadcast(existing.select("currency_code")), "currency_code", "left_anti")
-    code = F.col("currency_code")
     new = small_numbers(codes, ["currency_code"], "currency_id", next_key(existing, "currency_id")).select(
-        "currency_id", code, currency_name(code).alias("currency_name"), currency_country(code).alias("country")
+        "currency_id",
+        "currency_code",
+        currency_name("currency_code").alias("currency_name"),
+        currency_country("currency_code").alias("country"),
     )
     return new if existing is None else existing.select(*new.columns).unionByName(new)
 
@@ -172,18 +176,17 @@ def date_dim(span: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     days = span.select(F.explode(F.sequence("start", "end")).alias("date"))
     if existing is not None:
         days = days.join(F.broadcast(existing.select("date")), "date", "left_anti")
-    d = F.col("date")
-    position = F.weekday(d)
-    new = small_numbers(days, ["date"], "date_id", next_key(existing, "date_id")).select(
+    names = ", ".join(f"'{n}'" for n in DAY_NAMES)
+    new = small_numbers(days, ["date"], "date_id", next_key(existing, "date_id")).selectExpr(
         "date_id",
-        d,
-        F.year(d).alias("year"),
-        F.month(d).alias("month"),
-        F.dayofmonth(d).alias("day"),
-        F.quarter(d).alias("quarter"),
-        F.weekofyear(d).alias("week"),
-        F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), position + 1).alias("day_of_week"),
-        F.when(position >= 5, 1).otherwise(0).alias("is_weekend"),
+        "date",
+        "year(date) AS year",
+        "month(date) AS month",
+        "day(date) AS day",
+        "quarter(date) AS quarter",
+        "weekofyear(date) AS week",
+        f"element_at(array({names}), weekday(date) + 1) AS day_of_week",
+        "if(weekday(date) >= 5, 1, 0) AS is_weekend",
     )
     return new if existing is None else existing.select(*new.columns).unionByName(new)
 
@@ -191,22 +194,20 @@ def date_dim(span: DataFrame, existing: DataFrame | None = None) -> DataFrame:
 # ---- transactions --------------------------------------------------------------
 
 
-def reference_day() -> Column:
-    """Payment day, else due day."""
-    return F.coalesce("data_pagamento", "data_vencimento")
+# Payment day, else due day.
+REFERENCE_DAY = "coalesce(data_pagamento, data_vencimento)"
 
 
 def common_columns(df: DataFrame, kind: str) -> DataFrame:
     """The columns both account tables share, with gold types."""
-    client = F.trim(F.col("id_cliente").cast("string")) if kind == "receber" else F.lit(None).cast("string")
-    return df.select(
-        safe_text(F.col("id_conta")).alias("id_conta"),
-        F.lit(kind).alias("tipo_conta"),
-        client.alias("_client"),
-        safe_text(F.col("codigo_categoria")).alias("codigo_categoria"),
-        safe_text(F.col("status_conta")).alias("status_conta"),
-        F.col("valor_conta").cast(MONEY).alias("valor_original"),
-        reference_day().alias("data_referencia"),
+    return df.selectExpr(
+        "coalesce(trim(cast(id_conta AS string)), '') AS id_conta",
+        f"'{kind}' AS tipo_conta",
+        ("trim(cast(id_cliente AS string))" if kind == "receber" else "cast(NULL AS string)") + " AS _client",
+        "coalesce(trim(codigo_categoria), '') AS codigo_categoria",
+        "coalesce(trim(status_conta), '') AS status_conta",
+        f"cast(valor_conta AS {MONEY}) AS valor_original",
+        f"{REFERENCE_DAY} AS data_referencia",
     )
 
 
@@ -221,13 +222,13 @@ def receivables_with_customer(
     fields = [c for c in customers.columns if c != "id_cliente"]
     lookup = customers.select(F.col("id_cliente").alias("_client"), F.col("id_cliente").alias("_found"), *fields)
     hot = hot_customers.select(F.col("id_cliente").alias("_client")) if hot_customers is not None else None
-    joined = spread_left_join(receivables, lookup, "_client", F.col("id_conta"), hot)
-    return joined.withColumns(
-        {
-            "pais_cliente": F.coalesce("pais_cliente", F.lit(HOME_COUNTRY)),
-            "currency": F.coalesce("currency", F.lit(HOME_CURRENCY)),
-        }
-    ).withColumnRenamed("_found", "id_cliente").drop("_client")
+    joined = spread_left_join(receivables, lookup, "_client", "id_conta", hot)
+    home = {"pais_cliente": HOME_COUNTRY, "currency": HOME_CURRENCY}
+    return joined.selectExpr(
+        *[c for c in receivables.columns if c != "_client"],
+        "_found AS id_cliente",
+        *[f"coalesce({c}, '{home[c]}') AS {c}" if c in home else c for c in fields],
+    )
 
 
 def enrich(
@@ -258,11 +259,14 @@ def enrich(
             "id_cliente",
             "left",
         )
-    elsewhere = {
-        f.name: F.lit(None).cast(f.dataType) for f in people.schema if f.name not in ("pais_cliente", "currency")
-    }
-    home = {"pais_cliente": F.lit(HOME_COUNTRY), "currency": F.lit(HOME_CURRENCY)}
-    outgoing = common_columns(payables, "pagar").withColumns(elsewhere | home).drop("_client")
+    home = {"pais_cliente": HOME_COUNTRY, "currency": HOME_CURRENCY}
+    outgoing = common_columns(payables, "pagar").drop("_client").selectExpr(
+        "*",
+        *[
+            f"'{home[f.name]}' AS {f.name}" if f.name in home else f"cast(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in people.schema
+        ],
+    )
     incoming = receivables_with_customer(common_columns(receivables, "receber"), people, hot_customers)
 
     lookup, small = broadcast_if_small(_account_lookup(categories, dims))
@@ -302,7 +306,7 @@ def _with_account(rows: DataFrame, lookup: DataFrame, small: bool, typed: bool)
     # A catalogue beyond the broadcast limit: shuffle join on one text key, hot keys spread.
     code = F.concat_ws("|", *reversed(on))
     keyed = lookup.select(code.alias("_code"), *[c for c in lookup.columns if c not in on], F.lit(True).alias("_hit"))
-    joined = spread_left_join(rows.withColumn("_code", code), keyed, "_code", F.col("id_conta"))
+    joined = spread_left_join(rows.withColumn("_code", code), keyed, "_code", "id_conta")
     return joined.filter("_hit").drop("_hit", "_code")
 
 
@@ -391,35 +395,34 @@ def require_transactions(enriched: DataFrame) -> DataFrame:
     return enriched
 
 
-def _total(name: str) -> Column:
+def _total(name: str) -> str:
     """Sum where no amount counts as zero, even in a group without any."""
-    return F.coalesce(F.sum(name), F.lit(0).cast(MONEY))
+    return f"coalesce(sum({name}), cast(0 AS {MONEY}))"
 
 
 def customer_summary(enriched: DataFrame) -> DataFrame:
     """Receivables of known customers, per customer, country and currency."""
     keys = ["id_cliente", "nome_cliente", "pais_cliente", "currency"]
-    base = enriched.filter(F.col("tipo_conta") == "receber").dropna(subset=keys)
-    brl = F.col("valor_brl")
-    first, last = F.min("data_referencia"), F.max("data_referencia")
-    return base.groupBy(*keys).agg(
-        _total("valor_original").alias("total_receita_original"),
-        _total("valor_brl").alias("total_receita_brl"),
-        (F.sum(brl).cast("double") / F.nullif(F.count(brl), F.lit(0))).alias("ticket_medio_brl"),
-        F.count("id_conta").alias("quantidade_transacoes"),
-        F.coalesce(F.stddev_samp(brl.cast("double")), F.lit(0.0)).alias("desvio_padrao_brl"),
-        percent_equal(F.col("status_conta"), "atrasado").alias("percentual_atraso"),
-        percent_equal(F.col("status_conta"), "pago").alias("percentual_pago"),
-        first.alias("primeira_transacao"),
-        last.alias("ultima_transacao"),
-        F.coalesce(F.datediff(last, first), F.lit(0)).alias("dias_ativos"),
-    )
+    measures = {
+        "total_receita_original": _total("valor_original"),
+        "total_receita_brl": _total("valor_brl"),
+        "ticket_medio_brl": "cast(sum(valor_brl) AS double) / nullif(count(valor_brl), 0)",
+        "quantidade_transacoes": "count(id_conta)",
+        "desvio_padrao_brl": "coalesce(stddev_samp(cast(valor_brl AS double)), 0D)",
+        "percentual_atraso": percent_equal("status_conta", "atrasado"),
+        "percentual_pago": percent_equal("status_conta", "pago"),
+        "primeira_transacao": "min(data_referencia)",
+        "ultima_transacao": "max(data_referencia)",
+        "dias_ativos": "coalesce(datediff(max(data_referencia), min(data_referencia)), 0)",
+    }
+    base = enriched.filter("tipo_conta = 'receber'").dropna(subset=keys)
+    return base.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in measures.items()])
 
 
 def _volume(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.dropna(subset=list(keys)).groupBy(*keys).agg(
-        _total("valor_original").alias("total_original"),
-        _total("valor_brl").alias("total_brl"),
+        F.expr(_total("valor_original")).alias("total_original"),
+        F.expr(_total("valor_brl")).alias("total_brl"),
         F.count("id_conta").alias("quantidade_transacoes"),
     )
 

@@ -62,7 +62,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     """Overwrite ``path`` and return the written table, so consumers never recompute the plan."""
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_gold(df: DataFrame, path: str) -> DataFrame:

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlift.functions.columns import MONEY, RATE, mid_rate
+from ledgerlift.functions.columns import MONEY, RATE
 from ledgerlift.sources.readers import with_lineage
 
 RUN_TS = datetime(2024, 2, 1, 6, 30, 0)
@@ -45,9 +45,25 @@ COUNTRY_SPELLINGS = [
 # Quoted currencies and the base of their derived rates.
 QUOTE_BASES = {"USD": "5.0", "EUR": "5.4", "GBP": "6.2", "CAD": "3.7"}
 
+# Declared schemas of the tables in use: no inference job per read.
+TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+        "o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _stamp(df: DataFrame, source: str, lineage: bool) -> DataFrame:
@@ -56,66 +72,60 @@ def _stamp(df: DataFrame, source: str, lineage: bool) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """Registry: closed accounts are missing, customers in debit were registered twice."""
-    spelled = F.get(F.array(*[F.lit(s) for s in COUNTRY_SPELLINGS]), F.col("c_nationkey"))
-    joined_on = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("c_custkey") % 1500).cast("int"))
-    registered = F.when(F.col("c_mktsegment") == "HOUSEHOLD", "sem data").otherwise(F.date_format(joined_on, "yyyy-MM-dd"))
+    spellings = ", ".join(f"'{s}'" for s in COUNTRY_SPELLINGS)
     source = table(spark, sf_dir, "customer").filter("c_acctbal >= -900")
 
-    def rows(df: DataFrame, name: Column, country: Column) -> DataFrame:
-        return df.select(
-            F.col("c_custkey").alias("id_cliente"),
-            name.alias("nome_cliente"),
-            country.alias("pais_cliente"),
-            registered.alias("data_cadastro_cliente"),
+    def rows(df: DataFrame, name: str, country: str) -> DataFrame:
+        return df.selectExpr(
+            "c_custkey AS id_cliente",
+            f"{name} AS nome_cliente",
+            f"{country} AS pais_cliente",
+            """if(c_mktsegment = 'HOUSEHOLD', 'sem data',
+                  date_format(date_add(DATE'1990-01-01', cast(c_custkey % 1500 AS int)), 'yyyy-MM-dd'))
+               AS data_cadastro_cliente""",
         )
 
-    first = rows(source, F.concat(F.lit(" "), "c_name", F.lit(" ")), spelled)
-    again = rows(source.filter("c_acctbal < 0"), F.upper("c_name"), F.lit("Brasil"))
+    first = rows(source, "concat(' ', c_name, ' ')", f"get(array({spellings}), c_nationkey)")
+    again = rows(source.filter("c_acctbal < 0"), "upper(c_name)", "'Brasil'")
     return _stamp(first.unionByName(again), "cliente", lineage)
 
 
 def receivables(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """Orders; pending ones were exported twice."""
     orders = table(spark, sf_dir, "orders")
-    due = F.col("o_orderdate").cast("date")
-    pending = F.col("o_orderstatus") == "P"
-    number = F.col("o_orderkey").cast("string")
-    status = F.when(F.col("o_orderstatus") == "F", " Pago ").when(F.col("o_orderstatus") == "O", "ATRASADO").otherwise("Pendente")
-
-    def rows(df: DataFrame, text: Column) -> DataFrame:
-        return df.select(
-            F.col("o_orderkey").alias("id_conta"),
-            text.alias("descricao_conta"),
-            F.col("o_custkey").alias("id_cliente"),
-            F.concat("o_orderpriority", F.lit(" ")).alias("codigo_categoria"),
-            F.lit(None).cast("string").alias("observacao_conta"),
-            F.when(F.col("o_totalprice") >= 2000, F.col("o_totalprice")).alias("valor_conta"),
-            F.when(~(pending & (F.col("o_totalprice") < 6000)), due).alias("data_vencimento"),
-            F.when(~pending, F.date_add(due, (F.col("o_orderkey") % 45).cast("int"))).alias("data_pagamento"),
-            status.alias("status"),
+
+    def rows(df: DataFrame, text: str) -> DataFrame:
+        return df.selectExpr(
+            "o_orderkey AS id_conta",
+            f"{text} AS descricao_conta",
+            "o_custkey AS id_cliente",
+            "concat(o_orderpriority, ' ') AS codigo_categoria",
+            "cast(NULL AS string) AS observacao_conta",
+            "if(o_totalprice >= 2000, o_totalprice, NULL) AS valor_conta",
+            "if(o_orderstatus = 'P' AND o_totalprice < 6000, NULL, cast(o_orderdate AS date)) AS data_vencimento",
+            """if(o_orderstatus = 'P', NULL, date_add(cast(o_orderdate AS date), cast(o_orderkey % 45 AS int)))
+               AS data_pagamento""",
+            "CASE o_orderstatus WHEN 'F' THEN ' Pago ' WHEN 'O' THEN 'ATRASADO' ELSE 'Pendente' END AS status",
         )
 
-    first = rows(orders, F.concat(F.lit(" Pedido "), number, F.lit(" ")))
-    again = rows(orders.filter(pending), F.concat(F.lit("Pedido "), number, F.lit(" (2a via)")))
+    first = rows(orders, "concat(' Pedido ', o_orderkey, ' ')")
+    again = rows(orders.filter("o_orderstatus = 'P'"), "concat('Pedido ', o_orderkey, ' (2a via)')")
     return _stamp(first.unionByName(again), "conta_receber", lineage)
 
 
 def payables(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """Line items; (order, line) repeats, so the account id does too."""
-    due = F.col("l_shipdate").cast("date")
-    flag = F.col("l_returnflag")
-    amount = F.round(
-        F.col("l_extendedprice").cast(MONEY) * (1 - F.col("l_discount").cast("decimal(4,2)")), 2
-    )
-    rows = table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id_conta"),
-        F.concat(F.lit(" Item "), F.col("l_partkey").cast("string")).alias("descricao_conta"),
-        F.concat(F.lit("Fornecedor "), F.col("l_suppkey").cast("string"), F.lit(" ")).alias("destino_pagamento_conta"),
-        F.concat(flag, F.lit("-"), "l_linestatus", F.lit(" ")).alias("codigo_categoria"),
-        amount.cast("double").alias("valor_conta"),
-        due.alias("data_vencimento"),
-        F.when(flag != "N", F.date_add(due, (F.col("l_orderkey") % 30).cast("int"))).alias("data_pagamento"),
-        F.when(flag == "R", " Atrasado").when(flag == "A", "PAGO ").otherwise("pendente").alias("status_conta"),
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS id_conta",
+        "concat(' Item ', l_partkey) AS descricao_conta",
+        "concat('Fornecedor ', l_suppkey, ' ') AS destino_pagamento_conta",
+        "concat(l_returnflag, '-', l_linestatus, ' ') AS codigo_categoria",
+        f"""cast(round(cast(l_extendedprice AS {MONEY}) * (1 - cast(l_discount AS decimal(4,2))), 2) AS double)
+            AS valor_conta""",
+        "cast(l_shipdate AS date) AS data_vencimento",
+        """if(l_returnflag <> 'N', date_add(cast(l_shipdate AS date), cast(l_orderkey % 30 AS int)), NULL)
+           AS data_pagamento""",
+        "CASE l_returnflag WHEN 'R' THEN ' Atrasado' WHEN 'A' THEN 'PAGO ' ELSE 'pendente' END AS status_conta",
     )
     return _stamp(rows, "conta_pagar", lineage)
 
@@ -126,30 +136,27 @@ def categories(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataF
     "4-NOT SPECIFIED" is in no catalogue. Codes repeat exactly (status F and O)
     and with padding (status P).
     """
-    label = F.expr("substr(o_orderpriority, 3)")
-    status = F.col("o_orderstatus")
     income = (
         table(spark, sf_dir, "orders")
         .filter("o_orderpriority <> '4-NOT SPECIFIED'")
-        .select("o_orderpriority", "o_orderstatus")
+        .selectExpr("o_orderpriority AS p", "o_orderstatus AS s")
         .distinct()
-        .select(
-            F.when(status == "P", F.concat("o_orderpriority", F.lit(" "))).otherwise(F.col("o_orderpriority")).alias(" Codigo_Categoria"),
-            F.when(status == "P", F.concat(F.lit("Receita "), label, F.lit(" (revisada)")))
-            .when(status == "F", F.concat(F.lit(" Receita "), label))
-            .otherwise(F.concat(F.lit("RECEITA "), label))
-            .alias("NOME_CATEGORIA"),
-            F.lit("RECEITA ").alias("tipo_categoria"),
+        .selectExpr(
+            "if(s = 'P', concat(p, ' '), p) AS ` Codigo_Categoria`",
+            """CASE s WHEN 'P' THEN concat('Receita ', substr(p, 3), ' (revisada)')
+                      WHEN 'F' THEN concat(' Receita ', substr(p, 3))
+                      ELSE concat('RECEITA ', substr(p, 3)) END AS NOME_CATEGORIA""",
+            "'RECEITA ' AS tipo_categoria",
         )
     )
     expense = (
         table(spark, sf_dir, "lineitem")
-        .select("l_returnflag", "l_linestatus")
+        .selectExpr("l_returnflag AS f", "l_linestatus AS s")
         .distinct()
-        .select(
-            F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias(" Codigo_Categoria"),
-            F.concat(F.lit(" Despesa "), "l_returnflag", "l_linestatus", F.lit(" ")).alias("NOME_CATEGORIA"),
-            F.lit(" Despesa").alias("tipo_categoria"),
+        .selectExpr(
+            "concat(f, '-', s) AS ` Codigo_Categoria`",
+            "concat(' Despesa ', f, s, ' ') AS NOME_CATEGORIA",
+            "' Despesa' AS tipo_categoria",
         )
     )
     return _stamp(income.unionByName(expense), "categoria", lineage)
@@ -157,80 +164,71 @@ def categories(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataF
 
 def targets(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """Monthly targets from order counts: "25k", " 25.5K " and plain amounts; months repeat, also padded."""
-    month, status, n = F.date_format("o_orderdate", "yyyy-MM"), F.col("o_orderstatus"), F.col("n").cast("string")
     counted = (
-        table(spark, sf_dir, "orders").groupBy(month.alias("month"), "o_orderstatus").agg(F.count("*").alias("n"))
+        table(spark, sf_dir, "orders")
+        .selectExpr("date_format(o_orderdate, 'yyyy-MM') AS m", "o_orderstatus AS s")
+        .groupBy("m", "s")
+        .count()
     )
-    rows = counted.select(
-        F.when(status == "O", F.concat("month", F.lit(" "))).otherwise(F.col("month")).alias("Mes_Meta"),
-        F.when(status == "F", F.concat(n, F.lit("k")))
-        .when(status == "O", F.concat(F.lit(" "), n, F.lit(".5K ")))
-        .otherwise((F.col("n") * 1000).cast("string"))
-        .alias(" META "),
+    rows = counted.selectExpr(
+        "if(s = 'O', concat(m, ' '), m) AS Mes_Meta",
+        """CASE s WHEN 'F' THEN concat(count, 'k') WHEN 'O' THEN concat(' ', count, '.5K ')
+                  ELSE cast(count * 1000 AS string) END AS ` META `""",
     )
     return _stamp(rows, "meta", lineage)
 
 
 def _bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order day: opening (status F) and closing (status O) counts that drive the quotes."""
-    status, seed = F.col("o_orderstatus"), F.col("o_orderkey")
-    return (
+    """Per currency and order day: the opening (status F) and closing (status O) buying rates."""
+    seed = "sum(o_orderkey) FILTER (WHERE o_orderstatus = '{}') % 3000"
+    days = (
         table(spark, sf_dir, "orders")
-        .filter(status.isin("F", "O"))
-        .groupBy(F.col("o_orderdate").cast("date").alias("day"))
-        .agg(
-            (F.sum(F.when(status == "F", seed)) % 3000).alias("opening"),
-            (F.sum(F.when(status == "O", seed)) % 3000).alias("closing"),
-        )
+        .filter("o_orderstatus IN ('F', 'O')")
+        .selectExpr("cast(o_orderdate AS date) AS day", "o_orderkey", "o_orderstatus")
+        .groupBy("day")
+        .agg(*[F.expr(seed.format(s)).alias(name) for s, name in (("F", "opening"), ("O", "closing"))])
+    )
+    bases = ", ".join(f"struct('{c}' AS code, cast({b} AS {RATE}) AS base)" for c, b in QUOTE_BASES.items())
+    rate = f"cast(base + cast({{0}} AS decimal(8,0)) * cast(0.0001 AS decimal(5,4)) AS {RATE}) AS {{0}}"
+    return days.selectExpr("*", f"inline(array({bases}))").selectExpr(
+        "code", "day", rate.format("opening"), rate.format("closing")
     )
 
 
-def _by_currency(days: DataFrame) -> DataFrame:
-    bases = [F.struct(F.lit(c).alias("code"), F.lit(b).cast(RATE).alias("base")) for c, b in QUOTE_BASES.items()]
-    return days.select("*", F.inline(F.array(*bases)))
-
-
-def _buy(seed: Column) -> Column:
-    return (F.col("base") + seed.cast("decimal(8,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast(RATE)
-
-
-def _sell(seed: Column) -> Column:
-    return (_buy(seed) + F.lit("0.0101").cast("decimal(5,4)")).cast(RATE)
+def _sell(buy: str) -> str:
+    return f"cast({buy} + cast(0.0101 AS decimal(5,4)) AS {RATE})"
 
 
 def quotes(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """Weekday quotes from FIRST_QUOTE on; opening and closing share a day once codes are normalised."""
-    days = _bulletins(spark, sf_dir).filter((F.weekday("day") < 5) & (F.col("day") >= FIRST_QUOTE))
-
-    def rows(seed: Column, code: Column) -> DataFrame:
-        priced = _by_currency(days.filter(seed.isNotNull()))
-        return priced.select(
-            code.alias("currency"),
-            F.col("day").alias("date"),
-            _buy(seed).alias("buy_rate"),
-            _sell(seed).alias("sell_rate"),
-            mid_rate(_buy(seed), _sell(seed)).alias("average_rate"),
+    slots = "stack(2, concat(lower(code), ' '), opening, code, closing) AS (currency, buy_rate)"
+    rows = (
+        _bulletins(spark, sf_dir)
+        .filter(f"weekday(day) < 5 AND day >= DATE'{FIRST_QUOTE}'")
+        .selectExpr("day AS date", slots)
+        .filter("buy_rate IS NOT NULL")
+        .selectExpr(
+            "currency",
+            "date",
+            "buy_rate",
+            f"{_sell('buy_rate')} AS sell_rate",
+            f"cast(round((buy_rate + {_sell('buy_rate')}) / 2, 4) AS {RATE}) AS average_rate",
         )
-
-    opening = rows(F.col("opening"), F.concat(F.lower("code"), F.lit(" ")))
-    closing = rows(F.col("closing"), F.col("code"))
-    return _stamp(opening.unionByName(closing), "exchange_rates", lineage)
+    )
+    return _stamp(rows, "exchange_rates", lineage)
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed quote payloads, one per currency and order day; empty at weekends."""
 
-    def quote(seed: Column) -> Column:
-        return F.when(
-            seed.isNotNull(), F.struct(_buy(seed).alias("cotacaoCompra"), _sell(seed).alias("cotacaoVenda"))
-        )
+    def quote(buy: str) -> str:
+        return f"if({buy} IS NULL, NULL, struct({buy} AS cotacaoCompra, {_sell(buy)} AS cotacaoVenda))"
 
-    both = F.array_compact(F.array(quote(F.col("opening")), quote(F.col("closing"))))
-    market = F.when(F.weekday("day") < 5, both).otherwise(F.slice(both, 1, 0))
-    return _by_currency(_bulletins(spark, sf_dir)).select(
-        F.col("code").alias("currency"),
-        F.col("day").alias("quote_date"),
-        F.to_json(F.struct(market.alias("value"))).alias("payload"),
+    both = f"array_compact(array({quote('opening')}, {quote('closing')}))"
+    return _bulletins(spark, sf_dir).selectExpr(
+        "code AS currency",
+        "day AS quote_date",
+        f"to_json(struct(if(weekday(day) < 5, {both}, slice({both}, 1, 0)) AS value)) AS payload",
     )
 
 
