@@ -60,9 +60,11 @@ class Lake:
         return hot_keys(ids, "id_cliente")
 
     def enriched(self, dims: dict[str, DataFrame] | None = None) -> DataFrame:
+        """With dimensions the account tables are read twice (calendar and facts), so they are stored."""
+        accounts = self.silver if dims is None else self.stored
         return gold.enrich(
-            self.silver("conta_pagar"),
-            self.silver("conta_receber"),
+            accounts("conta_pagar"),
+            accounts("conta_receber"),
             self.stored("cliente"),
             self.stored("categoria"),
             self.stored("exchange_rates"),
@@ -98,7 +100,7 @@ class Lake:
         return gold.account_dim(self.stored("category_dim"))
 
     def date_dim(self) -> DataFrame:
-        return gold.date_dim(gold.date_range(self.silver("conta_pagar"), self.silver("conta_receber")))
+        return gold.date_dim(gold.date_range(self.stored("conta_pagar"), self.stored("conta_receber")))
 
     def dims(self) -> dict[str, DataFrame]:
         return {n: self.stored(f"{n}_dim") for n in ("currency", "customer", "category", "account", "date")}
@@ -420,7 +422,9 @@ def fx_unavailable(lake: Lake) -> DataFrame:
 
 @query("rejected_transactions")
 def rejected_transactions(lake: Lake) -> DataFrame:
-    return gold.rejected(lake.silver("conta_pagar"), lake.silver("conta_receber"), lake.stored("categoria"), lake.stored("date_dim"))
+    return gold.rejected(
+        lake.stored("conta_pagar"), lake.stored("conta_receber"), lake.stored("categoria"), lake.stored("date_dim")
+    )
 
 
 @query("transactions_enriched")
@@ -439,8 +443,9 @@ def date_range(lake: Lake) -> DataFrame:
 @query("date_dim")
 def date_dim(lake: Lake) -> DataFrame:
     """Two loads: the receivable days first, then the days only payables reach."""
-    receivable_days = gold.date_range(lake.silver("conta_receber"), lake.silver("conta_receber"))
-    both = gold.date_range(lake.silver("conta_pagar"), lake.silver("conta_receber"))
+    receivables = lake.stored("conta_receber")
+    receivable_days = gold.date_range(receivables, receivables)
+    both = gold.date_range(lake.silver("conta_pagar"), receivables)
     return gold.date_dim(both, gold.date_dim(receivable_days))
 
 

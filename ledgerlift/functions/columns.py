@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MONEY = "decimal(18,2)"
@@ -16,6 +18,11 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def instant(moment: datetime) -> Column:
+    """A fixed time read in the session's time zone, whatever the zone of the Python process."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def trimmed(name: str) -> Column:
     return F.trim(F.col(name).cast("string"))
 

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlift.functions.columns import MONEY, RATE, percent_equal, safe_text
+from ledgerlift.functions.columns import MONEY, RATE, instant, percent_equal, safe_text
 from ledgerlift.functions.country import (
     HOME_COUNTRY,
     HOME_CURRENCY,
@@ -127,7 +127,7 @@ def customer_dim(customers: DataFrame, run_ts: datetime, existing: DataFrame | N
         F.col("nome_cliente").alias("customer_name"),
         F.col("pais_cliente").alias("country"),
     )
-    kept = {"created_at": F.lit(run_ts).cast("timestamp"), "ml_cluster": F.lit(None).cast("int")}
+    kept = {"created_at": instant(run_ts), "ml_cluster": F.lit(None).cast("int")}
     return _upsert(existing, incoming, "customer_id", "customer_code", ["customer_name", "country"], kept)
 
 
@@ -348,7 +348,7 @@ def transaction_fact(enriched: DataFrame, run_ts: datetime) -> DataFrame:
         F.col("valor_brl").alias("amount_brl"),
         F.col("taxa_cambio").alias("exchange_rate"),
         F.col("data_referencia").cast("timestamp").alias("transaction_date"),
-        F.lit(run_ts).cast("timestamp").alias("created_at"),
+        instant(run_ts).alias("created_at"),
     )
 
 
@@ -369,7 +369,7 @@ def exchange_rate_fact(rates: DataFrame, currencies: DataFrame, run_ts: datetime
         "buy_rate",
         "sell_rate",
         "average_rate",
-        F.lit(run_ts).cast("timestamp").alias("created_at"),
+        instant(run_ts).alias("created_at"),
     )
 
 

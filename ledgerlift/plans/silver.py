@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlift.functions.columns import (
     day,
     id_text,
+    instant,
     lowered,
     normalize_columns,
     number,
@@ -113,6 +114,6 @@ def finalize(df: DataFrame, run_ts: datetime) -> DataFrame:
     """Add the run time and the table's quality score (measured before these two columns)."""
     return df.select(
         "*",
-        F.lit(run_ts).cast("timestamp").alias("_transformation_date"),
+        instant(run_ts).alias("_transformation_date"),
         quality_score(df).scalar().alias("_data_quality_score"),
     )

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlift.functions.columns import RATE, mid_rate
+from ledgerlift.functions.columns import RATE, instant, mid_rate
 
 LOOKBACK_DAYS = 10
 # Currencies quoted by default.
@@ -55,7 +55,7 @@ def missing_currencies(spark: SparkSession, latest: DataFrame, currencies: list[
 
 
 def with_quote_lineage(quotes: DataFrame, run_ts: datetime, source: str = "bcb_ptax") -> DataFrame:
-    return quotes.select("*", F.lit(run_ts).cast("timestamp").alias("_ingestion_date"), F.lit(source).alias("_source"))
+    return quotes.select("*", instant(run_ts).alias("_ingestion_date"), F.lit(source).alias("_source"))
 
 
 def fresh_or_cached(fresh: DataFrame, cached: DataFrame) -> DataFrame:

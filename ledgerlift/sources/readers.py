@@ -8,6 +8,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerlift.functions.columns import instant
+
 # Declared bronze schemas; text first, silver casts.
 SCHEMAS = {
     "meta": "mes_meta STRING, meta STRING",
@@ -52,7 +54,7 @@ def with_lineage(df: DataFrame, source: str, run_ts: datetime, file_path: str |
     path = F.col("_metadata.file_path") if file_path is None else F.lit(file_path)
     return df.select(
         "*",
-        F.lit(run_ts).cast("timestamp").alias("_ingestion_date"),
+        instant(run_ts).alias("_ingestion_date"),
         F.lit(source).alias("_source"),
         path.alias("_raw_file_path"),
     )
