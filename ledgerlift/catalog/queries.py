@@ -722,9 +722,8 @@ def inertia(lake: Lake) -> DataFrame:
 
 @query("single_cluster")
 def single_cluster(lake: Lake) -> DataFrame:
-    """The fallback for fewer than three customers, fed the two with most revenue."""
-    pair = lake.stored("customer_summary").orderBy(F.desc(insights.REVENUE), "id_cliente").limit(2)
-    result = segmentation.run_segmentation(pair)
+    """The fallback of one cluster, as a largest k of 1 asks for."""
+    result = segmentation.run_segmentation(lake.stored("customer_summary"), segmentation.Settings(max_k=1))
     return result.segments.select("id_cliente", "cluster")
 
 

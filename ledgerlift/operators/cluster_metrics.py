@@ -138,8 +138,11 @@ def silhouette_points(points: DataFrame, rows: int | None = None, block_rows: in
     own = F.pmod(F.xxhash64("id"), F.lit(blocks))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     base = points.select("id", F.col("cluster").cast("int").alias("cluster"), "features")
-    left = base.select("*", own.alias("_i"), every.alias("_j"))
-    right = base.select("*", own.alias("_j"), every.alias("_i"))
+    # An explicit number of partitions: little data but much work, which coalescing by size would pile up.
+    spark = points.sparkSession
+    tasks = min(blocks * blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+    left = base.select("*", own.alias("_i"), every.alias("_j")).repartition(tasks, "_i", "_j")
+    right = base.select("*", own.alias("_j"), every.alias("_i")).repartition(tasks, "_i", "_j")
     id_type = points.schema["id"].dataType.simpleString()
     sums = (
         left.groupBy("_i", "_j")

@@ -32,6 +32,8 @@ FEATURES = [
     "dias_ativos",
 ]
 ROWS_PER_PARTITION = 50_000
+# Converged when the squared shifts of all centres add up to this, on unit-variance features.
+TOTAL_SHIFT = 1e-4
 MANDATORY = {"id_cliente", "total_receita_brl", "ticket_medio_brl", "quantidade_transacoes"}
 
 
@@ -108,7 +110,14 @@ def _fit_best(vectors: DataFrame, ks: list[int], settings: Settings) -> list[_Fi
 
     def fit(job: tuple[int, int]):
         k, restart = job
-        kmeans = KMeans(k=k, seed=settings.seed + restart, maxIter=300, featuresCol="vector", predictionCol="cluster")
+        kmeans = KMeans(
+            k=k,
+            seed=settings.seed + restart,
+            maxIter=300,
+            tol=(TOTAL_SHIFT / k) ** 0.5,
+            featuresCol="vector",
+            predictionCol="cluster",
+        )
         model = kmeans.fit(vectors)
         return k, model.summary.trainingCost, restart, model
 
