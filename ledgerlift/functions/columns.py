@@ -60,9 +60,14 @@ def target_amount(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), "k", "000").try_cast("double")
 
 
-def safe_text(value: Column) -> Column:
-    """Null reads as the empty string, other values are trimmed text."""
-    return F.coalesce(F.trim(value.cast("string")), F.lit(""))
+def stripped(column: str) -> str:
+    """Text without the white space around it (tabs and line breaks too)."""
+    return f"btrim(cast({column} AS string), ' \\t\\n\\r\\u000B\\u000C')"
+
+
+def safe_text(column: str) -> str:
+    """Null reads as the empty string, other values are stripped text."""
+    return f"coalesce({stripped(column)}, '')"
 
 
 def mid_rate(buy: Column, sell: Column) -> Column:

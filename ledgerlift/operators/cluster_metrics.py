@@ -174,7 +174,7 @@ def silhouette_euclidean(points: DataFrame, rows: int | None = None) -> DataFram
 def silhouette_score(points: DataFrame, rows: int, metric: str = "auto") -> float:
     """Mean silhouette of all points.
 
-    ``euclidean`` is the reference definition, quadratic in the rows; ``squared``
+    ``euclidean`` is the usual definition, quadratic in the rows; ``squared``
     is Spark's squared-Euclidean form, linear in the rows and still over every
     row. ``auto`` takes the first up to ``EXACT_SILHOUETTE_ROWS`` rows.
     """

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlift.functions.columns import MONEY, RATE, instant, percent_equal, safe_text
+from ledgerlift.functions.columns import MONEY, RATE, instant, percent_equal, safe_text, stripped
 from ledgerlift.functions.country import (
     HOME_COUNTRY,
     HOME_CURRENCY,
@@ -21,6 +21,7 @@ from ledgerlift.operators.keys import dense_numbers, fact_numbers, next_key, sma
 from ledgerlift.operators.quality import union_all
 from ledgerlift.operators.sizing import broadcast_if_small, spread_left_join
 
+# Account types and English day names.
 ACCOUNT_TYPES = ["PAGAR", "RECEBER"]
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 ENRICHED = [
@@ -47,8 +48,8 @@ KEYS = ["customer_dim_id", "account_id", "currency_id", "date_id"]
 def customer_lookup(customers: DataFrame) -> DataFrame:
     """One row per trimmed customer id: name and normalised country. Null ids are no customer."""
     rows = with_country(customers.filter("id_cliente IS NOT NULL"), "pais_cliente", "_country").selectExpr(
-        "trim(cast(id_cliente AS string)) AS id_cliente",
-        "coalesce(trim(nome_cliente), '') AS nome_cliente",
+        f"{stripped('id_cliente')} AS id_cliente",
+        f"{safe_text('nome_cliente')} AS nome_cliente",
         "_country AS pais_cliente",
     )
     return keep_greatest(rows, ["id_cliente"])
@@ -56,10 +57,8 @@ def customer_lookup(customers: DataFrame) -> DataFrame:
 
 def category_lookup(categories: DataFrame) -> DataFrame:
     """One row per trimmed category code; of padded duplicates the greatest (name, type) wins."""
-    rows = categories.select(
-        safe_text(F.col("codigo_categoria")).alias("codigo_categoria"),
-        safe_text(F.col("nome_categoria")).alias("nome_categoria"),
-        safe_text(F.col("tipo_categoria")).alias("tipo_categoria"),
+    rows = categories.selectExpr(
+        *[f"{safe_text(c)} AS {c}" for c in ("codigo_categoria", "nome_categoria", "tipo_categoria")]
     )
     return keep_greatest(rows, ["codigo_categoria"])
 
@@ -201,11 +200,11 @@ REFERENCE_DAY = "coalesce(data_pagamento, data_vencimento)"
 def common_columns(df: DataFrame, kind: str) -> DataFrame:
     """The columns both account tables share, with gold types."""
     return df.selectExpr(
-        "coalesce(trim(cast(id_conta AS string)), '') AS id_conta",
+        f"{safe_text('id_conta')} AS id_conta",
         f"'{kind}' AS tipo_conta",
-        ("trim(cast(id_cliente AS string))" if kind == "receber" else "cast(NULL AS string)") + " AS _client",
-        "coalesce(trim(codigo_categoria), '') AS codigo_categoria",
-        "coalesce(trim(status_conta), '') AS status_conta",
+        (stripped("id_cliente") if kind == "receber" else "cast(NULL AS string)") + " AS _client",
+        f"{safe_text('codigo_categoria')} AS codigo_categoria",
+        f"{safe_text('status_conta')} AS status_conta",
         f"cast(valor_conta AS {MONEY}) AS valor_original",
         f"{REFERENCE_DAY} AS data_referencia",
     )
@@ -376,7 +375,7 @@ def exchange_rate_fact(rates: DataFrame, currencies: DataFrame, run_ts: datetime
 def write_back_clusters(customers: DataFrame, labels: DataFrame) -> DataFrame:
     """Customer dimension with new labels where the code matches; other columns untouched."""
     fresh = labels.select(
-        F.trim("id_cliente").alias("customer_code"), F.col("cluster").cast("int").alias("_cluster")
+        F.expr(stripped("id_cliente")).alias("customer_code"), F.col("cluster").cast("int").alias("_cluster")
     )
     fresh = keep_greatest(fresh, ["customer_code"])
     return (
@@ -438,6 +437,7 @@ def monthly_summary(enriched: DataFrame) -> DataFrame:
 
 # ---- audit ---------------------------------------------------------------------
 
+# The tables a complete run leaves behind.
 EXPECTED_OUTPUTS = [
     "meta_raw",
     "categoria_raw",

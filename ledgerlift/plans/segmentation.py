@@ -21,6 +21,7 @@ from ledgerlift.operators.cluster_metrics import (
 )
 from ledgerlift.plans.insights import REVENUE, cluster_profile
 
+# Description and feature columns of the customer summary.
 DESCRIPTION = ["id_cliente", "nome_cliente", "pais_cliente", "currency"]
 FEATURES = [
     "total_receita_brl",

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlift.functions.columns import RATE, instant, mid_rate
 
+# Days looked back and currencies quoted by default.
 LOOKBACK_DAYS = 10
-# Currencies quoted by default.
 DEFAULT_CURRENCIES = ["USD", "EUR", "GBP", "JPY", "CAD", "ARS"]
 PAYLOAD_SCHEMA = f"value array<struct<cotacaoCompra:{RATE},cotacaoVenda:{RATE}>>"
 

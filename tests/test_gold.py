@@ -65,7 +65,7 @@ def test_asof_rate(spark, currency, day, expected):
 
 def inputs(spark):
     customers = spark.createDataFrame(
-        [("1", " Ana ", "EUA"), ("2", "Bia", "Argentina"), (None, "Sem id", "EUA")],
+        [("1", " Ana\t", "EUA"), ("2", "Bia", "Argentina"), (None, "Sem id", "EUA")],
         "id_cliente string, nome_cliente string, pais_cliente string",
     )
     categories = spark.createDataFrame(
@@ -97,6 +97,7 @@ def test_enrichment(spark):
     assert set(got) == {"p1", "r1", "r2", "r3", "r4", "r7"}
     assert (got["r1"].currency, got["r1"].taxa_cambio, got["r1"].valor_brl) == ("USD", D("5.5000"), D("550.00"))
     assert got["r1"].nome_categoria == "Venda B"  # padded duplicate: the greatest wins
+    assert got["r1"].nome_cliente == "Ana"
     assert (got["r2"].valor_original, got["r2"].taxa_cambio) == (D("0.02"), D("5.0000"))
     # never quoted: the whole row counts as home currency
     assert (got["r3"].pais_cliente, got["r3"].currency, got["r3"].taxa_cambio) == ("ARGENTINA", "BRL", D("1.0000"))
