@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlift.llm.common import table
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.substring_dedup import substring_dedup
+from ledgerlift.llm.topk_search import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1, digest=True)
 
 
+@query
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
@@ -68,3 +74,18 @@ SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped,
 FROM l LEFT JOIN often o ON l.key = o.key
 GROUP BY doc_id
 """
+
+ORACLES["op4_topk_search"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
