@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerlift.llm.bpe import bpe
 from ledgerlift.llm.common import table
+from ledgerlift.llm.token_counts import token_counts
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.substring_dedup import substring_dedup
 from ledgerlift.llm.topk_search import exact_top_k
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,6 +30,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), window=13, digest=True)
 
 
+def vocabulary() -> tuple[str, str]:
+    """(path of the rank file, pattern)."""
+    return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe(table(spark, sf_dir, "documents"), *vocabulary(), form="digest")
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1, digest=True)
@@ -35,6 +50,12 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = bpe(table(spark, sf_dir, "documents"), *vocabulary(), form="count")
+    return token_counts(lengths)
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
