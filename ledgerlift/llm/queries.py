@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlift.llm.bpe import bpe
-from ledgerlift.llm.common import table
-from ledgerlift.llm.token_counts import token_counts
+from ledgerlift.llm.common import crc_mod, table
 from ledgerlift.llm.line_dedup import line_dedup
+from ledgerlift.llm.lm_scoring import lm_scores
 from ledgerlift.llm.substring_dedup import substring_dedup
+from ledgerlift.llm.token_counts import token_counts
 from ledgerlift.llm.topk_search import exact_top_k
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -50,6 +51,11 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), crc_mod(7) != 2)
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = bpe(table(spark, sf_dir, "documents"), *vocabulary(), form="count")
