@@ -83,11 +83,13 @@ def _asks(block: int, keys: np.ndarray, ids: np.ndarray, shards: int):
         yield {"shard": s, "block": block, "keys": pack(keys[pick]), "low": pack(low[pick]), "high": pack(high[pick])}
 
 
-SHORT_ASK_DDL = "shard int, block int, keys binary, twice binary"
-SHORT_ASK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("twice", pa.binary())])
+SHORT_ASK_DDL = "shard int, keys binary, blocks binary, twice binary"
+SHORT_ASK = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("blocks", pa.binary()), ("twice", pa.binary())])
 
 
 def _short_asks(window: int, shards: int):
+    """One row per batch and shard: each name once per block, by its low 32 bits."""
+
     def run(batches):
         for batch in batches:
             ids, texts, blocks = _ids(batch.column("doc_id")), strings(batch.column("text")), batch.column("block").to_numpy()
@@ -101,23 +103,21 @@ def _short_asks(window: int, shards: int):
             if not key:
                 continue
             key, doc, block = np.concatenate(key), np.concatenate(doc), np.concatenate(block)
-            shard = ((key >> U64(32)) % U64(shards)).astype(np.int64)
-            order = np.lexsort((doc, key, block, shard))
-            key, doc, block, shard = key[order], doc[order], block[order], shard[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
-            first = np.flatnonzero(new)
+            order = np.lexsort((doc, key, block))
+            key, doc, block = key[order], doc[order], block[order]
+            first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])]) if len(key) else np.zeros(0, int)
             last = np.r_[first[1:], len(key)] - 1 if len(first) else first
-            twice = doc[first] != doc[last]
-            key, block, shard = key[first].astype(np.uint32), block[first], shard[first]
-            cell = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (block[1:] != block[:-1])]) if len(key) else []
-            ends = [*cell[1:], len(key)]
+            twice, key, block = doc[first] != doc[last], key[first], block[first]
+            shard = ((key >> U64(32)) % U64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+            picks = [(s, order[bounds[s] : bounds[s + 1]]) for s in np.flatnonzero(np.diff(bounds))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(shard[cell], pa.int32()),
-                    pa.array(block[cell], pa.int32()),
-                    pa.array([pack(key[a:b]) for a, b in zip(cell, ends)], pa.binary()),
-                    pa.array([pack(twice[a:b]) for a, b in zip(cell, ends)], pa.binary()),
+                    pa.array([s for s, _ in picks], pa.int32()),
+                    pa.array([pack(key[p].astype(np.uint32)) for _, p in picks], pa.binary()),
+                    pa.array([pack(block[p].astype(np.int32)) for _, p in picks], pa.binary()),
+                    pa.array([pack(twice[p]) for _, p in picks], pa.binary()),
                 ],
                 schema=SHORT_ASK,
             )
@@ -142,9 +142,9 @@ def _answers(rows: list[dict]) -> pa.Table:
 
 def _short_repeats(table: pa.Table) -> pa.Table:
     """Of one shard: short windows held by two documents or more, per block that asked."""
-    keys, row = _joined(table, "keys", np.uint32)
+    keys, _ = _joined(table, "keys", np.uint32)
+    block, _ = _joined(table, "blocks", np.int32)
     twice, _ = _joined(table, "twice", np.bool_)
-    block = table.column("block").to_numpy()[row].astype(np.int64)
     order = np.lexsort((block, keys))
     keys, block, twice = keys[order], block[order], twice[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
