@@ -11,6 +11,7 @@ from ledgerlift.llm.bpe import bpe
 from ledgerlift.llm.common import crc_mod, table
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.lm_scoring import lm_scores
+from ledgerlift.llm.near_dedup import near_duplicates
 from ledgerlift.llm.substring_dedup import substring_dedup
 from ledgerlift.llm.token_counts import token_counts
 from ledgerlift.llm.topk_search import exact_top_k
@@ -51,6 +52,11 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), crc_mod(7) != 2)
