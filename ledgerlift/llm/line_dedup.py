@@ -83,8 +83,8 @@ def probe_index(index: dict, keys: np.ndarray) -> np.ndarray:
 
 # ---- Spark steps ---------------------------------------------------------------
 
-ASK_DDL = "shard int, block int, keys binary, docs binary"
-ASK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
+ASK_DDL = "shard int, keys binary, blocks binary, docs binary"
+ASK = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("blocks", pa.binary()), ("docs", pa.binary())])
 INDEX_DDL = "shard int, sizes array<bigint>, bits binary, prints binary, counts binary"
 INDEX = pa.schema([
     ("shard", pa.int32()), ("sizes", pa.list_(pa.int64())), ("bits", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary()),
@@ -94,6 +94,8 @@ DROP = pa.schema([("block", pa.int32()), ("keys", pa.binary())])
 
 
 def _line_asks(shards: int, min_chars: int):
+    """One row per batch and shard: each line once per block, with the number of documents there."""
+
     def run(batches):
         for batch in batches:
             digests, block = [], []
@@ -110,13 +112,13 @@ def _line_asks(shards: int, min_chars: int):
             first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (block[1:] != block[:-1])])
             docs = np.diff(np.r_[first, len(keys)])
             keys, block, shard = keys[first], block[first], shard[first]
-            cell = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (block[1:] != block[:-1])])
+            cell = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
             spans = list(zip(cell, [*cell[1:], len(keys)]))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shard[cell], pa.int32()),
-                    pa.array(block[cell], pa.int32()),
                     pa.array([pack(keys[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([pack(block[a:b].astype(np.int32)) for a, b in spans], pa.binary()),
                     pa.array([pack(docs[a:b]) for a, b in spans], pa.binary()),
                 ],
                 schema=ASK,
@@ -140,15 +142,15 @@ def _probe(min_docs: int):
         if not asks.num_rows or not index.num_rows:
             return DROP.empty_table()
         arrays = index.to_pylist()[0]
-        packed = asks.column("keys").to_pylist()
-        keys = np.frombuffer(b"".join(packed), PAIR)
-        row = np.repeat(np.arange(len(packed)), [len(p) // PAIR.itemsize for p in packed])
+        keys = np.frombuffer(b"".join(asks.column("keys").to_pylist()), PAIR)
+        block = np.frombuffer(b"".join(asks.column("blocks").to_pylist()), np.int32)
         often = probe_index(arrays, keys) >= min_docs
-        keys, row = keys[often], row[often]
-        cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else []
-        blocks = asks.column("block").to_pylist()
+        keys, block = keys[often], block[often]
+        order = np.argsort(block, kind="stable")
+        keys, block = keys[order], block[order]
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
         return pa.Table.from_pylist(
-            [{"block": blocks[row[a]], "keys": pack(keys[a:b])} for a, b in zip(cuts, [*cuts[1:], len(row)])], schema=DROP
+            [{"block": int(block[a]), "keys": pack(keys[a:b])} for a, b in zip(cuts, [*cuts[1:], len(block)])], schema=DROP
         )
 
     return run
