@@ -27,7 +27,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerlift.llm.common import documents
 
 BUCKETS = 1 << 16
-SHIFT = 1 << 20
+ID_BITS, RANK_BITS = 20, 26
+SHIFT, NO_PAIR = 1 << ID_BITS, 1 << 50
+LOW_MASK, FIRST_MASK = (1 << RANK_BITS) - 1, (1 << RANK_BITS) - (1 << ID_BITS)
 CHUNK_DOCS = 256
 FOLD_BYTES = 64  # longer pieces (runs of one letter, say) are merged with a heap
 MOST_PIECES = 1_000_000  # then a task starts a new list of pieces
@@ -51,11 +53,11 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
 
 
 def rank_map(spark: SparkSession, pairs: dict[tuple[int, int], int]) -> Column:
-    """The pairs as a constant: bucket -> (pair -> rank). Its size is that of the vocabulary."""
+    """The pairs as a constant: bucket -> (pair -> rank, in the high bits). Its size is that of the vocabulary."""
     buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
     for (a, b), rank in pairs.items():
-        buckets[(a * 31 + b) % BUCKETS][a * SHIFT + b] = rank
-    one = spark.createDataFrame([(buckets,)], "ranks array<map<bigint,int>>")
+        buckets[(a * 31 + b) % BUCKETS][a * SHIFT + b] = rank << RANK_BITS
+    one = spark.createDataFrame([(buckets,)], "ranks array<map<bigint,bigint>>")
     return one.select("ranks").scalar()
 
 
@@ -64,33 +66,44 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(word: Column, ranks: Column) -> Column:
-    """Ids of one piece, given as the ids of its bytes."""
+    """Ids of one piece of at most FOLD_BYTES bytes, given as the ids of its bytes.
 
-    def rank(a: Column, b: Column) -> Column:
-        bucket = F.get(ranks, (a * 31 + b).bitwiseAND(F.lit(BUCKETS - 1)))
-        return F.try_element_at(bucket, a.cast("bigint") * SHIFT + b)  # null: no such token
+    The state is one number per token: the rank of its pair with the next token,
+    the token's first byte and its id, from high bits to low. So the least number
+    is the leftmost pair of the least rank, and a merge changes two numbers.
+    """
+
+    def pair(a: Column, b: Column) -> Column:
+        bucket = F.get(ranks, (a * 31 + b).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+        return F.coalesce(F.try_element_at(bucket, a * SHIFT + b), F.lit(NO_PAIR))
 
-    def merge(acc: Column, least: Column) -> Column:
-        ids, known = acc["ids"], acc["ranks"]
+    def merge(tokens: Column, least: Column) -> Column:
+        merged = F.shiftright(least, RANK_BITS)
 
         def at(p: Column) -> Column:
-            n = F.size(ids)
-            before = F.when(p > 1, F.array(rank(F.get(ids, p - 2), least))).otherwise(F.array().cast("array<int>"))
-            after = F.when(p + 1 < n, F.array(rank(least, F.get(ids, p + 1)))).otherwise(F.array().cast("array<int>"))
-            return F.struct(
-                F.concat(F.slice(ids, 1, p - 1), F.array(least), F.slice(ids, p + 2, n)).alias("ids"),
-                F.concat(F.slice(known, 1, F.greatest(p - 2, F.lit(0))), before, after, F.slice(known, p + 2, n)).alias("ranks"),
-            )
-
-        return _let(F.array_position(known, least).cast("int"), at)
-
-    def step(acc: Column, _: Column) -> Column:
-        return _let(F.array_min(acc["ranks"]), lambda least: F.when(least.isNotNull(), merge(acc, least)).otherwise(acc))
-
-    pairs = F.zip_with(F.slice(word, 1, F.size(word) - 1), F.slice(word, 2, F.size(word)), rank)
-    start = F.struct(word.alias("ids"), pairs.alias("ranks"))
-    folded = F.aggregate(F.sequence(F.lit(2), F.size(word)), start, step, lambda acc: acc["ids"])
-    return F.when(F.size(word) > 1, folded).otherwise(word)
+            after = pair(merged, F.get(tokens, p + 1).bitwiseAND(F.lit(SHIFT - 1)))
+            middle = after.bitwiseOR(least.bitwiseAND(F.lit(FIRST_MASK))).bitwiseOR(merged)
+
+            def with_before(before: Column) -> Column:
+                low = before.bitwiseAND(F.lit(LOW_MASK))
+                left = pair(before.bitwiseAND(F.lit(SHIFT - 1)), merged).bitwiseOR(low)
+                return F.concat(F.slice(tokens, 1, p - 2), F.array(left, middle), F.slice(tokens, p + 2, FOLD_BYTES))
+
+            joined = _let(F.get(tokens, p - 2), with_before)
+            return F.when(p > 1, joined).otherwise(F.concat(F.array(middle), F.slice(tokens, 3, FOLD_BYTES)))
+
+        return _let(F.array_position(tokens, least).cast("int"), at)
+
+    def step(tokens: Column, _: Column) -> Column:
+        return _let(F.array_min(tokens), lambda least: F.when(least < NO_PAIR, merge(tokens, least)).otherwise(tokens))
+
+    def start(token: Column, i: Column) -> Column:
+        low = F.shiftleft(i.cast("bigint"), ID_BITS).bitwiseOR(token.cast("bigint"))
+        return pair(token.cast("bigint"), F.get(word, i + 1).cast("bigint")).bitwiseOR(low)
+
+    folded = F.aggregate(F.sequence(F.lit(2), F.size(word)), F.transform(word, start), step)
+    ids = F.transform(folded, lambda x: x.bitwiseAND(F.lit(SHIFT - 1)).cast("int"))
+    return F.when(F.size(word) > 1, ids).otherwise(word)
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlift.llm.bpe import bpe
 from ledgerlift.llm.common import crc_mod, table
+from ledgerlift.llm.language_id import language_id
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.lm_scoring import lm_scores
 from ledgerlift.llm.near_dedup import near_duplicates
 from ledgerlift.llm.substring_dedup import substring_dedup
 from ledgerlift.llm.token_counts import token_counts
 from ledgerlift.llm.topk_search import exact_top_k
+from ledgerlift.llm.toxicity import toxicity_scores
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -52,6 +54,22 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"), crc_mod(4) != 2)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels of one third of the documents are held out."""
+    return toxicity_scores(docs, labels, crc_mod(3) != 1)
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (crc_mod(3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
