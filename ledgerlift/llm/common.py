@@ -81,13 +81,14 @@ def slices(array: pa.LargeBinaryArray, size: int = HASH_STEP):
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, words per document): runs of bytes other than ASCII white space."""
-    word = ~SPACE[buf]
+def word_spans(buf: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE):
+    """(starts, ends, words per document): runs of bytes other than ``between``, by default ASCII white space."""
+    word = ~between[buf]
     n = len(buf)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True

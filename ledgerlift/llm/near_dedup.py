@@ -24,17 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlift.llm.common import (
-    LOWER, U64, bytes_of, cut, documents, mix, pack, slices, strings, window_hashes, word_hashes, word_spans,
-)
+from ledgerlift.llm.common import U64, cut, documents, mix, strings, window_hashes
+from ledgerlift.llm.tfidf import bin_counts, lower_words, smooth_idf, word_bins
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 AGREE = 24  # of 48 samples; a pair at 0.8 has fewer once in ten million times
-BINS = 1 << 20
-PARTS = 64
+BIN_BITS = 20
 FIELD = 1 << 12
 CHUNK = 4096
 LAST = (1 << 63) - 1
@@ -43,20 +41,12 @@ LAST = (1 << 63) - 1
 # ---- shingles and weights ------------------------------------------------------
 
 
-def _texts(array: pa.LargeBinaryArray):
-    """(first document, word hashes, words per document) of runs of texts, lower-cased."""
-    for low, high in slices(array):
-        buf, offsets = bytes_of(array.slice(low, high - low))
-        starts, ends, counts = word_spans(buf, offsets)
-        yield low, word_hashes(LOWER[buf], starts, ends), counts
-
-
 def weighted_shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(sorted shingle hashes, weights) of one text; a shorter text is one shingle."""
     if not len(words):
         return np.zeros(0, U64), np.zeros(0)
     n = min(WORDS, len(words))
-    sums = np.r_[0.0, np.cumsum(idf[(words >> U64(44)).astype(np.int64)], dtype=np.float64)]
+    sums = np.r_[0.0, np.cumsum(idf[word_bins(words, BIN_BITS)], dtype=np.float64)]
     shingles, first, tf = np.unique(window_hashes(words, n), return_index=True, return_counts=True)
     return shingles, tf * (sums[first + n] - sums[first]) / n
 
@@ -103,52 +93,6 @@ def sample(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 # ---- Spark steps ---------------------------------------------------------------
 
-BIN_DDL = "part int, bins binary, docs binary"
-BIN = pa.schema([("part", pa.int32()), ("bins", pa.binary()), ("docs", pa.binary())])
-
-
-def _bin_counts(batches):
-    """Per task: documents per bin of words, one row per part of the bins, and the number of documents in part -1."""
-    total, docs = np.zeros(BINS, np.int64), 0
-    for batch in batches:
-        docs += batch.num_rows
-        for _, words, counts in _texts(strings(batch.column("text"))):
-            owner = np.repeat(np.arange(len(counts), dtype=U64), counts)
-            pairs = np.unique((owner << U64(20)) | (words >> U64(44)))
-            total += np.bincount((pairs & U64(BINS - 1)).astype(np.int64), minlength=BINS)
-    size, rows = BINS // PARTS, []
-    for p in range(PARTS):
-        bins = np.flatnonzero(total[p * size : (p + 1) * size])
-        if len(bins):
-            rows.append({"part": p, "bins": pack(bins.astype(np.int32)), "docs": pack(total[p * size : (p + 1) * size][bins])})
-    rows.append({"part": -1, "bins": b"", "docs": pack(np.array([docs]))})
-    yield pa.RecordBatch.from_pylist(rows, schema=BIN)
-
-
-def _add_bins(table: pa.Table) -> pa.Table:
-    part = table.column("part")[0].as_py()
-    if part < 0:
-        docs = sum(int(np.frombuffer(x, np.int64)[0]) for x in table.column("docs").to_pylist())
-        return pa.Table.from_pylist([{"part": part, "bins": b"", "docs": pack(np.array([docs]))}], schema=BIN)
-    total = np.zeros(BINS // PARTS, np.int64)
-    for bins, docs in zip(table.column("bins").to_pylist(), table.column("docs").to_pylist()):
-        total[np.frombuffer(bins, np.int32)] += np.frombuffer(docs, np.int64)
-    bins = np.flatnonzero(total)
-    return pa.Table.from_pylist([{"part": part, "bins": pack(bins.astype(np.int32)), "docs": pack(total[bins])}], schema=BIN)
-
-
-def word_idf(docs: DataFrame) -> np.ndarray:
-    """1 + ln(1 + documents / documents with the bin) / ln(1 + documents) per bin of words, over all documents."""
-    counted = docs.select("text").mapInArrow(_bin_counts, BIN_DDL).groupBy("part").applyInArrow(_add_bins, BIN_DDL)
-    held, n, size = np.zeros(BINS, np.int64), 0, BINS // PARTS
-    for r in counted.collect():  # at most 2^20 counts
-        if r["part"] < 0:
-            n = int(np.frombuffer(r["docs"], np.int64)[0])
-        else:
-            held[r["part"] * size + np.frombuffer(r["bins"], np.int32)] = np.frombuffer(r["docs"], np.int64)
-    return (1 + np.log1p(n / np.maximum(held, 1)) / np.log1p(max(n, 1))).astype(np.float32)
-
-
 SIGN = pa.schema([("tid", pa.string()), ("id", pa.int64()), ("samples", pa.list_(pa.int64()))])
 
 
@@ -156,7 +100,7 @@ def _signatures(idf: np.ndarray):
     def run(batches):
         for batch in batches:
             signed: list[np.ndarray | None] = []
-            for _, words, counts in _texts(strings(batch.column("text"))):
+            for _, words, counts in lower_words(strings(batch.column("text"))):
                 ends = np.cumsum(counts)
                 for a, b in zip(ends - counts, ends):
                     signed.append(sample(*weighted_shingles(words[a:b], idf)).view(np.int64) if b > a else None)
@@ -173,7 +117,7 @@ def _verify(idf: np.ndarray):
             vectors = []
             for side in ("a_text", "b_text"):
                 own = []
-                for _, words, counts in _texts(strings(batch.column(side))):
+                for _, words, counts in lower_words(strings(batch.column(side))):
                     ends = np.cumsum(counts)
                     own.extend(weighted_shingles(words[x:y], idf) for x, y in zip(ends - counts, ends))
                 vectors.append(own)
@@ -228,7 +172,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("tid"),
         F.coalesce("doc_id", F.lit(LAST)).alias("id"),
     )
-    idf = word_idf(rows)
+    idf = smooth_idf(*bin_counts(rows, BIN_BITS))
     signed = rows.select("tid", "id", "text").mapInArrow(_signatures(idf), "tid string, id bigint, samples array<bigint>")
     texts = cut(signed.groupBy("tid").agg(F.min("id").alias("id"), F.any_value("samples").alias("samples")))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlift.llm.bpe import bpe
 from ledgerlift.llm.common import crc_mod, table
+from ledgerlift.llm.decontamination import leaks
 from ledgerlift.llm.language_id import language_id
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.lm_scoring import lm_scores
@@ -59,6 +60,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), crc_mod(4) != 2)
 
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labels of one third of the documents are held out."""
     return toxicity_scores(docs, labels, crc_mod(3) != 1)

@@ -25,7 +25,7 @@ ORDER = 6
 RARE = 3
 DISCOUNT = 0.75
 THRESHOLD = 0.7
-MARK = 32  # stands before and after a word
+PAD = 3  # added to the bytes of a word, so that a short one cannot stand out by a single letter
 GRAM = U64(0x9E3779B97F4A7C15)
 
 
@@ -57,7 +57,7 @@ class KneserNey:
     """Interpolated models of two classes; per order sorted n-grams with (own share, weight of the shorter history)."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray):
-        """``counts``: (words, 2), how often a word occurs in toxic and in ordinary documents."""
+        """``counts``: (words, 2), in how many toxic and ordinary documents a word occurs."""
         buf, first, word = marked_words(words)
         grams = gram_hashes(buf, first)
         places = np.arange(len(buf))
@@ -122,7 +122,7 @@ class KneserNey:
 
 
 def features(model: KneserNey, texts: pa.LargeBinaryArray) -> np.ndarray:
-    """Per text: its ratio per byte, its highest ratio of a word, and the log of its length in words."""
+    """Per text: its ratio per byte, the highest ratio per byte of a word, and the log of its length in words."""
     out = np.zeros((len(texts), 3))
     for low, high in slices(texts, 4 << 20):
         buf, offsets = bytes_of(texts.slice(low, high - low))
@@ -135,7 +135,7 @@ def features(model: KneserNey, texts: pa.LargeBinaryArray) -> np.ndarray:
         size = np.bincount(owner, ends - starts + 1, high - low)
         out[low:high, 0] = np.bincount(owner, ratio, high - low) / np.maximum(size, 1)
         top = np.zeros(high - low)
-        np.maximum.at(top, owner, ratio)
+        np.maximum.at(top, owner, ratio / (ends - starts + PAD))
         out[low:high, 1] = top
         out[low:high, 2] = np.log1p(counts)
     return out
@@ -175,7 +175,7 @@ def _count_words(batches):
     for batch in batches:
         toxic, counts = batch.column("toxic").to_pylist(), {}
         for y, text in zip(toxic, strings(batch.column("text")).to_pylist()):
-            for word in text.lower().split():
+            for word in set(text.lower().split()):  # repeats within a document count once
                 pair = counts.setdefault(word, [0, 0])
                 pair[0 if y else 1] += 1
         words = list(counts)
