@@ -211,6 +211,32 @@ def _search(index: Index):
     return run
 
 
+def _clean(index: Index):
+    def run(batches):
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[i for i, *_ in index.leaks(strings(batch.column("text")))]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def _indexes(docs: DataFrame, benchmark: DataFrame):
+    """One index per group of items; document frequencies come from all documents."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    groups = max(1, -(-items.count() // ITEMS_AT_ONCE))
+    idf = plain_idf(*bin_counts(docs, BIN_BITS, PUNCTUATION))
+    for g in range(groups):
+        group = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g)
+        rows = group.orderBy("item_id", "text").toArrow()  # about ITEMS_AT_ONCE items
+        ids = rows.column("item_id").to_pylist()
+        known = [Item(ids[i], w) for i, w in split_words(strings(rows.column("text"))) if len(w)]
+        if known:
+            bins = np.unique(np.concatenate([word_bins(np.array(x.words, np.uint64), BIN_BITS) for x in known]))
+            yield Index(known, bins, idf, latent_space(group, bins, idf))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, share, kind) for every benchmark item that a document holds.
 
@@ -225,19 +251,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     latent space, so what a task holds does not grow with the benchmark.
     """
     docs = documents(docs)
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    groups = max(1, -(-items.count() // ITEMS_AT_ONCE))
-    idf = plain_idf(*bin_counts(docs, BIN_BITS, PUNCTUATION))
     found = docs.sparkSession.createDataFrame([], LEAK_DDL)
-    for g in range(groups):
-        group = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g)
-        rows = group.orderBy("item_id", "text").toArrow()  # about ITEMS_AT_ONCE items
-        ids = rows.column("item_id").to_pylist()
-        known = [Item(ids[i], w) for i, w in split_words(strings(rows.column("text"))) if len(w)]
-        if not known:
-            continue
-        bins = np.unique(np.concatenate([word_bins(np.array(x.words, np.uint64), BIN_BITS) for x in known]))
-        space = latent_space(group, bins, idf)
-        found = found.unionByName(docs.mapInArrow(_search(Index(known, bins, idf, space)), LEAK_DDL))
+    for index in _indexes(docs, benchmark):
+        found = found.unionByName(docs.mapInArrow(_search(index), LEAK_DDL))
     return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no benchmark item; see leaks."""
+    kept = docs
+    for index in _indexes(docs, benchmark):
+        kept = kept.mapInArrow(_clean(index), docs.schema)
+    return kept

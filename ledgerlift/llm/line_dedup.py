@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlift.llm.common import U64, block_count, block_of, cut, documents, mix, pack, strings
+from ledgerlift.llm.common import U64, block_count, block_of, cut, mix, pack, strings
 
 LINES_PER_SHARD = 1 << 15
 BLANK = b" \t\n\x0b\x0c\r"
@@ -156,52 +156,54 @@ def _probe(min_docs: int):
     return run
 
 
-DIGEST_DDL = "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string"
-DIGEST = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
-RESULT_DDL = "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string"
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_text", pa.string())])
+COUNTS = [("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())]
+COUNTS_DDL = "doc_id bigint, n_lines bigint, n_dropped bigint"
 
 
-def _drop(min_chars: int, digest: bool):
-    schema = DIGEST if digest else RESULT
-
+def _drop(min_chars: int, digest: bool, carry: list[str]):
     def run(docs: pa.Table, drops: pa.Table) -> pa.Table:
         packed = b"".join(drops.column("keys").to_pylist())
         often = {packed[i : i + 16] for i in range(0, len(packed), 16)}
-        out = []
-        for doc_id, text in zip(docs.column("doc_id").to_pylist(), strings(docs.column("text")).to_pylist()):
+        sizes, dropped, texts = [], [], []
+        for text in strings(docs.column("text")).to_pylist():
             lines = text.split(b"\n")
             kept = [x for x, d in zip(lines, _digests(text, min_chars)) if d is None or d not in often] if often else lines
             joined = b"\n".join(kept)
-            row = {"doc_id": doc_id, "n_lines": len(lines), "n_dropped": len(lines) - len(kept)}
-            row |= {"kept_sha256": hashlib.sha256(joined).hexdigest()} if digest else {"kept_text": joined.decode("utf-8", "replace")}
-            out.append(row)
-        return pa.Table.from_pylist(out, schema=schema)
+            sizes.append(len(lines))
+            dropped.append(len(lines) - len(kept))
+            texts.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace"))
+        columns = [docs.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())]
+        names = [n for n, _ in COUNTS] + ["kept_sha256" if digest else "kept_text"]
+        return pa.Table.from_arrays(columns + [docs.column(f"carry_{i}") for i in range(len(carry))], names=names + carry)
 
     return run
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, digest: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, digest: bool = False, carry: list[str] | None = None) -> DataFrame:
     r"""Drop every line whose key is found in at least ``min_docs`` documents, in all of them.
 
     Texts are split at \n; a key is the line without ASCII white space at both
     ends and with A-Z lowered; keys under ``min_chars`` code points never count.
     Returns per row of ``docs``: doc_id, n_lines, n_dropped and kept_text (the
-    other lines, unchanged, joined by \n) or, with ``digest``, its SHA-256.
+    other lines, unchanged, joined by \n) or, with ``digest``, its SHA-256, then the
+    columns of ``docs`` named in ``carry``.
 
     A null or empty text is one empty line. Each row is a document of its own,
     also where rows share a doc_id or have none; a line repeated within one
     document counts once. An empty table gives an empty result. Lines are told
     apart by 128-bit hashes.
     """
-    docs = documents(docs)
+    carry = carry or []
+    carried = [F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(carry)]
+    types = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
     blocks = block_count(docs)
-    blocked = docs.select(block_of(blocks), "doc_id", "text")
+    blocked = docs.withColumn("block", block_of(blocks))
     lines = docs.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit("\n")) + 1), F.lit(1))).first()[0]
     shards = max(1, -(-lines // LINES_PER_SHARD))
-    asks = cut(blocked.mapInArrow(_line_asks(shards, min_chars), ASK_DDL))
+    asks = cut(blocked.select("block", "text").mapInArrow(_line_asks(shards, min_chars), ASK_DDL))
     index = asks.groupBy("shard").applyInArrow(_index, INDEX_DDL)
     drops = asks.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), DROP_DDL)
     return blocked.groupBy("block").cogroup(drops.groupBy("block")).applyInArrow(
-        _drop(min_chars, digest), DIGEST_DDL if digest else RESULT_DDL
+        _drop(min_chars, digest, carry), f"{COUNTS_DDL}, {'kept_sha256' if digest else 'kept_text'} string{types}"
     )

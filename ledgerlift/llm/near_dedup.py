@@ -153,25 +153,16 @@ def components(edges: DataFrame) -> DataFrame:
     return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id) per row: class_id is the least doc_id of the row's class.
+def _identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with tid (what tells texts apart) and id (the doc_id; the greatest where there is none)."""
+    return docs.withColumns({
+        "tid": F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")),
+        "id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)),
+    })
 
-    Texts are linked if their weighted Jaccard similarity over TF-IDF weighted
-    five-word shingles is 0.8 or more; classes are the connected components. Words
-    are runs of bytes other than ASCII white space, with A-Z lowered.
 
-    Equal texts share a class. A text of fewer than five words is one shingle. A
-    text without words is alike only to the very same text; null counts as empty.
-    Rows may repeat, share a doc_id or lack one; a class of rows without ids has a
-    null class_id. Candidates come from 12 bands of 4 samples: a pair at 0.8 is
-    missed about twice in a thousand times, at 0.9 never in practice.
-    """
-    rows = documents(docs).select(
-        "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("tid"),
-        F.coalesce("doc_id", F.lit(LAST)).alias("id"),
-    )
+def _classes(rows: DataFrame) -> DataFrame:
+    """(tid, id, label) of every distinct text of rows (tid, id, text); equal labels are one class."""
     idf = smooth_idf(*bin_counts(rows, BIN_BITS))
     signed = rows.select("tid", "id", "text").mapInArrow(_signatures(idf), "tid string, id bigint, samples array<bigint>")
     texts = cut(signed.groupBy("tid").agg(F.min("id").alias("id"), F.any_value("samples").alias("samples")))
@@ -208,9 +199,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    classes = texts.select("tid", "id").join(labels.withColumnRenamed("node", "tid"), "tid", "left").select(
+    return texts.select("tid", "id").join(labels.withColumnRenamed("node", "tid"), "tid", "left").select(
         "tid", "id", F.coalesce("label", "tid").alias("label")
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id) per row: class_id is the least doc_id of the row's class.
+
+    Texts are linked if their weighted Jaccard similarity over TF-IDF weighted
+    five-word shingles is 0.8 or more; classes are the connected components. Words
+    are runs of bytes other than ASCII white space, with A-Z lowered.
+
+    Equal texts share a class. A text of fewer than five words is one shingle. A
+    text without words is alike only to the very same text; null counts as empty.
+    Rows may repeat, share a doc_id or lack one; a class of rows without ids has a
+    null class_id. Candidates come from 12 bands of 4 samples: a pair at 0.8 is
+    missed about twice in a thousand times, at 0.9 never in practice.
+    """
+    rows = _identified(documents(docs))
+    classes = _classes(rows.select("tid", "id", F.coalesce("text", F.lit("")).alias("text")))
     least = classes.groupBy("label").agg(F.min("id").alias("class_id"))
     of = classes.join(least, "label").select("tid", F.nullif("class_id", F.lit(LAST)).alias("class_id"))
     return rows.select("doc_id", "tid").join(of, "tid").select("doc_id", "class_id")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of ``docs``, all columns, per class: that of the least doc_id; see near_duplicates."""
+    rows = _identified(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    kept = _classes(rows.select("tid", "id", "text")).groupBy("label").agg(F.min(F.struct("id", "tid")).alias("k")).select("k.id", "k.tid")
+    taken = _identified(docs).withColumnsRenamed({"tid": "_tid", "id": "_id"})
+    one = taken.join(kept, (F.col("_tid") == F.col("tid")) & (F.col("_id") == F.col("id")))
+    return one.dropDuplicates(["_tid", "_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])

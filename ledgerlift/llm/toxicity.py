@@ -242,3 +242,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFr
     """
     scored = documents(docs).mapInArrow(_score(fit(docs, labels, learn)), "doc_id bigint, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """The rows of ``docs``, all columns, whose predicted is 0; see toxicity_scores."""
+    scorer = fit(docs, labels, learn)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(scorer(strings(batch.column("text"))) < THRESHOLD)) if scorer else batch
+
+    return docs.mapInArrow(run, docs.schema)
