@@ -88,7 +88,8 @@ CTES = {
                CASE l_returnflag WHEN 'R' THEN ' Atrasado' WHEN 'A' THEN 'PAGO ' ELSE 'pendente' END AS status_conta
         FROM lineitem""",
     "b_conta_receber": """
-        SELECT o_orderkey AS id_conta, texto AS descricao_conta, o_custkey AS id_cliente,
+        SELECT o_orderkey AS id_conta, texto AS descricao_conta,
+               CASE WHEN o_orderkey % 97 = 0 THEN o_custkey + 1000000000000 ELSE o_custkey END AS id_cliente,
                o_orderpriority || ' ' AS codigo_categoria, CAST(NULL AS VARCHAR) AS observacao_conta,
                CASE WHEN o_totalprice >= 2000 THEN o_totalprice END AS valor_conta,
                CASE WHEN NOT (o_orderstatus = 'P' AND o_totalprice < 6000) THEN CAST(o_orderdate AS DATE) END AS data_vencimento,
@@ -100,13 +101,13 @@ CTES = {
         SELECT c_custkey AS id_cliente, nome AS nome_cliente, pais AS pais_cliente,
                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'sem data'
                     ELSE strftime(DATE '1990-01-01' + CAST(c_custkey % 1500 AS INTEGER), '%Y-%m-%d') END AS data_cadastro_cliente
-        FROM (SELECT *, ' ' || c_name || ' ' AS nome, {SPELLING} AS pais FROM customer WHERE c_acctbal >= -900
-              UNION ALL SELECT *, upper(c_name), 'Brasil' FROM customer WHERE c_acctbal >= -900 AND c_acctbal < 0)""",
+        FROM (SELECT *, ' ' || c_name || ' ' AS nome, {SPELLING} AS pais FROM customer
+              UNION ALL SELECT *, upper(c_name), 'Brasil' FROM customer WHERE c_acctbal < 0)""",
     "bulletins": """
         SELECT CAST(o_orderdate AS DATE) AS day,
                CAST(sum(o_orderkey) FILTER (o_orderstatus = 'F') % 3000 AS DECIMAL(8,0)) AS opening,
-               CAST(sum(o_orderkey) FILTER (o_orderstatus = 'O') % 3000 AS DECIMAL(8,0)) AS closing
-        FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""",
+               CAST(sum(o_orderkey) FILTER (o_orderstatus <> 'F') % 3000 AS DECIMAL(8,0)) AS closing
+        FROM orders GROUP BY 1""",
     "b_exchange_rates": f"""
         SELECT currency, day AS date, buy AS buy_rate, buy + CAST(0.0101 AS DECIMAL(5,4)) AS sell_rate,
                CAST((buy + buy + CAST(0.0101 AS DECIMAL(5,4))) * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(10,4)) AS average_rate
@@ -409,11 +410,11 @@ AUDIT = {
 }
 
 STATEMENTS = {
-    "bronze_csv": "SELECT mes_meta, meta FROM b_meta",
+    "bronze_csv": "SELECT mes_meta, meta, 'planilha' AS origem FROM b_meta",
     "bronze_json": "SELECT CAST(id_cliente AS VARCHAR) AS id_cliente, nome_cliente, pais_cliente, data_cadastro_cliente FROM b_cliente",
     "bronze_tabular": """SELECT CAST(id_conta AS VARCHAR) AS id_conta, descricao_conta, CAST(id_cliente AS VARCHAR) AS id_cliente,
         codigo_categoria, observacao_conta, valor_conta, strftime(data_vencimento, '%Y-%m-%d') AS data_vencimento,
-        strftime(data_pagamento, '%Y-%m-%d') AS data_pagamento, status FROM b_conta_receber""",
+        strftime(data_pagamento, '%Y-%m-%d') AS data_pagamento, status, 'planilha' AS origem FROM b_conta_receber""",
     "bronze_metadata": f"""SELECT o_orderkey, '{RUN_TS}' AS _ingestion_date, 'conta_receber' AS _source,
         'orders.parquet' AS _raw_file_path FROM orders""",
     "fx_payload_flatten": f"SELECT currency, date, {QUOTE_DOUBLES} FROM landed",
@@ -502,12 +503,15 @@ STATEMENTS = {
     "check_not_null": " UNION ALL ".join(
         _limits(f"(SELECT *, {CURRENCY_NAME} AS currency_name, {CURRENCY_COUNTRY} AS country FROM currency_dim1)", "currency_dim",
                 {"currency_code": (1, 3), "currency_name": (1, 100), "country": (1, 100)})
-        + _limits("customer_dim", "customer_dim", {"customer_code": (1, 50), "customer_name": (1, 150), "country": (1, 100), "ml_cluster": (0, None)})
+        + _limits("customer_dim", "customer_dim", {"customer_code": (1, 50), "customer_name": (1, 150), "country": (1, 100), "ml_cluster": (0, None), "created_at": (1, None)})
         + _limits("category_dim", "category_dim", {"category_code": (1, 50), "category_name": (1, 150), "description": (0, 500)})
         + _limits("account_dim1", "account_dim", {"account_code": (1, 80), "account_type": (1, 50), "category_id": (1, None)})
         + _limits("transaction_fact", "transaction_fact", {
             "customer_id": (0, None), "account_id": (1, None), "currency_id": (1, None), "date_id": (1, None),
             "amount_original": (1, None), "amount_brl": (1, None), "exchange_rate": (1, None)})
+        + _limits("(SELECT *, year(date) AS year, month(date) AS month, day(date) AS day FROM date_dim1)", "date_dim", {"date": (1, None), "year": (1, None), "month": (1, None), "day": (1, None)})
+        + _limits("exchange_rate_fact", "exchange_rate_fact", {
+            "currency_id": (1, None), "date": (1, None), "buy_rate": (0, None), "sell_rate": (0, None), "average_rate": (1, None)})
     ),
     "customer_summary": """SELECT * REPLACE (CAST(total_receita_original AS DOUBLE) AS total_receita_original,
         CAST(total_receita_brl AS DOUBLE) AS total_receita_brl, round(desvio_padrao_brl, 2) AS desvio_padrao_brl) FROM customer_summary""",
@@ -570,6 +574,10 @@ STATEMENTS = {
         SELECT id, cluster, max(n) FILTER (own) AS n, max(t / nullif(n - 1, 0)) FILTER (own) AS a, min(t / n) FILTER (NOT own) AS b FROM (
           SELECT p.id, p.cluster, p.cluster = q.cluster AS own, q.cluster AS other, count(*) AS n, sum(list_distance(p.v, q.v)) AS t
           FROM pts p, pts q GROUP BY ALL) GROUP BY id, cluster)""",
+    "silhouette_squared": """SELECT round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_score FROM (
+        SELECT id, max(n) FILTER (own) AS n, max(t / nullif(n - 1, 0)) FILTER (own) AS a, min(t / n) FILTER (NOT own) AS b FROM (
+          SELECT p.id, p.cluster = q.cluster AS own, q.cluster AS other, count(*) AS n, sum(list_distance(p.v, q.v) ** 2) AS t
+          FROM pts p, pts q GROUP BY ALL) GROUP BY id)""",
     "davies_bouldin": """SELECT round(avg(worst), 6) AS davies_bouldin_index FROM (
         SELECT i.cluster, max((i.s + j.s) / g.gap) AS worst FROM (SELECT cluster, avg(sqrt(d2)) AS s FROM dist2 GROUP BY 1) i
         JOIN (SELECT cluster, avg(sqrt(d2)) AS s FROM dist2 GROUP BY 1) j ON i.cluster <> j.cluster

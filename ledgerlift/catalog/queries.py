@@ -29,21 +29,20 @@ QUERIES: dict[str, Query] = {}
 
 
 class Lake:
-    """The layers of one test folder, for one query.
+    """The layers of one test folder, for one query, all lazy.
 
-    Tables that a query reads several times are written once, as the layers of a
-    pipeline run are, and read back (``stored``); tables read once stay lazy.
+    A layer that a query uses several times is the same frame each time
+    (``stored``), so Spark reuses its exchanges.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._written: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
 
     def stored(self, name: str) -> DataFrame:
-        if name not in self._written:
-            built = self.silver(name) if name in inputs.INPUTS else getattr(self, name)()
-            self._written[name] = readers.write_parquet(built, readers.scratch_path(self.spark, name))
-        return self._written[name]
+        if name not in self._built:
+            self._built[name] = self.silver(name) if name in inputs.INPUTS else getattr(self, name)()
+        return self._built[name]
 
     def table(self, name: str) -> DataFrame:
         return inputs.table(self.spark, self.sf_dir, name)
@@ -60,11 +59,9 @@ class Lake:
         return hot_keys(ids, "id_cliente")
 
     def enriched(self, dims: dict[str, DataFrame] | None = None) -> DataFrame:
-        """With dimensions the account tables are read twice (calendar and facts), so they are stored."""
-        accounts = self.silver if dims is None else self.stored
         return gold.enrich(
-            accounts("conta_pagar"),
-            accounts("conta_receber"),
+            self.stored("conta_pagar"),
+            self.stored("conta_receber"),
             self.stored("cliente"),
             self.stored("categoria"),
             self.stored("exchange_rates"),
@@ -158,7 +155,8 @@ def _as_text(df: DataFrame, schema: str) -> DataFrame:
 
 @query("bronze_csv")
 def bronze_csv(lake: Lake) -> DataFrame:
-    rows = normalize_columns(lake.bronze("meta"))
+    """Written with another column order and a column nobody declared; read back by name."""
+    rows = normalize_columns(lake.bronze("meta")).select("meta", F.lit("planilha").alias("origem"), "mes_meta")
     path = readers.scratch_path(lake.spark, "meta_csv")
     rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
@@ -182,7 +180,8 @@ def bronze_json(lake: Lake) -> DataFrame:
 
 @query("bronze_tabular")
 def bronze_tabular(lake: Lake) -> DataFrame:
-    rows = _as_text(lake.bronze("conta_receber"), readers.SCHEMAS["conta_receber"])
+    text = _as_text(lake.bronze("conta_receber"), readers.SCHEMAS["conta_receber"])
+    rows = text.select(F.lit("planilha").alias("origem"), *reversed(text.columns))
     path = readers.scratch_path(lake.spark, "conta_receber_csv")
     rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
@@ -526,27 +525,9 @@ def check_foreign_keys(lake: Lake) -> DataFrame:
 
 @query("check_not_null")
 def check_not_null(lake: Lake) -> DataFrame:
-    """Required columns and text lengths of the declared tables."""
-    checks = [
-        (lake.stored("currency_dim"), "currency_dim", {"currency_code": (False, 3), "currency_name": (False, 100), "country": (False, 100)}),
-        (lake.stored("customer_dim"), "customer_dim", {"customer_code": (False, 50), "customer_name": (False, 150), "country": (False, 100), "ml_cluster": (True, None)}),
-        (lake.stored("category_dim"), "category_dim", {"category_code": (False, 50), "category_name": (False, 150), "description": (True, 500)}),
-        (lake.stored("account_dim"), "account_dim", {"account_code": (False, 80), "account_type": (False, 50), "category_id": (False, None)}),
-        (
-            lake.stored("transaction_fact"),
-            "transaction_fact",
-            {
-                "customer_id": (True, None),
-                "account_id": (False, None),
-                "currency_id": (False, None),
-                "date_id": (False, None),
-                "amount_original": (False, None),
-                "amount_brl": (False, None),
-                "exchange_rate": (False, None),
-            },
-        ),
-    ]
-    return quality.union_all([quality.limit_violations(*c) for c in checks])
+    """Required columns and text lengths of all seven star tables."""
+    star = _star(lake)
+    return quality.union_all([quality.limit_violations(star[t], t, limit) for t, limit in gold.LIMITS.items()])
 
 
 # ---- summaries -----------------------------------------------------------------
@@ -705,6 +686,13 @@ def silhouette_exact(lake: Lake) -> DataFrame:
     return rounded(cm.silhouette_points(lake.points()), 6, "silhouette")
 
 
+@query("silhouette_squared")
+def silhouette_squared(lake: Lake) -> DataFrame:
+    """The default metric of the segmentation, on fixed labels."""
+    score = cm.silhouette_score(lake.points())
+    return lake.spark.createDataFrame([(round(score, 6),)], "silhouette_score double")
+
+
 @query("davies_bouldin")
 def davies_bouldin(lake: Lake) -> DataFrame:
     return rounded(cm.davies_bouldin(lake.points()), 6, "davies_bouldin_index")

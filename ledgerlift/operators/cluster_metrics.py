@@ -13,7 +13,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_ROWS = 2_000
-EXACT_SILHOUETTE_ROWS = 200_000
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -139,8 +138,7 @@ def silhouette_points(points: DataFrame, rows: int | None = None, block_rows: in
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     base = points.select("id", F.col("cluster").cast("int").alias("cluster"), "features")
     # An explicit number of partitions: little data but much work, which coalescing by size would pile up.
-    spark = points.sparkSession
-    tasks = min(blocks * blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+    tasks = blocks * blocks
     left = base.select("*", own.alias("_i"), every.alias("_j")).repartition(tasks, "_i", "_j")
     right = base.select("*", own.alias("_j"), every.alias("_i")).repartition(tasks, "_i", "_j")
     id_type = points.schema["id"].dataType.simpleString()
@@ -171,16 +169,15 @@ def silhouette_euclidean(points: DataFrame, rows: int | None = None) -> DataFram
     return silhouette_points(points, rows).agg(F.avg("silhouette").alias("silhouette_score"))
 
 
-def silhouette_score(points: DataFrame, rows: int, metric: str = "auto") -> float:
-    """Mean silhouette of all points.
+def silhouette_score(points: DataFrame, metric: str = "squared") -> float:
+    """Mean silhouette of all points, by the metric the caller names, at every size.
 
-    ``euclidean`` is the usual definition, quadratic in the rows; ``squared``
-    is Spark's squared-Euclidean form, linear in the rows and still over every
-    row. ``auto`` takes the first up to ``EXACT_SILHOUETTE_ROWS`` rows.
+    ``squared`` is Spark's squared-Euclidean form, linear in the rows;
+    ``euclidean`` is the usual definition, quadratic in the rows.
     """
-    if metric == "auto":
-        metric = "euclidean" if rows <= EXACT_SILHOUETTE_ROWS else "squared"
     if metric == "euclidean":
-        return float(silhouette_euclidean(points, rows).first()[0])
+        return float(silhouette_euclidean(points).first()[0])
+    if metric != "squared":
+        raise ValueError(f"unknown silhouette metric: {metric}")
     vectors = points.select(array_to_vector("features").alias("features"), F.col("cluster").alias("prediction"))
     return float(ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(vectors))

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ledgerlift.functions.columns import RATE
 from ledgerlift.functions.country import COUNTRY_CURRENCY, HOME_CURRENCY
 
+NULL_SPREAD = 4_096
+
 
 def rate_history(rates: DataFrame) -> DataFrame:
     """(currency, rate_date, rate) for the currencies a country can map to, one row per day."""
@@ -14,7 +16,7 @@ def rate_history(rates: DataFrame) -> DataFrame:
     return (
         rates.filter(F.upper("currency").isin(used) & F.col("date").isNotNull() & F.col("average_rate").isNotNull())
         .groupBy(F.upper("currency").alias("currency"), F.col("date").alias("rate_date"))
-        .agg(F.max(F.round(F.col("average_rate").cast("decimal(18,6)"), 4).cast(RATE)).alias("rate"))
+        .agg(F.max(F.round(F.col("average_rate").try_cast("decimal(18,6)"), 4).try_cast(RATE)).alias("rate"))
     )
 
 
@@ -87,7 +89,8 @@ def asof_by_key(
 
     Both sides meet in time buckets per key, so a key that holds a third of the
     rows is cut into as many groups as it has buckets. What earlier buckets hold
-    is carried over through one row per (key, bucket).
+    is carried over through one row per (key, bucket). A null key finds nothing;
+    such rows are spread over ``NULL_SPREAD`` groups.
     """
     columns = left.columns
     left_side = left.select(
@@ -96,7 +99,7 @@ def asof_by_key(
         F.lit(1).alias("_side"),
         F.struct(*columns).alias("_row"),
     ).withColumn("_mark", F.lit(None).cast(f"struct<t:{_type(right, right_time)},v:{_type(right, value)}>"))
-    right_side = right.filter(F.col(right_time).isNotNull()).select(
+    right_side = right.filter(F.col(right_time).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
         F.col(right_time).alias("_time"),
         F.lit(0).alias("_side"),
@@ -104,7 +107,8 @@ def asof_by_key(
     )
     seconds = F.unix_seconds(F.col("_time").cast("timestamp"))
     both = left_side.unionByName(right_side, allowMissingColumns=True).withColumn(
-        "_bucket", F.floor(seconds / bucket_seconds)
+        "_bucket",
+        F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("_row"), F.lit(NULL_SPREAD))).otherwise(F.floor(seconds / bucket_seconds)),
     )
     running = (
         W.partitionBy("_key", "_bucket").orderBy("_time", "_side", "_mark").rowsBetween(W.unboundedPreceding, 0)

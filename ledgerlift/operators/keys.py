@@ -50,7 +50,8 @@ def fact_numbers(df: DataFrame, parts: list[str], out: str) -> DataFrame:
     """
     text = F.md5(F.concat_ws("|", *parts))
     bucket = F.conv(F.substring(text, 1, FACT_DIGITS), 16, 10).cast("bigint")
-    spec = W.partitionBy("_bucket").orderBy(*parts)
+    rest = [c for c in df.columns if c not in parts]  # equal parts are told apart by the other columns
+    spec = W.partitionBy("_bucket").orderBy(*parts, *rest)
     return (
         df.withColumn("_bucket", bucket)
         .withColumn(out, F.col("_bucket") * FACT_SHIFT + F.row_number().over(spec))

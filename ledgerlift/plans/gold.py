@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ledgerlift.functions.columns import MONEY, RATE, instant, percent_equal, safe_text, stripped
 from ledgerlift.functions.country import (
@@ -40,6 +40,40 @@ ENRICHED = [
     "data_referencia",
 ]
 KEYS = ["customer_dim_id", "account_id", "currency_id", "date_id"]
+# Unique keys, foreign keys and limits (nullable, longest text) of the star schema.
+UNIQUE_KEYS = {
+    "currency_dim": ["currency_code"],
+    "customer_dim": ["customer_code"],
+    "category_dim": ["category_code"],
+    "account_dim": ["account_code"],
+    "date_dim": ["date"],
+    "exchange_rate_fact": ["currency_id", "date"],
+    "transaction_fact": ["transaction_id"],
+}
+FOREIGN_KEYS = [
+    ("account_dim", "category_id", "category_dim"),
+    ("transaction_fact", "customer_id", "customer_dim"),
+    ("transaction_fact", "account_id", "account_dim"),
+    ("transaction_fact", "currency_id", "currency_dim"),
+    ("transaction_fact", "date_id", "date_dim"),
+    ("exchange_rate_fact", "currency_id", "currency_dim"),
+]
+LIMITS = {
+    "currency_dim": {"currency_code": (False, 3), "currency_name": (False, 100), "country": (False, 100)},
+    "customer_dim": {
+        "customer_code": (False, 50), "customer_name": (False, 150), "country": (False, 100), "ml_cluster": (True, None), "created_at": (False, None),
+    },
+    "category_dim": {"category_code": (False, 50), "category_name": (False, 150), "description": (True, 500)},
+    "account_dim": {"account_code": (False, 80), "account_type": (False, 50), "category_id": (False, None)},
+    "date_dim": {"date": (False, None), "year": (False, None), "month": (False, None), "day": (False, None)},
+    "transaction_fact": {
+        "customer_id": (True, None), "account_id": (False, None), "currency_id": (False, None), "date_id": (False, None),
+        "amount_original": (False, None), "amount_brl": (False, None), "exchange_rate": (False, None),
+    },
+    "exchange_rate_fact": {
+        "currency_id": (False, None), "date": (False, None), "buy_rate": (True, None), "sell_rate": (True, None), "average_rate": (False, None),
+    },
+}
 
 
 # ---- lookups -------------------------------------------------------------------
@@ -108,13 +142,12 @@ def _upsert(
     columns = [key, code, *changing, *kept]
     if existing is None:
         return dense_numbers(incoming.select(code, *changing), code, key).withColumns(kept).select(*columns)
-    old = existing.select(*columns).withColumn("_old", F.lit(True))
+    old = existing.select(*columns)
     new = incoming.select(code, *[F.col(c).alias(f"_new_{c}") for c in changing], F.lit(True).alias("_new"))
-    both = old.join(new, code, "full")
-    updated = both.filter("_old").select(
+    updated = old.join(new, code, "left").select(
         key, code, *[F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in changing], *kept
     )
-    added = both.filter(F.col("_old").isNull()).select(code, *[F.col(f"_new_{c}").alias(c) for c in changing])
+    added = incoming.select(code, *changing).join(old.select(code), code, "left_anti")
     numbered = dense_numbers(added, code, key, next_key(existing, key)).withColumns(kept).select(*columns)
     return updated.unionByName(numbered)
 
@@ -193,6 +226,8 @@ def date_dim(span: DataFrame, existing: DataFrame | None = None) -> DataFrame:
 # ---- transactions --------------------------------------------------------------
 
 
+# Beyond this an amount, converted, no longer fits its column.
+AMOUNT_LIMIT = "1e13"
 # Payment day, else due day.
 REFERENCE_DAY = "coalesce(data_pagamento, data_vencimento)"
 
@@ -205,8 +240,9 @@ def common_columns(df: DataFrame, kind: str) -> DataFrame:
         (stripped("id_cliente") if kind == "receber" else "cast(NULL AS string)") + " AS _client",
         f"{safe_text('codigo_categoria')} AS codigo_categoria",
         f"{safe_text('status_conta')} AS status_conta",
-        f"cast(valor_conta AS {MONEY}) AS valor_original",
+        f"try_cast(valor_conta AS {MONEY}) AS valor_original",
         f"{REFERENCE_DAY} AS data_referencia",
+        f"coalesce(abs(valor_conta) >= {AMOUNT_LIMIT}, false) AS _too_large",
     )
 
 
@@ -241,8 +277,8 @@ def enrich(
 ) -> DataFrame:
     """Payables and receivables as one stream, priced in the home currency.
 
-    Rows without a reference day or known category are left out (``rejected``
-    lists them). With ``dims`` (currency, customer, account, date) the rows also
+    Rows without a reference day or known category and amounts out of range are
+    left out (``rejected`` lists them). With ``dims`` (currency, customer, account, date) the rows also
     carry the dimension keys and must hit the calendar.
 
     Shuffles: only the receivable-customer join, spread for hot customers.
@@ -270,7 +306,7 @@ def enrich(
 
     lookup, small = broadcast_if_small(_account_lookup(categories, dims))
     rows = union_all([_with_account(side, lookup, small, dims is not None) for side in (outgoing, incoming)])
-    rows = rows.filter(F.col("data_referencia").isNotNull())
+    rows = rows.filter(F.col("data_referencia").isNotNull() & ~F.col("_too_large")).drop("_too_large")
     if dims is not None:
         rows = rows.join(
             F.broadcast(dims["date"].select(F.col("date").alias("data_referencia"), "date_id")), "data_referencia"
@@ -313,12 +349,15 @@ def rejected(
     payables: DataFrame, receivables: DataFrame, categories: DataFrame, calendar: DataFrame | None = None
 ) -> DataFrame:
     """Rows ``enrich`` leaves out, with the first reason that applies."""
-    codes, _ = broadcast_if_small(category_lookup(categories).select("codigo_categoria", F.lit(True).alias("_known")))
+    codes, small = broadcast_if_small(category_lookup(categories).select("codigo_categoria", F.lit(True).alias("_known")))
     rows = union_all([common_columns(payables, "pagar"), common_columns(receivables, "receber")])
-    rows = rows.select("id_conta", "tipo_conta", "codigo_categoria", "data_referencia").join(
-        codes, "codigo_categoria", "left"
-    )
+    rows = rows.select("id_conta", "tipo_conta", "codigo_categoria", "data_referencia", "_too_large")
+    if small:
+        rows = rows.join(codes, "codigo_categoria", "left")
+    else:
+        rows = spread_left_join(rows, codes, "codigo_categoria", "id_conta")
     reason = F.when(F.col("_known").isNull(), "unknown account").when(F.col("data_referencia").isNull(), "no date")
+    reason = reason.when(F.col("_too_large"), "amount out of range")
     if calendar is not None:
         rows = rows.join(
             F.broadcast(calendar.select(F.col("date").alias("data_referencia"), "date_id")), "data_referencia", "left"
@@ -356,12 +395,19 @@ def exchange_rate_fact(rates: DataFrame, currencies: DataFrame, run_ts: datetime
     typed = rates.filter(F.col("date").isNotNull()).select(
         F.upper(F.trim("currency")).alias("currency_code"),
         "date",
-        *[F.col(c).cast("decimal(18,6)").cast(RATE).alias(c) for c in ("buy_rate", "sell_rate", "average_rate")],
+        *[F.col(c).try_cast("decimal(18,6)").try_cast(RATE).alias(c) for c in ("buy_rate", "sell_rate", "average_rate")],
     )
     known = keep_greatest(typed, ["currency_code", "date"]).join(
         F.broadcast(currencies.select("currency_code", "currency_id")), "currency_code"
     )
-    return small_numbers(known, ["currency_id", "date"], "rate_id").select(
+    # numbered within each currency and shifted by the quotes of the earlier ones
+    before = W.orderBy("currency_id").rowsBetween(W.unboundedPreceding, -1)
+    shifts = known.groupBy("currency_id").count().select(
+        "currency_id", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift")
+    )
+    place = F.row_number().over(W.partitionBy("currency_id").orderBy("date"))
+    numbered = known.join(shifts, "currency_id").withColumn("rate_id", (F.col("_shift") + place).cast("bigint"))
+    return numbered.select(
         "rate_id",
         "currency_id",
         "date",

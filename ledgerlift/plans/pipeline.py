@@ -13,6 +13,7 @@ from datetime import date, datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerlift.operators import quality
 from ledgerlift.plans import gold, segmentation, silver
 from ledgerlift.sources import quotes, readers
 
@@ -35,6 +36,10 @@ class Run:
     run_ts: datetime
     previous: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.previous is not None and self.previous.rstrip("/") == self.root.rstrip("/"):
+            raise ValueError("a run cannot read the folder that it writes")
+
     def path(self, table: str) -> str:
         if table.endswith("_raw"):
             layer = "bronze"
@@ -57,19 +62,30 @@ class Run:
         return Run(self.spark, self.previous, self.run_ts).read(table)
 
 
-def run_bronze(run: Run, files: dict[str, str], payloads: DataFrame, as_of: date | None = None) -> None:
-    """Land the five files and the quotes.
+def run_bronze(
+    run: Run,
+    files: dict[str, str],
+    payloads: DataFrame,
+    as_of: date | None = None,
+    currencies: list[str] | None = None,
+    lookback_days: int = quotes.LOOKBACK_DAYS,
+    json_lines: bool = False,
+) -> None:
+    """Land the five files and the quotes; ``json_lines`` reads customers line by line, which Spark can split.
 
-    With ``as_of`` only the newest quote of each currency in the lookback window
-    is kept, else the whole landed history. Without any quote the previous run's
+    With ``as_of`` only the newest quote of each of ``currencies`` in the lookback
+    window is kept, and ``missing_quotes`` lists those without one; else the whole
+    landed history is kept. Without any quote the previous run's
     quotes stand in; without those the run fails.
     """
     for name, read in LANDING.items():
-        rows = read(run.spark, files[name], readers.SCHEMAS[name])
+        options = {"multi_line": not json_lines} if read is readers.read_json else {}
+        rows = read(run.spark, files[name], readers.SCHEMAS[name], **options)
         run.write(readers.with_lineage(rows, name, run.run_ts, files[name]), f"{name}_raw")
     landed = quotes.flatten_payloads(payloads)
     if as_of is not None:
-        landed = quotes.latest_quotes(landed, F.lit(as_of))
+        landed = quotes.latest_quotes(landed, F.lit(as_of), currencies, lookback_days)
+        run.write(quotes.missing_currencies(run.spark, landed, currencies), "missing_quotes")
     landed = quotes.with_quote_lineage(landed, run.run_ts)
     persisted = run.before("bcb_exchange_rates_raw")
     chosen = landed if persisted is None else quotes.fresh_or_cached(landed, persisted)
@@ -90,7 +106,7 @@ def run_gold(run: Run) -> None:
 
     dates = run.write(gold.date_dim(gold.date_range(payables, receivables), run.before("date_dim")), "date_dim")
     currencies = run.write(gold.currency_dim(rates, customers, run.before("currency_dim")), "currency_dim")
-    people = run.write(gold.customer_dim(customers, run.run_ts, run.before("customer_dim_labelled")), "customer_dim")
+    people = run.write(gold.customer_dim(customers, run.run_ts, run.before("customer_dim")), "customer_dim")
     kinds = run.write(gold.category_dim(categories, run.before("category_dim")), "category_dim")
     accounts = run.write(gold.account_dim(kinds, run.before("account_dim")), "account_dim")
     dims = {"date": dates, "currency": currencies, "customer": people, "account": accounts}
@@ -99,12 +115,28 @@ def run_gold(run: Run) -> None:
         gold.enrich(payables, receivables, customers, categories, rates, dims=dims), "transactions_enriched"
     )
     gold.require_transactions(enriched)
-    run.write(gold.transaction_fact(enriched, run.run_ts), "transaction_fact")
-    run.write(gold.exchange_rate_fact(rates, currencies, run.run_ts), "exchange_rate_fact")
+    facts = run.write(gold.transaction_fact(enriched, run.run_ts), "transaction_fact")
+    quoted = run.write(gold.exchange_rate_fact(rates, currencies, run.run_ts), "exchange_rate_fact")
+    require_constraints(dims | {"category": kinds}, facts, quoted)
     for name in ("customer_summary", "category_summary", "monthly_summary"):
         readers.write_gold(getattr(gold, name)(enriched), run.path(name))
 
 
+def require_constraints(dims: dict[str, DataFrame], facts: DataFrame, quoted: DataFrame) -> None:
+    """Fail on a repeated key, an orphan or a null where the star schema forbids one; before anything is published."""
+    tables = {f"{n}_dim": t for n, t in dims.items()} | {"transaction_fact": facts, "exchange_rate_fact": quoted}
+    unique = quality.union_all([quality.duplicate_keys(tables[t], t, keys) for t, keys in gold.UNIQUE_KEYS.items()])
+    orphans = quality.union_all(
+        [quality.orphan_rows(tables[t], tables[p], t, column, column) for t, column, p in gold.FOREIGN_KEYS]
+    )
+    limits = quality.union_all([quality.limit_violations(tables[t], t, limit) for t, limit in gold.LIMITS.items()])
+    broken = [f"{r.tabela}: repeated {r.chave}" for r in unique.filter("chaves_repetidas > 0").collect()]
+    broken += [f"{r.tabela}: orphans in {r.coluna}" for r in orphans.filter("orfaos > 0").collect()]
+    broken += [f"{r.tabela}: {r.coluna}" for r in limits.filter("nulos_indevidos + longos_demais > 0").collect()]
+    if broken:
+        raise ValueError(f"constraints violated: {', '.join(sorted(broken))}")
+
+
 def run_segments(run: Run, settings: segmentation.Settings | None = None) -> None:
     """Segments, their reports and the customer dimension with the new labels."""
     result = segmentation.run_segmentation(run.read("customer_summary"), settings)
@@ -115,7 +147,8 @@ def run_segments(run: Run, settings: segmentation.Settings | None = None) -> Non
     readers.write_gold(result.analysis_table(run.spark), run.path("analise_k"))
     readers.write_gold(result.profile(), run.path("metricas_por_cluster"))
     result.release()
-    run.write(gold.write_back_clusters(run.read("customer_dim"), segments), "customer_dim_labelled")
+    labelled = run.write(gold.write_back_clusters(run.read("customer_dim"), segments), "customer_dim_labelled")
+    run.write(labelled, "customer_dim")
 
 
 def audit(run: Run) -> DataFrame:

@@ -48,7 +48,7 @@ class Settings:
     seed: int = 42
     restarts: int = 10
     parallelism: int = 8
-    silhouette: str = "auto"
+    silhouette: str = "squared"
 
 
 @dataclass
@@ -146,7 +146,7 @@ def _choose(vectors: DataFrame, rows: int, settings: Settings):
     for fit in fits:
         if fit.labelled.select("cluster").distinct().count() < 2:
             continue
-        score = silhouette_score(fit.labelled, rows, settings.silhouette)
+        score = silhouette_score(fit.labelled, settings.silhouette)
         analysis.append((fit.k, score, float(fit.cost)))
         if best_score is None or score > best_score:
             best, best_score = fit, score
@@ -155,11 +155,10 @@ def _choose(vectors: DataFrame, rows: int, settings: Settings):
 
 def _vectors(features: DataFrame, rows: int) -> DataFrame:
     """Scaled points laid out by id, so that repeated runs see the same partitions, and kept for the fits."""
-    most = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         scaled_points(features)
         .withColumn("vector", array_to_vector("features"))
-        .repartition(max(1, min(most, rows // ROWS_PER_PARTITION)), "id")
+        .repartition(max(1, -(-rows // ROWS_PER_PARTITION)), "id")
         .sortWithinPartitions("id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerlift.functions.columns import instant
+from ledgerlift.functions.columns import instant, normalize_columns
 
 # Declared bronze schemas; text first, silver casts.
 SCHEMAS = {
@@ -30,16 +29,39 @@ SCHEMAS = {
 }
 
 
+def conform(df: DataFrame, schema: str, complete: bool = True) -> DataFrame:
+    """The declared columns by name, cast to their types, then the undeclared ones as they are.
+
+    Names are compared after normalisation. A declared column that is missing is an
+    error, or all null unless the source must be ``complete``.
+    """
+    df = normalize_columns(df)
+    declared = {f.name: f.dataType for f in T._parse_datatype_string(schema)}
+    missing = [c for c in declared if c not in df.columns]
+    if missing and complete:
+        raise ValueError(f"columns missing from the file: {missing}")
+    df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
+    others = [c for c in df.columns if c not in declared]
+    return df.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in declared.items()], *[F.col(f"`{c}`") for c in others])
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred (one more pass over the files)."""
-    reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    """CSV with a header, read by column name; undeclared columns stay, as text.
+
+    Files of one folder must agree in their headers. Without a schema the types
+    are inferred (one more pass over the files).
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return conform(reader.csv(path), schema) if schema else reader.option("inferSchema", True).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True) -> DataFrame:
-    """JSON array or single object per file; with ``multi_line=False`` per line, which Spark can split."""
+    """JSON array or single object per file; with ``multi_line=False`` per line, which Spark can split.
+
+    Undeclared fields stay, as text. Their names take one more pass over the files.
+    """
     reader = spark.read.option("multiLine", multi_line)
-    return (reader.schema(schema) if schema else reader).json(path)
+    return conform(reader.option("primitivesAsString", True).json(path), schema, complete=False) if schema else reader.json(path)
 
 
 def read_tabular(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -67,10 +89,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_gold(df: DataFrame, path: str) -> DataFrame:
-    """Parquet and CSV copies, the CSV written from the Parquet table."""
+def write_gold(df: DataFrame, path: str, order: list[str] | None = None) -> DataFrame:
+    """Parquet and CSV copies, the CSV written from the Parquet table, sorted by ``order`` (default: the first column)."""
     table = write_parquet(df, f"{path}.parquet")
-    table.write.mode("overwrite").option("header", True).csv(f"{path}.csv")
+    table.orderBy(*(order or df.columns[:1])).write.mode("overwrite").option("header", True).csv(f"{path}.csv")
     return table
 
 
@@ -80,10 +102,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder of spark.checkpoint.dir; a local folder only when unset on a local master."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="ledgerlift-")
+    """A fresh path in the shared folder of spark.checkpoint.dir, else in the warehouse folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/ledgerlift/{uuid.uuid4().hex}/{name}"

@@ -15,6 +15,8 @@ from ledgerlift.sources.readers import with_lineage
 
 RUN_TS = datetime(2024, 2, 1, 6, 30, 0)
 FIRST_QUOTE = "1995-03-01"
+# Orders of unknown customers: every so many, with the customer key moved out of the registry.
+ORPHAN_EVERY, ORPHAN_SHIFT = 97, 1_000_000_000_000
 # One spelling per nation key; the last nation has none.
 COUNTRY_SPELLINGS = [
     "Brasil",
@@ -71,9 +73,9 @@ def _stamp(df: DataFrame, source: str, lineage: bool) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
-    """Registry: closed accounts are missing, customers in debit were registered twice."""
+    """Registry: customers in debit were registered twice."""
     spellings = ", ".join(f"'{s}'" for s in COUNTRY_SPELLINGS)
-    source = table(spark, sf_dir, "customer").filter("c_acctbal >= -900")
+    source = table(spark, sf_dir, "customer")
 
     def rows(df: DataFrame, name: str, country: str) -> DataFrame:
         return df.selectExpr(
@@ -91,14 +93,14 @@ def customers(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFr
 
 
 def receivables(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
-    """Orders; pending ones were exported twice."""
+    """Orders; pending ones were exported twice, and some name a customer whom the registry lacks."""
     orders = table(spark, sf_dir, "orders")
 
     def rows(df: DataFrame, text: str) -> DataFrame:
         return df.selectExpr(
             "o_orderkey AS id_conta",
             f"{text} AS descricao_conta",
-            "o_custkey AS id_cliente",
+            f"if(o_orderkey % {ORPHAN_EVERY} = 0, o_custkey + {ORPHAN_SHIFT}, o_custkey) AS id_cliente",
             "concat(o_orderpriority, ' ') AS codigo_categoria",
             "cast(NULL AS string) AS observacao_conta",
             "if(o_totalprice >= 2000, o_totalprice, NULL) AS valor_conta",
@@ -179,14 +181,13 @@ def targets(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFram
 
 
 def _bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per currency and order day: the opening (status F) and closing (status O) buying rates."""
-    seed = "sum(o_orderkey) FILTER (WHERE o_orderstatus = '{}') % 3000"
+    """Per currency and order day: the opening (status F) and closing (any other status) buying rates."""
+    seed = "sum(o_orderkey) FILTER (WHERE o_orderstatus {} 'F') % 3000"
     days = (
         table(spark, sf_dir, "orders")
-        .filter("o_orderstatus IN ('F', 'O')")
         .selectExpr("cast(o_orderdate AS date) AS day", "o_orderkey", "o_orderstatus")
         .groupBy("day")
-        .agg(*[F.expr(seed.format(s)).alias(name) for s, name in (("F", "opening"), ("O", "closing"))])
+        .agg(*[F.expr(seed.format(s)).alias(name) for s, name in (("=", "opening"), ("<>", "closing"))])
     )
     bases = ", ".join(f"struct('{c}' AS code, cast({b} AS {RATE}) AS base)" for c, b in QUOTE_BASES.items())
     rate = f"cast(base + cast({{0}} AS decimal(8,0)) * cast(0.0001 AS decimal(5,4)) AS {RATE}) AS {{0}}"
