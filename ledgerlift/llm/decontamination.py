@@ -143,20 +143,21 @@ class Index:
         self.row_of = np.zeros(1 << BIN_BITS, np.int32)  # 0: no item holds the bin
         self.row_of[bins] = np.arange(1, len(bins) + 1)
         self.directions = np.vstack([np.zeros((1, space.shape[1]), np.float32), space * idf[bins][:, None]]).astype(np.float32)
-        passages, owners = [], []
+        passages, owners, floors = [], [], []
         for i, item in enumerate(items):
             for window in item_windows(np.array(item.words, np.uint64)):
                 binned = word_bins(window, BIN_BITS)
                 passages.append(self.directions[self.row_of[binned]].sum(axis=0) / self._norm(binned))
                 owners.append(i)
-        self.passages, self.owners = np.array(passages, np.float32), np.array(owners)
+                floors.append(COSINE * np.sqrt(len(window) / PASSAGE))  # even a full copy of a short item fills a passage in part
+        self.passages, self.owners, self.floors = np.array(passages, np.float32), np.array(owners), np.array(floors, np.float32)
 
     def _norm(self, binned: np.ndarray) -> float:
         kinds, tf = np.unique(binned, return_counts=True)
         return float(np.sqrt(((tf * self.idf[kinds]) ** 2).sum()))
 
     def candidates(self, words: np.ndarray, counts: np.ndarray):
-        """(document, passage, item) with a cosine of COSINE or more, for a run of documents."""
+        """(document, passage, item) with a cosine of COSINE or more (less for short items), for a run of documents."""
         blocks = np.maximum(1, -(-counts // STEP))
         edge = np.cumsum(blocks) - blocks
         binned = word_bins(words, BIN_BITS)
@@ -176,7 +177,7 @@ class Index:
         both[:-1][pair[:-1]] += square[1:][pair[:-1]]
         near = np.flatnonzero(np.abs(latent).sum(axis=1) > 0)
         cosines = (latent[near] @ self.passages.T) / np.sqrt(np.maximum(both[near], 1e-9))[:, None]
-        row, passage = np.nonzero(cosines >= COSINE)
+        row, passage = np.nonzero(cosines >= self.floors)
         return {(int(owner[near[r]]), int(near[r] - edge[owner[near[r]]]), int(self.owners[p])) for r, p in zip(row, passage)}
 
     def leaks(self, texts: pa.LargeBinaryArray):

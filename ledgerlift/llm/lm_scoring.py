@@ -10,7 +10,7 @@ by spelling, which is refined adaptively: it is averaged with the word's share o
 the training tokens, and the weight of that share follows how well it did earlier
 in the text. Bits per byte are -score / log10(2) / bytes.
 
-Texts are coded in segments of a kilobyte, side by side in numpy. Mixing starts
+Texts are coded in segments of 512 bytes, side by side in numpy. Mixing starts
 anew in each segment; contexts reach back over its start.
 
 Word counts travel packed per (shard of words, block of documents): each block
@@ -33,7 +33,7 @@ END = 255
 ORDERS = (2, 3, 5)
 CONTEXT_BITS = 15
 CONTEXTS = 1 << CONTEXT_BITS
-SEGMENT = 1024
+SEGMENT = 512
 SIDE_BY_SIDE = 2 << 20  # bytes of text mixed at a time
 TRUST, RECORD = 0.9, 10  # first weight of a word's share, and the tokens it stands for
 BLOCK_DOCS = 1024
@@ -192,7 +192,7 @@ class Model:
     def token_logs(self, data: np.ndarray, edges: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Natural log-probability of each token by its spelling."""
         lengths, flats = zip(*self._segments(data, edges))
-        loss = self._mix(np.concatenate(lengths), [np.concatenate(x) for x in zip(*flats)])
+        loss = self._mix(np.concatenate(lengths), np.concatenate(flats))
         bits = np.r_[0, np.cumsum(self.sizes[data])]
         return np.add.reduceat(loss, bits[tokens[:-1]], dtype=np.float64)
 
@@ -208,38 +208,42 @@ class Model:
         gate[1:] = data[:-1] <= 32
         gate[edges[:-1]] = True
         slots = list(contexts(data, edges))
-        for a in range(0, len(start), 1024):
-            b = min(a + 1024, len(start))
+        for a in range(0, len(start), 2048):
+            b = min(a + 2048, len(start))
             lo, hi = start[a], stop[b - 1]
             sizes = self.sizes[data[lo:hi]]
             ends = np.cumsum(sizes)
             of = np.repeat(np.arange(lo, hi, dtype=np.int32), sizes)
             step = np.arange(len(of), dtype=np.int32) + np.repeat((self.starts[data[lo:hi]] - (ends - sizes)).astype(np.int32), sizes)
             node = self.nodes[step]
-            odds = [t.reshape(-1)[(slot[of].astype(np.int32) << 8) | node] for t, slot in zip(self.tables, slots)]
+            needs = np.empty((len(of), 4), np.int8)  # three log-odds and two flags, gathered as one number later
+            for k, (t, slot) in enumerate(zip(self.tables, slots)):
+                needs[:, k] = t.reshape(-1)[(slot[of].astype(np.int32) << 8) | node]
+            needs[:, 3] = self.bits[step] + 2 * gate[of]
             bits = np.r_[0, ends][stop[a:b] - lo] - np.r_[0, ends][start[a:b] - lo]
-            yield bits, [self.bits[step], gate[of], *odds]
+            yield bits, needs
 
     @staticmethod
-    def _mix(length: np.ndarray, flat: list[np.ndarray]) -> np.ndarray:
+    def _mix(length: np.ndarray, needs: np.ndarray) -> np.ndarray:
         """Natural log-probability of every bit."""
-        bit, gated, *odds = flat
+        needs = needs.view(np.uint32).reshape(-1)
         first = np.cumsum(length) - length
         by_length = np.argsort(-length, kind="stable")
         first, length = first[by_length], length[by_length]
         n, one = len(first), np.float32(1)
         weight = [np.full(n, w * STRETCH_STEP, np.float32) for w in FIRST_WEIGHTS]
         extra = [np.zeros(n, np.float32) for _ in FIRST_WEIGHTS]
-        bias, loss = np.zeros(n, np.float32), np.empty(len(bit), np.float32)
+        bias, loss = np.zeros(n, np.float32), np.empty(len(needs), np.float32)
         active = np.searchsorted(-length, -np.arange(length[0]), "left")  # segments longer than t
         for t, m in enumerate(active.tolist()):
             at = first[:m] + t
-            g, b = gated[at].astype(np.float32), bit[at].astype(np.float32)
-            s = [o[at].astype(np.float32) for o in odds]
+            *s, flags = needs[at].view(np.int8).reshape(m, 4).T.astype(np.float32)
+            g = flags >= 2
+            b = flags - 2 * g
             dot = bias[:m].copy()
             for x, w, e in zip(s, weight, extra):
                 dot += x * (w[:m] + g * e[:m])
-            np.clip(dot, -12, 12, out=dot)
+            np.minimum(np.maximum(dot, -12, out=dot), 12, out=dot)
             err = b - one / (one + np.exp(-dot))
             loss[at] = np.log(one - np.abs(err))
             bias[:m] += err * BIAS_RATE
