@@ -4,17 +4,11 @@ from __future__ import annotations
 
 import re
 
-from ledgerlift.functions.country import (
-    ACCENTED,
-    BLANK_COUNTRY,
-    COUNTRY_CURRENCY,
-    COUNTRY_RULES,
-    CURRENCY_REFERENCE,
-    PLAIN,
-    UNKNOWN_COUNTRY,
-)
-from ledgerlift.sources.star_inputs import COUNTRY_SPELLINGS, FIRST_QUOTE, QUOTE_BASES
+from ledgerlift.sources.star_inputs import COUNTRY_SPELLINGS
 
+# The values below are stated here on their own: a slip in the engine's tables must not repeat in its check.
+FIRST_QUOTE = "1995-03-01"
+QUOTE_BASES = {"USD": "5.0", "EUR": "5.4", "GBP": "6.2", "CAD": "3.7"}
 RUN_TS = "2024-02-01 06:30:00"
 FIRST_LOAD_TS = "2024-01-01 06:30:00"
 
@@ -28,22 +22,31 @@ def _quoted(text: str) -> str:
 
 
 def country(expr: str) -> str:
-    letters = f"translate(upper(coalesce({expr}, '')), '{ACCENTED}', '{PLAIN}')"
+    letters = f"translate(upper(coalesce({expr}, '')), 'ÃÁÀÂÉÊÍÓÔÕÚÇ', 'AAAAEEIOOOUC')"
     text = f"trim(regexp_replace(regexp_replace({letters}, '[^A-Z ]', ' ', 'g'), ' +', ' ', 'g'))"
-    whens = []
-    for name, whole, parts in COUNTRY_RULES:
-        tests = [f"{text} = '{w}'" for w in whole] + [f"contains({text}, '{p}')" for p in parts]
-        whens.append(f"WHEN {' OR '.join(tests)} THEN '{name}'")
-    return f"CASE {' '.join(whens)} WHEN {text} = '' THEN '{BLANK_COUNTRY}' ELSE {text} END"
+    return f"""CASE
+        WHEN {text} IN ('USA', 'EUA') OR contains({text}, 'ESTADOS UNIDOS') OR contains({text}, 'AMERICA') THEN 'ESTADOS UNIDOS'
+        WHEN {text} = 'UK' OR contains({text}, 'REINO UNIDO') OR contains({text}, 'INGLATERRA') THEN 'REINO UNIDO'
+        WHEN contains({text}, 'BRASIL') THEN 'BRASIL'
+        WHEN contains({text}, 'PORTUGAL') THEN 'PORTUGAL'
+        WHEN contains({text}, 'FRAN') THEN 'FRANCA'
+        WHEN contains({text}, 'CANADA') THEN 'CANADA'
+        WHEN contains({text}, 'ARGENTINA') THEN 'ARGENTINA'
+        WHEN {text} = '' THEN 'NAO INFORMADO' ELSE {text} END"""
 
 
 def currency(expr: str) -> str:
-    return _case(expr, {_quoted(c): _quoted(m) for c, m in COUNTRY_CURRENCY.items()}, "'BRL'")
+    return f"""CASE {expr} WHEN 'ESTADOS UNIDOS' THEN 'USD' WHEN 'PORTUGAL' THEN 'EUR' WHEN 'FRANCA' THEN 'EUR'
+        WHEN 'REINO UNIDO' THEN 'GBP' WHEN 'CANADA' THEN 'CAD' WHEN 'ARGENTINA' THEN 'ARS' ELSE 'BRL' END"""
 
 
 SPELLING = _case("c_nationkey", {i: _quoted(s) for i, s in enumerate(COUNTRY_SPELLINGS)}, "NULL")
-CURRENCY_NAME = _case("currency_code", {_quoted(c): _quoted(r[0]) for c, r in CURRENCY_REFERENCE.items()}, "currency_code")
-CURRENCY_COUNTRY = _case("currency_code", {_quoted(c): _quoted(r[1]) for c, r in CURRENCY_REFERENCE.items()}, _quoted(UNKNOWN_COUNTRY))
+CURRENCY_NAME = """CASE currency_code WHEN 'BRL' THEN 'Real Brasileiro' WHEN 'USD' THEN 'Dolar Americano' WHEN 'EUR' THEN 'Euro'
+    WHEN 'GBP' THEN 'Libra Esterlina' WHEN 'JPY' THEN 'Iene' WHEN 'CAD' THEN 'Dolar Canadense' WHEN 'ARS' THEN 'Peso Argentino'
+    ELSE currency_code END"""
+CURRENCY_COUNTRY = """CASE currency_code WHEN 'BRL' THEN 'Brasil' WHEN 'USD' THEN 'Estados Unidos' WHEN 'EUR' THEN 'Uniao Europeia'
+    WHEN 'GBP' THEN 'Reino Unido' WHEN 'JPY' THEN 'Japao' WHEN 'CAD' THEN 'Canada' WHEN 'ARS' THEN 'Argentina'
+    ELSE 'Nao informado' END"""
 BASES = " UNION ALL ".join(f"SELECT '{c}' AS code, CAST({b} AS DECIMAL(10,4)) AS base" for c, b in QUOTE_BASES.items())
 
 

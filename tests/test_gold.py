@@ -2,6 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlift.functions.country import country_currency, with_country
 from ledgerlift.operators.fx import rate_history, resolve_rates
@@ -120,6 +121,15 @@ def test_rejected(spark):
     assert got == {"r5": "unknown account", "r6": "no date", "p1": "outside the calendar"}
 
 
+def test_oversized_amounts_are_listed_not_fatal(spark):
+    payables, receivables, customers, categories, rates = inputs(spark)
+    huge = receivables.withColumn("valor_conta", F.when(F.col("id_conta") == "r1", 1e17).otherwise(F.col("valor_conta")))
+    got = {r.id_conta: r.motivo for r in gold.rejected(payables, huge, categories).collect()}
+    assert got["r1"] == "amount out of range"
+    kept = {r.id_conta for r in gold.enrich(payables, huge, customers, categories, rates).collect()}
+    assert "r1" not in kept and kept
+
+
 def test_customer_summary(spark):
     got = {r.id_cliente: r for r in gold.customer_summary(gold.enrich(*inputs(spark))).collect()}
     ana, bia = got["1"], got["2"]

@@ -46,6 +46,9 @@ def test_dense_and_fact_numbers(spark):
     first = {r.code: r.key for r in facts.collect()}
     again = {r.code: r.key for r in fact_numbers(df.repartition(3), ["kind", "code"], "key").collect()}
     assert len(set(first.values())) == 5000 and first == again
+    twins = spark.createDataFrame([("t", "c", n) for n in (3, 1, 2)], "kind string, code string, n int")
+    ordered = sorted(fact_numbers(twins, ["kind", "code"], "key").collect(), key=lambda r: r.key)
+    assert [r.n for r in ordered] == [1, 2, 3]  # equal keys are told apart by the other columns
 
 
 def test_rank_with_one_value_on_a_third_of_the_rows(spark):
@@ -97,6 +100,32 @@ def test_asof_against_brute_force(spark):
     assert {r.id: r.found for r in got.collect()} == {i: want(u, t) for i, u, t in left}
 
 
+def test_asof_null_keys_find_nothing(spark, rows):
+    at = datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, None, at), (2, "a", at), (3, None, at)], "id int, u string, t timestamp")
+    right = spark.createDataFrame([(None, at, 7), ("a", at, 8)], "u string, rt timestamp, v int")
+    got = asof_by_key(left, right, "u", "t", "rt", "v", "found")
+    assert rows(got, "id", "found") == [(1, None), (2, 8), (3, None)]
+
+
+def test_silhouette_metric_is_the_callers(spark):
+    points = spark.createDataFrame([(i, [float(i % 2 * 9 + i % 3), 1.0], i % 2) for i in range(12)], "id int, features array<double>, cluster int")
+    data = [(r.id, r.features[0], r.cluster) for r in points.collect()]
+
+    def score(power):
+        total = 0
+        for i, x, c in data:
+            mean = lambda k: np.mean([abs(x - y) ** power for j, y, d in data if d == k and j != i])  # noqa: E731, B023
+            a, b = mean(c), mean(1 - c)
+            total += (b - a) / max(a, b)
+        return total / len(data)
+
+    assert cm.silhouette_score(points) == pytest.approx(score(2))
+    assert cm.silhouette_score(points, "euclidean") == pytest.approx(score(1))
+    with pytest.raises(ValueError):
+        cm.silhouette_score(points, "auto")
+
+
 def labelled(n=120, k=3, d=4, seed=1):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, d)) + rng.integers(0, k, size=(n, 1)) * 2

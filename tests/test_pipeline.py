@@ -1,6 +1,9 @@
 import json
 from datetime import date, datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerlift.plans import pipeline
 from ledgerlift.plans.segmentation import Settings
 from ledgerlift.sources.readers import SCHEMAS
@@ -36,7 +39,7 @@ def test_two_runs(spark, tmp_path):
     pipeline.run_all(first, land(tmp_path, people(3)), payloads, date(2024, 1, 4), preset)
     assert first.read("transactions_enriched").count() == 4
     assert first.read("customer_summary").agg({"total_receita_brl": "sum"}).first()[0] == 1515
-    labelled = {r.customer_code: r for r in first.read("customer_dim_labelled").collect()}
+    labelled = {r.customer_code: r for r in first.read("customer_dim").collect()}
     assert all(r.ml_cluster in (0, 1) for r in labelled.values())
 
     # the second run finds no quote and takes the persisted one; known customers keep their keys
@@ -46,3 +49,20 @@ def test_two_runs(spark, tmp_path):
     assert set(again) == {"0", "1", "2", "3"}
     assert all(again[c].customer_id == r.customer_id and again[c].ml_cluster == r.ml_cluster for c, r in labelled.items())
     assert second.read("transaction_fact").count() == 5
+    assert {r.currency for r in second.read("missing_quotes").collect()} == {"USD", "EUR", "GBP", "JPY", "CAD", "ARS"}
+    assert {r.currency for r in first.read("missing_quotes").collect()} == {"EUR", "GBP", "JPY", "CAD", "ARS"}
+    with pytest.raises(ValueError, match="folder"):
+        pipeline.Run(spark, second.root, datetime(2024, 3, 31), second.root + "/")
+
+    # a broken dimension is refused before anything is published
+    dims = {n: second.read(f"{n}_dim") for n in ("date", "currency", "customer", "category", "account")}
+    facts, quoted = second.read("transaction_fact"), second.read("exchange_rate_fact")
+    pipeline.require_constraints(dims, facts, quoted)
+    twice = dims | {"customer": dims["customer"].union(dims["customer"].limit(1))}
+    with pytest.raises(ValueError, match="customer_dim: repeated customer_code"):
+        pipeline.require_constraints(twice, facts, quoted)
+    nameless = dims | {"customer": dims["customer"].withColumn("customer_name", F.lit(None).cast("string"))}
+    with pytest.raises(ValueError, match="customer_dim: customer_name"):
+        pipeline.require_constraints(nameless, facts, quoted)
+    with pytest.raises(ValueError, match="transaction_fact: orphans in account_id"):
+        pipeline.require_constraints(dims | {"account": dims["account"].limit(0)}, facts, quoted)

@@ -10,15 +10,34 @@ RUN_TS = datetime(2024, 1, 1)
 
 
 def test_csv_with_lineage(spark, tmp_path):
-    path = tmp_path / "contas.csv"
-    path.write_text("id,valor,moeda\n1,10.5,BRL\n2,20.0,USD\n3,30.0,EUR\n")
-    df = readers.with_lineage(readers.read_csv(spark, str(path)), "contas", RUN_TS)
+    path = tmp_path / "metas.csv"
+    path.write_text("quantia;nota\n".replace(";", ",") + "7.25,a\n9.5,b\n")
+    df = readers.with_lineage(readers.read_csv(spark, str(path)), "metas", RUN_TS)
     got = df.collect()
-    assert len(got) == 3
-    assert {r._source for r in got} == {"contas"}
+    assert len(got) == 2
+    assert {r._source for r in got} == {"metas"}
     assert {r._ingestion_date for r in got} == {RUN_TS}
-    assert all(r._raw_file_path.endswith("contas.csv") for r in got)
-    assert dict(df.dtypes)["valor"] == "double"
+    assert all(r._raw_file_path.endswith("metas.csv") for r in got)
+    assert dict(df.dtypes)["quantia"] == "double"
+
+
+def test_csv_is_read_by_header_name(spark, rows, tmp_path):
+    """Another order, padded upper-case names and a column nobody declared."""
+    path = tmp_path / "metas.csv"
+    path.write_text(" Meta ,EXTRA,mes_meta\n150k,x,2024-01\n,y,2024-02\n")
+    df = readers.read_csv(spark, str(path), readers.SCHEMAS["meta"])
+    assert df.columns == ["mes_meta", "meta", "extra"]
+    assert rows(df) == [("2024-01", "150k", "x"), ("2024-02", None, "y")]
+    path.write_text("meta,extra\n150k,x\n")
+    with pytest.raises(ValueError, match="mes_meta"):
+        readers.read_csv(spark, str(path), readers.SCHEMAS["meta"])
+
+
+def test_json_keeps_undeclared_fields(spark, rows, tmp_path):
+    path = tmp_path / "c.json"
+    path.write_text(json.dumps([{"nivel": 3, "nome_cliente": "Ana", "id_cliente": 7}]))
+    df = readers.read_json(spark, str(path), readers.SCHEMAS["cliente"])
+    assert rows(df, "id_cliente", "nome_cliente", "pais_cliente", "nivel") == [("7", "Ana", None, "3")]
 
 
 def test_json_array_object_and_lines(spark, tmp_path):
