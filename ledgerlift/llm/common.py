@@ -7,6 +7,7 @@ says otherwise.
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut, as a Parquet table in the same folder; smaller than a checkpoint where rows hold texts."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def block_count(docs: DataFrame) -> int:
     """Blocks of about 256 documents and 4 MB of text, whatever the input size."""
     n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()

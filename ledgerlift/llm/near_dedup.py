@@ -7,11 +7,14 @@
 2. ICWS draws one (shingle, quantised weight) per sample; two texts draw the same
    with the probability of their weighted Jaccard similarity. Four samples make a
    band, and texts that share a band become candidates.
-3. Each text of a band's bucket meets the bucket's least text only. Exact weighted
+3. Each text of a band's bucket meets the bucket's head: the text that shares the
+   largest buckets overall, as an original does among its copies. Exact weighted
    Jaccard decides; linked texts form components.
-4. Where a bucket still holds several components, texts of different components
-   whose samples agree often enough meet too, so that no link is lost. A bucket of
-   true copies is one component by then and has nothing left to compare.
+4. Where a bucket still holds several components, its texts meet a second head, from
+   another component than the first. Buckets of up to 32 texts then compare all texts
+   of different components whose samples agree often enough.
+
+So each text meets a bounded number of others per bucket, also in a hot one.
 
 Buckets are joined on their key, which Spark can split when one is hot.
 """
@@ -24,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlift.llm.common import U64, cut, documents, mix, strings, window_hashes
+from ledgerlift.llm.common import U64, cut, documents, mix, stored, strings, window_hashes
 from ledgerlift.llm.tfidf import bin_counts, lower_words, smooth_idf, word_bins
 
 WORDS = 5
@@ -35,6 +38,7 @@ AGREE = 24  # of 48 samples; a pair at 0.8 has fewer once in ten million times
 BIN_BITS = 20
 FIELD = 1 << 12
 CHUNK = 4096
+SMALL_BUCKET = 32
 LAST = (1 << 63) - 1
 
 
@@ -172,32 +176,45 @@ def _classes(rows: DataFrame) -> DataFrame:
         lambda i: F.xxhash64(i, F.slice("samples", i * ROWS + 1, F.lit(ROWS))),
     )
     keyed = texts.filter("samples IS NOT NULL").select("tid", F.explode(band).alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.min("tid").alias("first"), F.max("tid").alias("last")).filter("first <> last")
-    members = cut(keyed.join(shared, "bucket").select("bucket", "tid", "first"))
+    shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    paired = keyed.join(shared, "bucket")
+    rank = paired.groupBy("tid").agg(F.sum("n").alias("rank"))  # an original shares larger buckets than its copies
+    members = cut(paired.join(rank, "tid"))
+
+    # the texts of all candidates, once for all rounds
+    where = members.select("tid").distinct().join(texts.select("tid", "id"), "tid")
+    found = rows.select("tid", "id", "text").join(where, ["tid", "id"]).dropDuplicates(["tid", "id"])
+    found = stored(found.select("tid", "text"))
+    a_side, b_side = (found.select(F.col("tid").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct()
-        wanted = pairs.select(F.col("a").alias("tid")).union(pairs.select(F.col("b").alias("tid"))).distinct()
-        where = wanted.join(texts.select("tid", "id"), "tid")
-        found = rows.select("tid", "id", "text").join(where, ["tid", "id"]).dropDuplicates(["tid", "id"])
-        a = found.select(F.col("tid").alias("a"), F.col("text").alias("a_text"))
-        b = found.select(F.col("tid").alias("b"), F.col("text").alias("b_text"))
-        return cut(pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text").mapInArrow(_verify(idf), "a string, b string"))
-
-    links = verified(members.filter("tid <> first").select(F.col("first").alias("a"), F.col("tid").alias("b")))
+        met = pairs.distinct().join(a_side, "a").join(b_side, "b").select("a", "b", "a_text", "b_text")
+        return cut(met.mapInArrow(_verify(idf), "a string, b string"))
+
+    heads = members.groupBy("bucket").agg(F.max(F.struct("rank", "tid")).alias("head")).select("bucket", "head.tid")
+    meet = members.join(heads.withColumnRenamed("tid", "a"), "bucket").filter("tid <> a")
+    links = verified(meet.select("a", F.col("tid").alias("b")))
     labels = components(links)
 
-    grouped = members.join(labels.withColumnRenamed("node", "tid"), "tid", "left").select(
-        "bucket", "tid", F.coalesce("label", "tid").alias("label")
-    )
-    several = grouped.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    open_rows = cut(grouped.join(several.select("bucket"), "bucket").join(texts.select("tid", "samples"), "tid"))
-    a = open_rows.select("bucket", F.col("tid").alias("a"), F.col("label").alias("la"), F.col("samples").alias("sa"))
-    b = open_rows.select("bucket", F.col("tid").alias("b"), F.col("label").alias("lb"), F.col("samples").alias("sb"))
-    across = a.join(b, "bucket").filter((F.col("la") < F.col("lb")) & (_agreement(F.col("sa"), F.col("sb")) >= AGREE))
-    more = verified(across.select("a", "b"))
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    for small in (False, True):
+        grouped = members.join(labels.withColumnRenamed("node", "tid"), "tid", "left").select(
+            "bucket", "tid", "rank", "n", F.coalesce("label", "tid").alias("label")
+        )
+        several = grouped.groupBy("bucket").agg(
+            F.min("label").alias("x"), F.max("label").alias("y"), F.max(F.struct("rank", "tid", "label")).alias("head")
+        ).filter("x <> y").select("bucket", F.col("head.label").alias("first"))
+        left = cut(grouped.join(several, "bucket"))
+        if small:
+            left = left.filter(F.col("n") <= SMALL_BUCKET).join(texts.select("tid", "samples"), "tid")
+            a = left.select("bucket", F.col("tid").alias("a"), F.col("label").alias("la"), F.col("samples").alias("sa"))
+            b = left.select("bucket", F.col("tid").alias("b"), F.col("label").alias("lb"), F.col("samples").alias("sb"))
+            meet = a.join(b, "bucket").filter((F.col("la") < F.col("lb")) & (_agreement(F.col("sa"), F.col("sb")) >= AGREE))
+        else:
+            second = left.filter("label <> first").groupBy("bucket").agg(F.max(F.struct("rank", "tid", "label")).alias("s"))
+            second = second.select("bucket", F.col("s.tid").alias("a"), F.col("s.label").alias("la"))
+            meet = left.join(second, "bucket").filter("label <> la").select("a", F.col("tid").alias("b"))
+        links = links.unionByName(verified(meet.select("a", "b")))
+        labels = components(links)
 
     return texts.select("tid", "id").join(labels.withColumnRenamed("node", "tid"), "tid", "left").select(
         "tid", "id", F.coalesce("label", "tid").alias("label")
@@ -215,7 +232,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     text without words is alike only to the very same text; null counts as empty.
     Rows may repeat, share a doc_id or lack one; a class of rows without ids has a
     null class_id. Candidates come from 12 bands of 4 samples: a pair at 0.8 is
-    missed about twice in a thousand times, at 0.9 never in practice.
+    missed about twice in a thousand times, at 0.9 never in practice. In a bucket of
+    more than 32 texts a link between two texts neither of which is a head, and that
+    shares no smaller bucket, joins their classes only through other links.
     """
     rows = _identified(documents(docs))
     classes = _classes(rows.select("tid", "id", F.coalesce("text", F.lit("")).alias("text")))
