@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlift.llm.common import LOWER, U64, bytes_of, documents, mix, slices, strings, word_hashes, word_spans
 
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS = 2000
 ORDER = 6
 RARE = 3
 DISCOUNT = 0.75
@@ -29,20 +29,18 @@ PAD = 3  # added to the bytes of a word, so that a short one cannot stand out by
 GRAM = U64(0x9E3779B97F4A7C15)
 
 
-def gram_hashes(buf: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Per order, the hash of the bytes that end at each place of marked words; 0 where they would start before the word.
+POWERS = np.multiply.accumulate(np.r_[U64(1), np.full(ORDER - 1, GRAM)])
+
+
+def gram_hash(buf: np.ndarray, first: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n bytes that end at each of ``places``; 0 where they would start before the word.
 
     ``first`` is the place of the mark before the word that each place belongs to.
     """
-    own = buf.astype(U64) + U64(1)
-    total, out = np.zeros(len(buf), U64), []
-    powers = np.multiply.accumulate(np.r_[U64(1), np.full(ORDER - 1, GRAM)])
-    places = np.arange(len(buf))
-    for n in range(ORDER):
-        back = np.maximum(places - n, 0)
-        total = total + own[back] * powers[n]
-        out.append(np.where(places - n >= first, mix(total + U64(n)), U64(0)))
-    return out
+    total = np.full(len(places), n, U64)
+    for k in range(n):
+        total += (buf[np.maximum(places - k, 0)].astype(U64) + U64(1)) * POWERS[k]
+    return np.where(places - n + 1 >= first, mix(total), U64(0))
 
 
 def marked_words(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,27 +57,25 @@ class KneserNey:
     def __init__(self, words: list[bytes], counts: np.ndarray):
         """``counts``: (words, 2), in how many toxic and ordinary documents a word occurs."""
         buf, first, word = marked_words(words)
-        grams = gram_hashes(buf, first)
-        places = np.arange(len(buf))
-        inside = places > first  # the mark before a word is given, not predicted
-        weights = counts[word].astype(float)
+        predicted = np.flatnonzero(np.arange(len(buf)) > first)  # the mark before a word is given
         self.levels = []
         for n in range(ORDER, 0, -1):
-            here = inside & (grams[n - 1] != 0)
-            keys, at, group = np.unique(grams[n - 1][here], return_index=True, return_inverse=True)
-            own = np.stack([np.bincount(group, weights[here, k], len(keys)) for k in (0, 1)], axis=1)
+            here = predicted[gram_hash(buf, first[predicted], predicted, n) != 0]
+            weights = counts[word[here]].T
+            keys, at, group = np.unique(gram_hash(buf, first[here], here, n), return_index=True, return_inverse=True)
+            own = np.stack([np.bincount(group, weights[k], len(keys)) for k in (0, 1)], axis=1)
             if n < ORDER:  # continuation counts; a history that starts the word has no longer one and keeps its counts
-                longer = grams[n][here]
+                longer = gram_hash(buf, first[here], here, n + 1)
                 starts = longer == 0
-                whole = np.stack([np.bincount(group[starts], weights[here, k][starts], len(keys)) for k in (0, 1)], axis=1)
+                whole = np.stack([np.bincount(group[starts], weights[k][starts], len(keys)) for k in (0, 1)], axis=1)
                 wide, w_at, w_group = np.unique(longer, return_index=True, return_inverse=True)
-                seen = np.stack([np.bincount(w_group, weights[here, k], len(wide)) for k in (0, 1)], axis=1) > 0
+                seen = np.stack([np.bincount(w_group, weights[k], len(wide)) for k in (0, 1)], axis=1) > 0
                 seen[wide == 0] = False
                 ends = group[w_at]
                 cont = np.stack([np.bincount(ends, seen[:, k], len(keys)) for k in (0, 1)], axis=1)
                 own = cont + whole
-            place = np.flatnonzero(here)[at]
-            history = grams[n - 2][place - 1] if n > 1 else np.zeros(len(keys), U64)
+            place = here[at]
+            history = gram_hash(buf, first[place], place - 1, n - 1) if n > 1 else np.zeros(len(keys), U64)
             h_keys, h_group = np.unique(history, return_inverse=True)
             total = np.stack([np.bincount(h_group, own[:, k], len(h_keys)) for k in (0, 1)], axis=1)
             rare = own.sum(axis=1, keepdims=True) < RARE
@@ -106,16 +102,18 @@ class KneserNey:
         if not words:
             return np.zeros(0)
         buf, first, word = marked_words(words)
-        grams = gram_hashes(buf, first)
         at = np.flatnonzero(np.arange(len(buf)) > first)
-        place, known = self._find(self.base[0], grams[0][at])
+        start = first[at]
+        place, known = self._find(self.base[0], gram_hash(buf, start, at, 1))
         p = np.where(known, self.base[1][place], self.base[2])[:, None].repeat(2, axis=1)
         for n, (keys, share, h_keys, weight) in enumerate(self.levels, start=2):
-            place, known = self._find(h_keys, grams[n - 2][at - 1])
-            known &= grams[n - 2][at - 1] != 0
+            history = gram_hash(buf, start, at - 1, n - 1)
+            place, known = self._find(h_keys, history)
+            known &= history != 0
             p[known] *= weight[place[known]]
-            place, known = self._find(keys, grams[n - 1][at])
-            known &= grams[n - 1][at] != 0
+            gram = gram_hash(buf, start, at, n)
+            place, known = self._find(keys, gram)
+            known &= gram != 0
             p[known] += share[place[known]]
         odds = np.log(np.maximum(p[:, 0], 1e-12)) - np.log(np.maximum(p[:, 1], 1e-12))
         return np.bincount(word[at], odds, len(words))
