@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ledgerlift.llm.common import cut
+
 RANGE = 1024
 
 
@@ -33,7 +35,8 @@ def token_counts(lengths: DataFrame) -> DataFrame:
     Null lengths are left out; empty documents count with length 0; an empty table
     gives no rows. Equal lengths are one row.
     """
-    histogram = length_histogram(lengths).select(
+    # read twice below: kept, so that texts are encoded once
+    histogram = cut(length_histogram(lengths)).select(
         F.col("n_tokens").cast("bigint").alias("context_limit"),
         "docs",
         (F.col("docs") * F.col("n_tokens")).cast("bigint").alias("tokens"),
