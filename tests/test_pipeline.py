@@ -47,7 +47,8 @@ def test_two_runs(spark, tmp_path):
     pipeline.run_all(second, land(tmp_path, people(4)), payloads, date(2024, 2, 28), preset)
     again = {r.customer_code: r for r in second.read("customer_dim").collect()}
     assert set(again) == {"0", "1", "2", "3"}
-    assert all(again[c].customer_id == r.customer_id and again[c].ml_cluster == r.ml_cluster for c, r in labelled.items())
+    assert all(again[c].customer_id == r.customer_id and again[c].created_at == r.created_at for c, r in labelled.items())
+    assert all(r.ml_cluster in (0, 1) for r in again.values())  # the dimension carries this run's labels
     assert second.read("transaction_fact").count() == 5
     assert {r.currency for r in second.read("missing_quotes").collect()} == {"USD", "EUR", "GBP", "JPY", "CAD", "ARS"}
     assert {r.currency for r in first.read("missing_quotes").collect()} == {"EUR", "GBP", "JPY", "CAD", "ARS"}
