@@ -11,10 +11,11 @@
    largest buckets overall, as an original does among its copies. Exact weighted
    Jaccard decides; linked texts form components.
 4. Where a bucket still holds several components, its texts meet a second head, from
-   another component than the first. Buckets of up to 32 texts then compare all texts
-   of different components whose samples agree often enough.
+   another component than the first. Then all texts of different components whose
+   samples agree often enough are compared: in buckets of up to 32 texts as pairs, in
+   larger ones inside cells of bounded size that return only the links they find.
 
-So each text meets a bounded number of others per bucket, also in a hot one.
+So no pair rows are made in a large bucket, and texts of one component never meet in it.
 
 Buckets are joined on their key, which Spark can split when one is hot.
 """
@@ -39,6 +40,7 @@ BIN_BITS = 20
 FIELD = 1 << 12
 CHUNK = 4096
 SMALL_BUCKET = 32
+CELL = 512  # texts of a large bucket on each side of a cell
 LAST = (1 << 63) - 1
 
 
@@ -131,6 +133,80 @@ def _verify(idf: np.ndarray):
     return run
 
 
+LINK = pa.schema([("a", pa.string()), ("b", pa.string())])
+
+
+def cell_links(vectors: list, samples: np.ndarray, labels: list, other: np.ndarray, band: int):
+    """(i, j) of links that join the labels of a cell; where ``other`` differs anywhere, only texts on different sides meet.
+
+    Pairs that share an earlier band are left to its bucket, which holds both.
+    """
+    sizes = np.array([len(s) for s, _ in vectors])
+    start = np.cumsum(sizes) - sizes
+    kinds, codes = np.unique(np.concatenate([s for s, _ in vectors]), return_inverse=True)
+    weights = np.concatenate([w for _, w in vectors])
+    total = np.array([w.sum() for _, w in vectors])
+    label = np.unique(labels, return_inverse=True)[1]
+    dense, crossed, places = np.zeros(len(kinds)), other.any() and not other.all(), np.arange(len(sizes))
+    for i in range(len(sizes)):
+        met = np.flatnonzero((label != label[i]) & ((other & ~other[i]) if crossed else (places > i)))
+        met = met[np.minimum(total[met], total[i]) >= SIMILARITY * (1 - 1e-9) * np.maximum(total[met], total[i])]
+        same = samples[met] == samples[i]
+        first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+        met = met[(same.sum(axis=1) >= AGREE) & (first == band)]
+        if not len(met):
+            continue
+        mine = slice(start[i], start[i] + sizes[i])
+        dense[codes[mine]] = weights[mine]
+        edge = np.cumsum(sizes[met]) - sizes[met]
+        at = np.arange(sizes[met].sum()) + np.repeat(start[met] - edge, sizes[met])
+        both = np.add.reduceat(np.minimum(weights[at], dense[codes[at]]), edge)
+        dense[codes[mine]] = 0
+        for j in met[both >= SIMILARITY * (total[met] + total[i] - both)]:
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                yield i, int(j)
+
+
+def _cell(idf: np.ndarray):
+    def run(cell: pa.Table) -> pa.Table:
+        vectors = []
+        for _, words, counts in lower_words(strings(cell.column("text"))):
+            ends = np.cumsum(counts)
+            vectors.extend(weighted_shingles(words[x:y], idf) for x, y in zip(ends - counts, ends))
+        samples = cell.column("samples").combine_chunks().flatten().to_numpy().reshape(-1, SAMPLES)
+        tid, band = cell.column("tid").to_pylist(), cell.column("band")[0].as_py()
+        other = cell.column("other").to_numpy(zero_copy_only=False).astype(bool)
+        links = list(cell_links(vectors, samples, cell.column("label").to_pylist(), other, band))
+        return pa.table([[tid[i] for i, _ in links], [tid[j] for _, j in links]], schema=LINK)
+
+    return run
+
+
+def _cells(left: DataFrame) -> DataFrame:
+    """Rows (bucket, first, label, tid, ...) of large buckets, once per cell in which they take part.
+
+    Texts outside the bucket's first component (``out``) meet each other and all texts of it, block by block.
+    """
+    sizes = left.groupBy("bucket").agg(
+        F.ceil(F.count_if(F.col("label") != F.col("first")) / CELL).cast("int").alias("outs"),
+        F.ceil(F.count_if(F.col("label") == F.col("first")) / CELL).cast("int").alias("ins"),
+    )
+    out, block = F.col("label") != F.col("first"), F.xxhash64("tid", "bucket")
+    rows = left.join(sizes, "bucket").withColumn("block", F.when(out, F.pmod(block, "outs")).otherwise(F.pmod(block, "ins")).cast("int"))
+    outs, ins = (F.sequence(F.lit(0), F.col(x) - 1) for x in ("outs", "ins"))
+
+    def cell(kind: int, i: Column, j: Column, other: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"), other.alias("other"))
+
+    mine = F.col("block")
+    among = F.transform(outs, lambda x: cell(0, F.least(x, mine), F.greatest(x, mine), x < mine))
+    across = F.transform(ins, lambda y: cell(1, mine, y, F.lit(False)))
+    into = F.transform(outs, lambda x: cell(1, x, mine, F.lit(True)))
+    cells = F.when(out, F.concat(among, across)).otherwise(into)
+    return rows.withColumn("cell", F.explode(cells)).select("*", "cell.*").drop("cell", "block", "outs", "ins")
+
+
 def _agreement(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
@@ -175,7 +251,7 @@ def _classes(rows: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.slice("samples", i * ROWS + 1, F.lit(ROWS))),
     )
-    keyed = texts.filter("samples IS NOT NULL").select("tid", F.explode(band).alias("bucket"))
+    keyed = texts.filter("samples IS NOT NULL").select("tid", F.posexplode(band).alias("band", "bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     paired = keyed.join(shared, "bucket")
     rank = paired.groupBy("tid").agg(F.sum("n").alias("rank"))  # an original shares larger buckets than its copies
@@ -198,17 +274,20 @@ def _classes(rows: DataFrame) -> DataFrame:
 
     for small in (False, True):
         grouped = members.join(labels.withColumnRenamed("node", "tid"), "tid", "left").select(
-            "bucket", "tid", "rank", "n", F.coalesce("label", "tid").alias("label")
+            "bucket", "band", "tid", "rank", "n", F.coalesce("label", "tid").alias("label")
         )
         several = grouped.groupBy("bucket").agg(
             F.min("label").alias("x"), F.max("label").alias("y"), F.max(F.struct("rank", "tid", "label")).alias("head")
         ).filter("x <> y").select("bucket", F.col("head.label").alias("first"))
         left = cut(grouped.join(several, "bucket"))
         if small:
-            left = left.filter(F.col("n") <= SMALL_BUCKET).join(texts.select("tid", "samples"), "tid")
-            a = left.select("bucket", F.col("tid").alias("a"), F.col("label").alias("la"), F.col("samples").alias("sa"))
-            b = left.select("bucket", F.col("tid").alias("b"), F.col("label").alias("lb"), F.col("samples").alias("sb"))
+            left = left.join(texts.select("tid", "samples"), "tid")
+            few = left.filter(F.col("n") <= SMALL_BUCKET)
+            a = few.select("bucket", F.col("tid").alias("a"), F.col("label").alias("la"), F.col("samples").alias("sa"))
+            b = few.select("bucket", F.col("tid").alias("b"), F.col("label").alias("lb"), F.col("samples").alias("sb"))
             meet = a.join(b, "bucket").filter((F.col("la") < F.col("lb")) & (_agreement(F.col("sa"), F.col("sb")) >= AGREE))
+            cells = _cells(left.filter(F.col("n") > SMALL_BUCKET).join(found, "tid"))
+            links = links.unionByName(cut(cells.groupBy("bucket", "kind", "i", "j").applyInArrow(_cell(idf), "a string, b string")))
         else:
             second = left.filter("label <> first").groupBy("bucket").agg(F.max(F.struct("rank", "tid", "label")).alias("s"))
             second = second.select("bucket", F.col("s.tid").alias("a"), F.col("s.label").alias("la"))
@@ -232,9 +311,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     text without words is alike only to the very same text; null counts as empty.
     Rows may repeat, share a doc_id or lack one; a class of rows without ids has a
     null class_id. Candidates come from 12 bands of 4 samples: a pair at 0.8 is
-    missed about twice in a thousand times, at 0.9 never in practice. In a bucket of
-    more than 32 texts a link between two texts neither of which is a head, and that
-    shares no smaller bucket, joins their classes only through other links.
+    missed about twice in a thousand times, at 0.9 never in practice. All candidates of
+    different components are compared, whatever the size of their bucket.
     """
     rows = _identified(documents(docs))
     classes = _classes(rows.select("tid", "id", F.coalesce("text", F.lit("")).alias("text")))

@@ -231,6 +231,27 @@ def test_near_duplicates(spark):
     assert near.near_duplicates(frame(spark, [])).count() == 0 and near.without_near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_near_duplicates_of_large_buckets(spark, monkeypatch):
+    """A chain of edited copies and three families under shared boilerplate, some hundred texts each, against brute force."""
+    monkeypatch.setattr(near, "CELL", 100)  # several cells a bucket
+    shared, chain, texts = words(1, 400), words(2, 300), []
+    for k in range(150):  # each version replaces two more words, so that only near versions are alike
+        chain[2 * k : 2 * k + 2] = [f"v{k}x", f"v{k}y"]
+        texts.append(" ".join(shared[:100] + chain))
+    for f in range(3):
+        for c in range(70):
+            own = words(10 + f, 100)
+            for k in random.Random(100 * f + c).sample(range(100), 4):
+                own[k] = f"w{f}x{c}x{k}"
+            texts.append(" ".join(shared[100:] + own))
+    random.Random(9).shuffle(texts)
+    docs = frame(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    expected = classes_by_brute_force(texts, smooth_idf(*bin_counts(docs, near.BIN_BITS)))
+    assert len(set(expected)) >= 4
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+
+
 def test_samples_estimate_the_weighted_similarity():
     rng = np.random.default_rng(4)
     shingles = np.sort(rng.integers(1, 2**63, 600).astype(np.uint64))
