@@ -27,6 +27,7 @@ COSINE = 0.3
 COPY, PARAPHRASE = 0.6, 0.4
 ANSWER = 5
 ITEMS_AT_ONCE = 5_000
+SPACES_AT_ONCE = 4  # latent spaces that a pass over the documents holds
 CHUNK = 1024
 SEED = 7
 
@@ -91,17 +92,18 @@ def _summed(items: DataFrame, step, width: int) -> np.ndarray:
     return np.concatenate(parts).reshape(-1, width).astype(np.float64)
 
 
-def latent_space(items: DataFrame, bins: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def latent_space(items: DataFrame, bins: np.ndarray, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Leading right singular vectors (bins x rank) of the passages' matrix, by randomised subspace iteration.
 
-    The matrix stays in Spark; the driver holds its small factors (at most 2^16 bins times RANK + SPARE).
+    The matrix stays in Spark; the driver holds its small factors (at most 2^16 bins times rank + SPARE).
+    Up to ``rank`` passages lie in the space in full, so that cosines in it are those of the whole vectors.
     """
-    width = min(len(bins), RANK + SPARE)
+    width = min(len(bins), rank + SPARE)
     basis = np.random.default_rng(SEED).standard_normal((len(bins), width)).astype(np.float32)
     for _ in range(POWERS):
         basis = np.linalg.qr(_summed(items, _products(bins, idf, basis, False), width))[0].astype(np.float32)
     values, vectors = np.linalg.eigh(_summed(items, _products(bins, idf, basis, True), width))
-    lead = np.argsort(-values)[:RANK]
+    lead = np.argsort(-values)[:rank]
     return (basis @ vectors[:, lead[values[lead] > 1e-6]]).astype(np.float32)
 
 
@@ -180,50 +182,69 @@ class Index:
         row, passage = np.nonzero(cosines >= self.floors)
         return {(int(owner[near[r]]), int(near[r] - edge[owner[near[r]]]), int(self.owners[p])) for r, p in zip(row, passage)}
 
-    def leaks(self, texts: pa.LargeBinaryArray):
-        """(place, item, share of the item, kind) of every leak, the best share per text and item."""
-        for low, words, counts in lower_words(texts, PUNCTUATION, 1 << 18):
-            ends = np.cumsum(counts)
-            best: dict[tuple[int, int], tuple[float, str]] = {}
-            for doc, passage, item in self.candidates(words, counts):
-                a = ends[doc] - counts[doc]
-                low_word, high_word = max(0, (passage - 1) * STEP), (passage + 3) * STEP
-                share, kind = self.items[item].judge(words[a:ends[doc]][low_word:high_word].tolist())
-                if kind and share > best.get((doc, item), (0.0, ""))[0]:
-                    best[doc, item] = share, kind
-            for (doc, item), (share, kind) in sorted(best.items()):
-                yield low + doc, self.items[item].id, share, kind
+    def leaks(self, words: np.ndarray, counts: np.ndarray):
+        """(document, item, share of the item, kind) of every leak, the best share per document and item."""
+        ends = np.cumsum(counts)
+        best: dict[tuple[int, int], tuple[float, str]] = {}
+        for doc, passage, item in self.candidates(words, counts):
+            a = ends[doc] - counts[doc]
+            low_word, high_word = max(0, (passage - 1) * STEP), (passage + 3) * STEP
+            share, kind = self.items[item].judge(words[a:ends[doc]][low_word:high_word].tolist())
+            if kind and share > best.get((doc, item), (0.0, ""))[0]:
+                best[doc, item] = share, kind
+        for (doc, item), (share, kind) in sorted(best.items()):
+            yield doc, self.items[item].id, share, kind
+
+
+def _found(indexes: list[Index], texts: pa.LargeBinaryArray):
+    """(place, item, share, kind) of the leaks of all indexes; words are hashed once."""
+    for low, words, counts in lower_words(texts, PUNCTUATION, 1 << 18):
+        for index in indexes:
+            for doc, *leak in index.leaks(words, counts):
+                yield low + doc, *leak
 
 
 LEAK = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("kind", pa.string())])
 LEAK_DDL = "doc_id bigint, item_id bigint, share double, kind string"
 
 
-def _search(index: Index):
+def _search(indexes: list[Index]):
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id")
             rows = [
                 {"doc_id": ids[i].as_py(), "item_id": item, "share": share, "kind": kind}
-                for i, item, share, kind in index.leaks(strings(batch.column("text")))
+                for i, item, share, kind in _found(indexes, strings(batch.column("text")))
             ]
             yield pa.RecordBatch.from_pylist(rows, schema=LEAK)
 
     return run
 
 
-def _clean(index: Index):
+def _clean(indexes: list[Index]):
     def run(batches):
         for batch in batches:
             clean = np.ones(batch.num_rows, bool)
-            clean[[i for i, *_ in index.leaks(strings(batch.column("text")))]] = False
+            clean[[i for i, *_ in _found(indexes, strings(batch.column("text")))]] = False
             yield batch.filter(pa.array(clean))
 
     return run
 
 
+def by_rank(items: list[Item]) -> list[tuple[int, int, int]]:
+    """(start, stop, passages) of runs of items with at most RANK passages; a longer item stands alone."""
+    runs, start, held = [], 0, 0
+    for i, item in enumerate(items):
+        n = len(item_windows(np.array(item.words, np.uint64)))
+        if held and held + n > RANK:
+            runs.append((start, i, held))
+            start, held = i, 0
+        held += n
+    return [*runs, (start, len(items), held)] if items else []
+
+
 def _indexes(docs: DataFrame, benchmark: DataFrame):
-    """One index per group of items; document frequencies come from all documents."""
+    """Lists of up to SPACES_AT_ONCE indexes, one per run of items; document frequencies come from all documents."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     groups = max(1, -(-items.count() // ITEMS_AT_ONCE))
@@ -232,10 +253,22 @@ def _indexes(docs: DataFrame, benchmark: DataFrame):
         group = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g)
         rows = group.orderBy("item_id", "text").toArrow()  # about ITEMS_AT_ONCE items
         ids = rows.column("item_id").to_pylist()
-        known = [Item(ids[i], w) for i, w in split_words(strings(rows.column("text"))) if len(w)]
-        if known:
-            bins = np.unique(np.concatenate([word_bins(np.array(x.words, np.uint64), BIN_BITS) for x in known]))
-            yield Index(known, bins, idf, latent_space(group, bins, idf))
+        place, known = [], []
+        for i, w in split_words(strings(rows.column("text"))):
+            if len(w):
+                place.append(i)
+                known.append(Item(ids[i], w))
+        indexes = []
+        for start, stop, passages in by_rank(known):
+            mine = known[start:stop]
+            bins = np.unique(np.concatenate([word_bins(np.array(x.words, np.uint64), BIN_BITS) for x in mine]))
+            texts = docs.sparkSession.createDataFrame(rows.take(place[start:stop]).select(["text"]))
+            indexes.append(Index(mine, bins, idf, latent_space(texts, bins, idf, max(RANK, passages))))
+            if len(indexes) == SPACES_AT_ONCE:
+                yield indexes
+                indexes = []
+        if indexes:
+            yield indexes
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -248,19 +281,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null and empty texts, on either side, leak nothing; so do items without an id.
     An item repeated under several ids is found under each; a document row yields
-    one row per item. Items are searched in groups of 5,000, each with its own
-    latent space, so what a task holds does not grow with the benchmark.
+    one row per item. Items are searched in runs of at most RANK passages, each with
+    its own latent space that holds them in full; a pass over the documents searches
+    four runs, so what a task holds does not grow with the benchmark.
     """
     docs = documents(docs)
     found = docs.sparkSession.createDataFrame([], LEAK_DDL)
-    for index in _indexes(docs, benchmark):
-        found = found.unionByName(docs.mapInArrow(_search(index), LEAK_DDL))
+    for indexes in _indexes(docs, benchmark):
+        found = found.unionByName(docs.mapInArrow(_search(indexes), LEAK_DDL))
     return found
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item; see leaks."""
     kept = docs
-    for index in _indexes(docs, benchmark):
-        kept = kept.mapInArrow(_clean(index), docs.schema)
+    for indexes in _indexes(docs, benchmark):
+        kept = kept.mapInArrow(_clean(indexes), docs.schema)
     return kept

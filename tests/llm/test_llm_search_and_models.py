@@ -117,6 +117,19 @@ def test_leaks_and_recall(spark):
     assert dec.leaks(frame(spark, []), bench).count() == 0 and dec.leaks(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_a_large_benchmark(spark):
+    """Over 1,000 items: every copy, and every one with a fifth of the words replaced, is found."""
+    items = [(i, " ".join(words(2000 + i, 40))) for i in range(1100)]
+    docs = []
+    for i, item in items[::4]:
+        text = words(9000 + i, 100)
+        text[30:30] = ["other" if i % 8 and k % 5 == 0 else w for k, w in enumerate(item.split())]
+        docs.append((i, " ".join(text), "en"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dec.leaks(frame(spark, docs), bench).collect()}
+    assert got == {(i, i) for i, *_ in docs}
+
+
 @mounted
 def test_candidates_reach_the_brute_force_cosines(spark):
     """Of the passages whose full TF-IDF cosine to an item's is 0.5 or more, the latent index finds nine in ten."""
