@@ -5,7 +5,8 @@
 2. Every passage of every document is folded into that space; its cosine to each
    benchmark passage picks the candidates. Words that no benchmark passage holds
    have no latent direction but count in the length of the passage.
-3. A candidate is decided on the words: it is a copy if the longest common
+3. A candidate is decided on the words around the hit, over twice the item's length
+   (at least 96 words) and placed by where in the item the hit is. It is a copy if the longest common
    subsequence covers most of the item, and a paraphrase if it covers less but the
    item's answer (its last words) stands in the passage in full.
 """
@@ -32,11 +33,14 @@ CHUNK = 1024
 SEED = 7
 
 
+def window_starts(size: int) -> list[int]:
+    last = max(0, size - PASSAGE)
+    return sorted({*range(0, last + 1, STEP), last}) if size else []
+
+
 def item_windows(words: np.ndarray) -> list[np.ndarray]:
     """Passages of an item: all of it, or runs of PASSAGE words that overlap by half."""
-    last = max(0, len(words) - PASSAGE)
-    starts = sorted({*range(0, last + 1, STEP), last})
-    return [words[s : s + PASSAGE] for s in starts if len(words)]
+    return [words[s : s + PASSAGE] for s in window_starts(len(words))]
 
 
 def split_words(array: pa.LargeBinaryArray, size: int = 1 << 20):
@@ -145,13 +149,16 @@ class Index:
         self.row_of = np.zeros(1 << BIN_BITS, np.int32)  # 0: no item holds the bin
         self.row_of[bins] = np.arange(1, len(bins) + 1)
         self.directions = np.vstack([np.zeros((1, space.shape[1]), np.float32), space * idf[bins][:, None]]).astype(np.float32)
-        passages, owners, floors = [], [], []
+        passages, owners, floors, starts = [], [], [], []
         for i, item in enumerate(items):
-            for window in item_windows(np.array(item.words, np.uint64)):
+            own = np.array(item.words, np.uint64)
+            for start, window in zip(window_starts(len(own)), item_windows(own)):
                 binned = word_bins(window, BIN_BITS)
                 passages.append(self.directions[self.row_of[binned]].sum(axis=0) / self._norm(binned))
                 owners.append(i)
+                starts.append(start)
                 floors.append(COSINE * np.sqrt(len(window) / PASSAGE))  # even a full copy of a short item fills a passage in part
+        self.starts = np.array(starts)
         self.passages, self.owners, self.floors = np.array(passages, np.float32), np.array(owners), np.array(floors, np.float32)
 
     def _norm(self, binned: np.ndarray) -> float:
@@ -160,6 +167,10 @@ class Index:
 
     def candidates(self, words: np.ndarray, counts: np.ndarray):
         """(document, passage, item) with a cosine of COSINE or more (less for short items), for a run of documents."""
+        return {(d, p, int(self.owners[k])) for d, p, k in self._hits(words, counts)}
+
+    def _hits(self, words: np.ndarray, counts: np.ndarray):
+        """Like candidates, with the place of the item's passage instead of the item."""
         blocks = np.maximum(1, -(-counts // STEP))
         edge = np.cumsum(blocks) - blocks
         binned = word_bins(words, BIN_BITS)
@@ -180,16 +191,30 @@ class Index:
         near = np.flatnonzero(np.abs(latent).sum(axis=1) > 0)
         cosines = (latent[near] @ self.passages.T) / np.sqrt(np.maximum(both[near], 1e-9))[:, None]
         row, passage = np.nonzero(cosines >= self.floors)
-        return {(int(owner[near[r]]), int(near[r] - edge[owner[near[r]]]), int(self.owners[p])) for r, p in zip(row, passage)}
+        doc = owner[near[row]]
+        return zip(doc.tolist(), (near[row] - edge[doc]).tolist(), passage.tolist())
+
+    def _regions(self, words: np.ndarray, counts: np.ndarray):
+        """(document, item, start, stop): the words of a document to hold against an item.
+
+        A region reaches half the item's length beyond where the hit would put its ends, so
+        a copy may be half as long or half longer. Hits a step apart share a region.
+        """
+        regions = set()
+        for doc, passage, k in self._hits(words, counts):
+            item = int(self.owners[k])
+            size = max(PASSAGE, len(self.items[item].words))
+            first = (passage * STEP - int(self.starts[k])) // STEP * STEP
+            more = STEP if size > PASSAGE else 0  # what rounding took
+            regions.add((doc, item, max(0, first - size // 2), first + size + size // 2 + more))
+        return regions
 
     def leaks(self, words: np.ndarray, counts: np.ndarray):
         """(document, item, share of the item, kind) of every leak, the best share per document and item."""
         ends = np.cumsum(counts)
         best: dict[tuple[int, int], tuple[float, str]] = {}
-        for doc, passage, item in self.candidates(words, counts):
-            a = ends[doc] - counts[doc]
-            low_word, high_word = max(0, (passage - 1) * STEP), (passage + 3) * STEP
-            share, kind = self.items[item].judge(words[a:ends[doc]][low_word:high_word].tolist())
+        for doc, item, start, stop in self._regions(words, counts):
+            share, kind = self.items[item].judge(words[ends[doc] - counts[doc] : ends[doc]][start:stop].tolist())
             if kind and share > best.get((doc, item), (0.0, ""))[0]:
                 best[doc, item] = share, kind
         for (doc, item), (share, kind) in sorted(best.items()):
@@ -275,7 +300,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, share, kind) for every benchmark item that a document holds.
 
     ``benchmark`` has item_id and text. share is the part of the item's words in
-    the longest common subsequence with the passage; kind is "copy" (0.6 or more)
+    the longest common subsequence with the words around the hit, whatever the item's
+    length; kind is "copy" (0.6 or more)
     or "paraphrase" (0.4 or more, and the last five words of the item in a row).
     Words are lower-cased runs of letters and digits.
 

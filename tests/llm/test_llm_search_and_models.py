@@ -130,6 +130,23 @@ def test_leaks_of_a_large_benchmark(spark):
     assert got == {(i, i) for i, *_ in docs}
 
 
+def test_leaks_of_long_items(spark):
+    """Items of 200 to 1,000 words: copies, and those with every fourth word replaced, dropped or followed by others."""
+    items = [(i, " ".join(words(3000 + i, n))) for i, n in enumerate([200, 240, 300, 600, 1000])]
+    change = [lambda k, w: [w], lambda k, w: [w if k % 4 else "other"], lambda k, w: [w] * (k % 4 > 0), lambda k, w: [w] + ["more"] * (k % 4 == 0)]
+    docs = []
+    for i, item in items:
+        for c, f in enumerate(change):
+            text = words(7000 + 10 * i + c, 1500)
+            at = 300 * c + 7
+            text[at:at] = [x for k, w in enumerate(item.split()) for x in f(k, w)]
+            docs.append((10 * i + c, " ".join(text), "en"))
+        docs.append((10 * i + 9, " ".join(words(8000 + i, 800) + item.split()[: len(item.split()) // 2]), "en"))  # half is no copy
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dec.leaks(frame(spark, docs), bench).collect()}
+    assert got == {(10 * i + c, i) for i, _ in items for c in range(len(change))}
+
+
 @mounted
 def test_candidates_reach_the_brute_force_cosines(spark):
     """Of the passages whose full TF-IDF cosine to an item's is 0.5 or more, the latent index finds nine in ten."""
