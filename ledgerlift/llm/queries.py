@@ -18,6 +18,7 @@ from ledgerlift.llm.substring_dedup import substring_dedup
 from ledgerlift.llm.token_counts import token_counts
 from ledgerlift.llm.topk_search import exact_top_k
 from ledgerlift.llm.toxicity import toxicity_scores
+from ledgerlift.llm.vector_codes import vector_codes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -92,6 +93,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(lengths)
 
 
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0)
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
@@ -146,3 +152,50 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 20
 """
+
+
+def _vector_codes_sql(rounds: int = 2) -> str:
+    """Integer k-means by part as plain SQL: start entries c0, then assignments a1, c1, a2, ..., and the last codes."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS (
+            SELECT x.vec_id, x.part, e.entry,
+                CAST(list_sum(list_transform(range(1, width + 1), lambda j: (x.x[j] - e.c[j]) * (x.x[j] - e.c[j]))) AS BIGINT) AS d
+            FROM x JOIN c{i} e USING (part)
+        ), a{i} AS (
+            SELECT vec_id, part, entry, d
+            FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) AS r FROM d{i}) WHERE r = 1
+        )""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS (
+            SELECT part, entry, coalesce(m.c, o.c) AS c
+            FROM c{i} o LEFT JOIN (
+                SELECT part, entry, list(CAST(floor(total / n) AS BIGINT) ORDER BY j) AS c
+                FROM (SELECT part, entry, j, sum(x[j]) AS total, count(*) AS n
+                      FROM a{i} JOIN x USING (vec_id, part), unnest(range(1, width + 1)) AS u(j) GROUP BY part, entry, j)
+                GROUP BY part, entry
+            ) m USING (part, entry)
+        )""")
+    last = rounds
+    return f"""
+WITH v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda y: CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = len(embedding)
+), x AS (
+    SELECT vec_id, part, len(v) // 16 AS width, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x
+    FROM v, unnest(range(16)) AS u(part)
+), c0 AS (
+    SELECT part, place - 1 AS entry, x AS c
+    FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS place FROM v) USING (vec_id) WHERE place <= 64
+), {", ".join(steps)}, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM a{last} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(c[j], ',' ORDER BY part, entry, j)) FROM c{last}, unnest(range(1, len(c) + 1)) AS u(j)) AS codebooks_sha256
+FROM coded JOIN v USING (vec_id)
+"""
+
+
+ORACLES["op13_vector_codes"] = _vector_codes_sql()
