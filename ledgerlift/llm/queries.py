@@ -14,6 +14,7 @@ from ledgerlift.llm.language_id import language_id
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.lm_scoring import lm_scores
 from ledgerlift.llm.near_dedup import near_duplicates
+from ledgerlift.llm.spelling import spelling_variants
 from ledgerlift.llm.substring_dedup import substring_dedup
 from ledgerlift.llm.token_counts import token_counts
 from ledgerlift.llm.topk_search import exact_top_k
@@ -93,6 +94,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(lengths)
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), min_letters=6, min_count=5, factor=5, slip_every=199)
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0)
@@ -199,3 +205,57 @@ FROM coded JOIN v USING (vec_id)
 
 
 ORACLES["op13_vector_codes"] = _vector_codes_sql()
+
+
+def _crc32_sql(letters: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of a string whose characters are all below U+0800."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    byte_list = (
+        f"flatten(list_transform(string_split({letters}, ''), lambda c: CASE WHEN unicode(c) < 128 "
+        f"THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))"
+    )
+    step = f"lambda a, b: xor(a >> 8, CAST({table} AS BIGINT[])[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce({byte_list}, {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+ORACLES["op12_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS raw FROM documents),
+        (SELECT 1), unnest([translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')]) AS u(run)
+    GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, {_crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+          FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), less AS (
+    SELECT word, length(word) AS size, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+), pairs AS (
+    SELECT DISTINCT a.word AS a, b.word AS b FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS form, max(w.n) AS form_n FROM pairs JOIN words w ON b = w.word GROUP BY a
+), named AS (
+    SELECT w.word, CASE WHEN form_n >= 5 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), chain AS (
+    SELECT word, word AS at FROM named
+    UNION ALL
+    SELECT c.word, n.form FROM chain c JOIN named n ON c.at = n.word WHERE n.form IS NOT NULL
+), roots AS (
+    SELECT c.word, c.at AS root FROM chain c JOIN named n ON c.at = n.word WHERE n.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM named JOIN roots USING (word)
+"""
