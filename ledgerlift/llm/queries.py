@@ -14,6 +14,7 @@ from ledgerlift.llm.language_id import language_id
 from ledgerlift.llm.line_dedup import line_dedup
 from ledgerlift.llm.lm_scoring import lm_scores
 from ledgerlift.llm.near_dedup import near_duplicates
+from ledgerlift.llm.pii import personal_data_digest
 from ledgerlift.llm.spelling import spelling_variants
 from ledgerlift.llm.substring_dedup import substring_dedup
 from ledgerlift.llm.token_counts import token_counts
@@ -94,6 +95,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(lengths)
 
 
+@query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), min_letters=6, min_count=5, factor=5, slip_every=199)
