@@ -13,8 +13,8 @@
 4. Only edits that pass the filter are written out and meet the vocabulary in an exact
    join, which drops the false positives. A word has at most 91 * (2 * length + 1)
    near words, so no join key is hot.
-5. Forms are followed by pointer doubling; n grows by the factor at each step, so the
-   number of rounds follows from the largest n.
+5. Forms are followed step by step; n grows by the factor at each step, so the number of
+   steps follows from the largest n.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlift.llm.common import U64, cut, documents, mix, stored
+from ledgerlift.llm.common import U64, documents, mix, stored
 
 # The letters of a word.
 LETTERS = "A-Za-zÀ-ÿ"
@@ -263,12 +263,12 @@ def near_pairs(vocabulary: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataF
     return pairs
 
 
-def _roots(forms: DataFrame, rounds: int) -> DataFrame:
-    """(word, root) by doubling: after r rounds a word points 2^r forms ahead, or to the last."""
+def _roots(forms: DataFrame, steps: int) -> DataFrame:
+    """(word, root) for (word, form), where no chain of forms is longer than ``steps``."""
+    further = forms.select(F.col("word").alias("root"), F.col("form").alias("next"))
     ahead = forms.select("word", F.col("form").alias("root"))
-    for _ in range(rounds):
-        further = ahead.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        ahead = cut(ahead.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")))
+    for _ in range(steps - 1):
+        ahead = ahead.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
     return ahead
 
 
@@ -298,7 +298,7 @@ def spelling_variants(
     )
     form_n = -F.col("best.least")
     likely = form_n >= F.col("n") * factor
-    named = cut(vocabulary.join(best, "word", "left").select(
+    named = stored(vocabulary.join(best, "word", "left").select(
         "word",
         F.when(likely, F.col("best.other")).alias("form"),
         "n",
@@ -307,8 +307,7 @@ def spelling_variants(
     ))
     forms = named.filter("form IS NOT NULL").select("word", "form")
     most = named.agg(F.max("form_n")).first()[0] or 1
-    steps = int(math.log(most, factor)) + 1  # no chain of forms is longer
-    roots = _roots(forms, max(0, (steps - 1).bit_length()))
+    roots = _roots(forms, int(math.log(most, factor)) + 1)
     return named.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
