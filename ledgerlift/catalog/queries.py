@@ -405,11 +405,9 @@ def fx_asof(lake: Lake) -> DataFrame:
 @query("fx_asof_large")
 def fx_asof_large(lake: Lake) -> DataFrame:
     """Each purchase with the value of the user's last view, else of the first view."""
-    events = lake.table("events")
-    purchases = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    views = events.filter("event_type = 'view'").select("user_id", F.col("ts").alias("view_ts"), "value")
-    return fx.asof_by_key(purchases, views, "user_id", "ts", "view_ts", "value", "view_value").select(
-        "event_id", "user_id", "view_value"
+    kind = F.col("event_type")
+    return fx.asof_within(
+        lake.table("events"), "user_id", "ts", kind == "purchase", kind == "view", "value", ["event_id", "user_id"], "view_value"
     )
 
 

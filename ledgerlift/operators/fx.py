@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlift.functions.columns import RATE
 from ledgerlift.functions.country import COUNTRY_CURRENCY, HOME_CURRENCY
+from ledgerlift.operators.sizing import broadcast_if_small
+from ledgerlift.sources import readers
 
-NULL_SPREAD = 4_096
+SLICE_ROWS = 200_000
+EDGES = 1_024
+PARTS = 256
 
 
 def rate_history(rates: DataFrame) -> DataFrame:
@@ -83,52 +87,102 @@ def asof_by_key(
     right_time: str,
     value: str,
     out: str,
-    bucket_seconds: int = 3600,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """As-of join against a large history: last ``right.value`` at or before ``left_time``, else the earliest.
 
-    Both sides meet in time buckets per key, so a key that holds a third of the
-    rows is cut into as many groups as it has buckets. What earlier buckets hold
-    is carried over through one row per (key, bucket). A null key finds nothing;
-    such rows are spread over ``NULL_SPREAD`` groups.
+    Of right rows with equal time the greatest value counts. A null key or time on the
+    left finds nothing or the earliest value; right rows without key or time take no part.
     """
-    columns = left.columns
-    left_side = left.select(
-        F.col(key).alias("_key"),
-        F.col(left_time).alias("_time"),
-        F.lit(1).alias("_side"),
-        F.struct(*columns).alias("_row"),
-    ).withColumn("_mark", F.lit(None).cast(f"struct<t:{_type(right, right_time)},v:{_type(right, value)}>"))
+    moment = left.schema[left_time].dataType.simpleString()
     right_side = right.filter(F.col(right_time).isNotNull() & F.col(key).isNotNull()).select(
+        F.lit(False).alias("_asks"),
         F.col(key).alias("_key"),
-        F.col(right_time).alias("_time"),
-        F.lit(0).alias("_side"),
-        F.struct(F.col(right_time).alias("t"), F.col(value).alias("v")).alias("_mark"),
+        F.col(right_time).cast(moment).alias("_time"),
+        F.col(value).alias("_value"),
     )
-    seconds = F.unix_seconds(F.col("_time").cast("timestamp"))
-    both = left_side.unionByName(right_side, allowMissingColumns=True).withColumn(
-        "_bucket",
-        F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("_row"), F.lit(NULL_SPREAD))).otherwise(F.floor(seconds / bucket_seconds)),
-    )
-    running = (
-        W.partitionBy("_key", "_bucket").orderBy("_time", "_side", "_mark").rowsBetween(W.unboundedPreceding, 0)
+    left_side = left.select(
+        F.lit(True).alias("_asks"), F.col(key).alias("_key"), F.col(left_time).alias("_time"), F.struct(*left.columns).alias("_row")
     )
-    local = both.withColumn("_local", F.last("_mark", ignorenulls=True).over(running)).filter("_side = 1")
-    per_bucket = both.groupBy("_key", "_bucket").agg(F.max("_mark").alias("_hi"), F.min("_mark").alias("_lo"))
-    earlier = W.partitionBy("_key").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy("_key")
-    carried = per_bucket.select(
-        "_key",
-        "_bucket",
-        F.last("_hi", ignorenulls=True).over(earlier).alias("_carry"),
-        F.min("_lo").over(whole).alias("_first"),
+    return _prefix_scan(left_side.unionByName(right_side, allowMissingColumns=True), left.columns, out, slice_rows)
+
+
+def asof_within(
+    df: DataFrame, key: str, time: str, asks: Column, tells: Column, value: str, columns: list[str], out: str, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """``asof_by_key`` where both sides are rows of one table, which is read once.
+
+    Rows that meet ``tells`` are the history and those that meet ``asks`` look it up and
+    return ``columns`` and ``out``; a row may be both, and then sees itself.
+    """
+    sides = F.array_compact(
+        F.array(
+            F.when(tells & F.col(time).isNotNull() & F.col(key).isNotNull(), F.lit(False)), F.when(asks, F.lit(True))
+        )
     )
-    found = F.coalesce("_local", "_carry", "_first")
-    keys = (F.col("l._key").eqNullSafe(F.col("c._key"))) & (F.col("l._bucket").eqNullSafe(F.col("c._bucket")))
-    return local.alias("l").join(carried.alias("c"), keys, "left").select(
-        "l._row.*", found.getField("v").alias(out)
+    marked = df.filter(asks | tells).select(
+        F.explode(sides).alias("_asks"),
+        F.col(key).alias("_key"),
+        F.col(time).alias("_time"),
+        F.col(value).alias("_value"),
+        F.struct(*columns).alias("_row"),
     )
+    rows = marked.withColumns({"_value": F.when(~F.col("_asks"), F.col("_value")), "_row": F.when(F.col("_asks"), F.col("_row"))})
+    return _prefix_scan(rows, columns, out, slice_rows)
 
 
-def _type(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
+def slices(rows: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds _bucket, _slice, _part and _single to rows (_asks, _key, _time, _number): groups of about ``slice_rows``, in time order per key.
+
+    Keys meet in hours. Where a (key, hour) holds more, it is cut at up to ``EDGES``
+    measured quantiles of its times. A time that is itself an edge is a slice of
+    its own; within it no order matters, so its asking rows are dealt over parts.
+    """
+    hour = F.floor(F.unix_seconds(F.col("_time").cast("timestamp")) / 3600)
+    rows = rows.withColumn("_bucket", hour)
+    counted = rows.filter("_key IS NOT NULL AND _time IS NOT NULL").groupBy("_key", "_bucket").agg(F.count("*").alias("_n"))
+    crowded, small = broadcast_if_small(counted.filter(F.col("_n") > slice_rows))
+    micros = F.unix_micros(F.col("_time").cast("timestamp"))
+    inside = rows.select("_key", "_bucket", micros.alias("_at")).join(crowded, ["_key", "_bucket"])
+    probes = [i / EDGES for i in range(EDGES + 1)]
+    measured = inside.groupBy("_key", "_bucket").agg(F.percentile_approx("_at", probes, 10_000).alias("_edges"), F.first("_n").alias("_n"))
+    # as many of the measured edges as the rows ask for; a time with more rows than a slice is always among them
+    every = F.greatest(F.floor(F.lit(EDGES) * slice_rows / F.col("_n")), F.lit(1))
+    edges = measured.select("_key", "_bucket", F.array_distinct(F.filter("_edges", lambda e, i: i % every == 0)).alias("_edges"))
+    placed = rows.join(F.broadcast(edges) if small else edges, ["_key", "_bucket"], "left")
+    single = F.coalesce(F.array_contains("_edges", micros), F.lit(False)) | F.col("_time").isNull()
+    below = F.size(F.filter("_edges", lambda e: e < micros))
+    slice_ = F.when(F.col("_edges").isNull(), 0).otherwise(below * 2 + F.when(single, 1).otherwise(0))
+    part = F.when(single & F.col("_asks"), F.pmod("_number", F.lit(PARTS))).otherwise(0)
+    return placed.select(*rows.columns, slice_.alias("_slice"), part.cast("int").alias("_part"), single.alias("_single"))
+
+
+def _prefix_scan(rows: DataFrame, columns: list[str], out: str, slice_rows: int) -> DataFrame:
+    """Answers of the asking rows: each slice is scanned alone, and one row per slice carries what earlier ones hold."""
+    rows = rows.withColumn("_number", F.monotonically_increasing_id())
+    rows = readers.write_parquet(rows, readers.scratch_path(rows.sparkSession, "asof"))
+    nobody = rows.filter(F.col("_asks") & F.col("_key").isNull()).select("_row.*", F.lit(None).cast(rows.schema["_value"].dataType).alias(out))
+    placed = slices(rows.filter("_key IS NOT NULL"), slice_rows)
+    mark = F.when(~F.col("_asks"), F.struct(F.col("_time").alias("t"), F.col("_value").alias("v")))
+    placed = placed.withColumn("_mark", mark)
+    group = ["_key", "_bucket", "_slice"]
+    per_slice = placed.groupBy(*group).agg(
+        F.max("_mark").alias("_hi"), F.min("_mark").alias("_lo"), F.max("_part").alias("_parts"), F.first("_single").alias("_single")
+    )
+    order = W.partitionBy("_key").orderBy("_bucket", "_slice")
+    last = F.last("_hi", ignorenulls=True)
+    before = last.over(order.rowsBetween(W.unboundedPreceding, -1))
+    upto = last.over(order.rowsBetween(W.unboundedPreceding, 0))
+    first = F.first("_lo", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    carried = per_slice.select(
+        *group,
+        F.coalesce(F.when(F.col("_single"), upto).otherwise(before), first).alias("_mark"),
+        F.explode(F.sequence(F.lit(0), "_parts")).alias("_part"),
+        F.lit(False).alias("_asks"),
+    )
+    # what a slice of one time holds is in its carried row already
+    scanned = placed.filter(F.col("_asks") | ~F.col("_single")).select(*group, "_mark", "_part", "_asks", "_time", "_row")
+    both = scanned.unionByName(carried, allowMissingColumns=True)
+    running = W.partitionBy(*group, "_part").orderBy(F.col("_time").asc_nulls_first(), "_asks", "_mark").rowsBetween(W.unboundedPreceding, 0)
+    found = F.last("_mark", ignorenulls=True).over(running)
+    return both.withColumn("_found", found).filter("_asks").select("_row.*", F.col("_found.v").alias(out)).unionByName(nobody)

@@ -1,3 +1,5 @@
+import bisect
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.operators import cluster_metrics as cm
 from ledgerlift.operators.dedup import keep_greatest, keep_least
-from ledgerlift.operators.fx import asof_by_key
+from ledgerlift.operators.fx import asof_by_key, asof_within, slices
 from ledgerlift.operators.keys import dense_numbers, fact_numbers
 from ledgerlift.operators.ordering import ntile_of, quantiles, rank_descending
 from ledgerlift.operators.sizing import broadcast_if_small, hot_keys, spread_left_join
@@ -80,7 +82,8 @@ def test_quantiles_match_numpy(spark):
         assert [r.q1, r.q2, r.q3] == pytest.approx(list(np.quantile(mine, list(probes.values()))))
 
 
-def test_asof_against_brute_force(spark):
+@pytest.mark.parametrize("slice_rows", [1, 7, 200_000])
+def test_asof_against_brute_force(spark, slice_rows):
     rng, base = random.Random(5), datetime(2024, 1, 1)
     users = ["hot"] * 5 + ["a", "b", "only_left"]
     left = [(i, rng.choice(users), base + timedelta(minutes=rng.randint(0, 5000))) for i in range(400)]
@@ -89,7 +92,7 @@ def test_asof_against_brute_force(spark):
     got = asof_by_key(
         spark.createDataFrame(left, "id int, u string, t timestamp"),
         spark.createDataFrame(right, "u string, rt timestamp, v int"),
-        "u", "t", "rt", "v", "found", bucket_seconds=3600,
+        "u", "t", "rt", "v", "found", slice_rows=slice_rows,
     )
 
     def want(user, at):
@@ -100,6 +103,54 @@ def test_asof_against_brute_force(spark):
     assert {r.id: r.found for r in got.collect()} == {i: want(u, t) for i, u, t in left}
 
 
+def crowded_events(n):
+    """90% of the rows in one second of one user, a third of those at one instant; some without time or user."""
+    rng, base = random.Random(8), datetime(2024, 5, 1)
+    rows = []
+    for i in range(n):
+        user, at = "hot", base + timedelta(microseconds=rng.choice([500_000, rng.randrange(1_000_000), rng.randrange(1_000_000)]))
+        if i % 10 == 0:
+            user, at = rng.choice(["hot", "a", "b", None]), rng.choice([base + timedelta(minutes=rng.randrange(-600, 600)), None])
+        rows.append((i, user, at, rng.choice(["ask", "ask", "tell", "both", "no"]), i))
+    return rows
+
+
+def test_asof_within_a_crowded_second(spark):
+    rows = crowded_events(6_000)
+    df = spark.createDataFrame(rows, "id int, u string, t timestamp, kind string, v int")
+    asks, tells = F.col("kind").isin("ask", "both"), F.col("kind").isin("tell", "both")
+    got = {r.id: r.found for r in asof_within(df, "u", "t", asks, tells, "v", ["id", "u"], "found", slice_rows=300).collect()}
+    history = {}
+    for _, u, t, kind, v in rows:
+        if u is not None and t is not None and kind in ("tell", "both"):
+            history.setdefault(u, []).append((t, v))
+    asked = [r for r in rows if r[3] in ("ask", "both")]
+    for i, u, t, _, _ in asked:
+        mine = sorted(history.get(u, []))
+        at = bisect.bisect_right(mine, (t, math.inf)) if t is not None else 0
+        assert got.pop(i) == (mine[at - 1][1] if at else mine[0][1] if mine else None), (i, u, t)
+    assert got == {}
+
+
+def test_slices_of_a_crowded_second_are_even(spark):
+    df = spark.createDataFrame(crowded_events(20_000), "_number int, _key string, _time timestamp, kind string, v int")
+    rows = df.filter("_key IS NOT NULL").select("_number", "_key", "_time", (F.col("kind") == "ask").alias("_asks"))
+    placed = slices(rows, slice_rows=400)
+    sizes = [r["count"] for r in placed.groupBy("_key", "_bucket", "_slice", "_part").count().collect()]
+    assert sum(sizes) == rows.count()
+    told = placed.filter("_single AND NOT _asks").count()  # these go into the carried row map-side
+    assert max(sizes) <= max(2 * 400, told)
+    scanned = placed.filter("_asks OR NOT _single").groupBy("_key", "_bucket", "_slice", "_part").count()
+    assert scanned.agg(F.max("count")).first()[0] <= 2 * 400
+
+
+def test_asof_within_reads_its_table_once(spark, tmp_path):
+    spark.createDataFrame(crowded_events(500), "id int, u string, t timestamp, kind string, v int").write.parquet(str(tmp_path / "e"))
+    df = spark.read.parquet(str(tmp_path / "e"))
+    got = asof_within(df, "u", "t", F.col("kind") == "ask", F.col("kind") == "tell", "v", ["id"], "found")
+    assert str(tmp_path) not in got._jdf.queryExecution().toString()  # read for the written rows alone
+
+
 def test_asof_null_keys_find_nothing(spark, rows):
     at = datetime(2024, 1, 1)
     left = spark.createDataFrame([(1, None, at), (2, "a", at), (3, None, at)], "id int, u string, t timestamp")
