@@ -6,8 +6,11 @@ doubles and integers as bigints so that the results compare by value.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
+from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -33,18 +36,28 @@ class Lake:
 
     Tables that a query reads several times are written once to the shared folder,
     as the layers of a pipeline run are, and read back (``stored``): recomputing
-    them took twice as long. Tables read once stay lazy.
+    them took twice as long. Tables read once stay lazy. Tables that do not depend on
+    one another are submitted together (``each``); one that does waits for the others.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._locks: defaultdict[str, Lock] = defaultdict(Lock)
 
     def stored(self, name: str) -> DataFrame:
-        if name not in self._built:
-            built = self.silver(name) if name in inputs.INPUTS else getattr(self, name)()
-            self._built[name] = readers.write_parquet(built, readers.scratch_path(self.spark, name))
-        return self._built[name]
+        with self._locks[name]:
+            if name not in self._built:
+                built = self.silver(name) if name in inputs.INPUTS else getattr(self, name)()
+                self._built[name] = readers.write_parquet(built, readers.scratch_path(self.spark, name))
+            return self._built[name]
+
+    @staticmethod
+    def each(build: Callable[[str], DataFrame], names: Iterable[str]) -> list[DataFrame]:
+        """``build`` of every name; the jobs that this takes run side by side."""
+        names = list(names)
+        with ThreadPool(len(names)) as pool:
+            return pool.map(build, names, chunksize=1)
 
     def table(self, name: str) -> DataFrame:
         return inputs.table(self.spark, self.sf_dir, name)
@@ -63,15 +76,9 @@ class Lake:
     def enriched(self, dims: dict[str, DataFrame] | None = None) -> DataFrame:
         """With dimensions the account tables are read twice (calendar and facts), so they are stored."""
         accounts = self.silver if dims is None else self.stored
-        return gold.enrich(
-            accounts("conta_pagar"),
-            accounts("conta_receber"),
-            self.stored("cliente"),
-            self.stored("categoria"),
-            self.stored("exchange_rates"),
-            self.hot_customers(),
-            dims,
-        )
+        builds = {n: accounts for n in ("conta_pagar", "conta_receber")} | {n: self.stored for n in ("cliente", "categoria", "exchange_rates")}
+        tables = self.each(lambda n: builds[n](n), builds)
+        return gold.enrich(*tables, self.hot_customers(), dims)
 
     def customer_summary(self) -> DataFrame:
         return gold.customer_summary(self.enriched())
@@ -104,7 +111,8 @@ class Lake:
         return gold.date_dim(gold.date_range(self.stored("conta_pagar"), self.stored("conta_receber")))
 
     def dims(self) -> dict[str, DataFrame]:
-        return {n: self.stored(f"{n}_dim") for n in ("currency", "customer", "category", "account", "date")}
+        names = ("currency", "customer", "category", "account", "date")
+        return dict(zip(names, self.each(lambda n: self.stored(f"{n}_dim"), names)))
 
     def transaction_fact(self) -> DataFrame:
         return gold.transaction_fact(self.enriched(self.dims()), inputs.RUN_TS)
@@ -243,7 +251,8 @@ def fx_fallback_cache(lake: Lake) -> DataFrame:
 
 def _star(lake: Lake) -> dict[str, DataFrame]:
     dims = {f"{n}_dim": t for n, t in lake.dims().items()}
-    return dims | {n: lake.stored(n) for n in ("transaction_fact", "exchange_rate_fact")}
+    facts = ("transaction_fact", "exchange_rate_fact")
+    return dims | dict(zip(facts, lake.each(lake.stored, facts)))
 
 
 @query("star_tables")
@@ -339,18 +348,15 @@ def dedup_rates(lake: Lake) -> DataFrame:
 
 @query("column_completeness")
 def column_completeness(lake: Lake) -> DataFrame:
-    tables = [
-        quality.column_completeness(lake.silver(n, lineage=True)).withColumn("tabela", F.lit(n)) for n in inputs.INPUTS
-    ]
+    tables = lake.each(lambda n: quality.column_completeness(lake.silver(n, lineage=True)).withColumn("tabela", F.lit(n)), inputs.INPUTS)
     return quality.union_all(tables)
 
 
 @query("quality_score")
 def quality_scores(lake: Lake) -> DataFrame:
-    scores = [
-        quality.quality_score(lake.silver(n, lineage=True)).select(F.lit(n).alias("tabela"), "score")
-        for n in inputs.INPUTS
-    ]
+    scores = lake.each(
+        lambda n: quality.quality_score(lake.silver(n, lineage=True)).select(F.lit(n).alias("tabela"), "score"), inputs.INPUTS
+    )
     return quality.union_all(scores)
 
 

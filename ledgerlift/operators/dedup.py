@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlift.operators.fingerprint import NAMES, fingerprint
+from ledgerlift.operators.sizing import broadcast_if_small
+
 
 def _one_per_key(df: DataFrame, keys: list[str], pick) -> DataFrame:
+    """Rows whose key stands alone pass as they are; only the others meet as structs.
+
+    Which keys repeat comes from a hash aggregate over fingerprints of the keys, two
+    numbers a row. Two keys that share a fingerprint by chance take the exact way too,
+    so the result never rests on the hash.
+    """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(pick(F.struct(*rest)).alias("_kept"))
-    return kept.select(*[c if c in keys else F.col(f"_kept.`{c}`").alias(c) for c in df.columns])
+    marks = fingerprint(df, keys)
+    repeated = df.select(*marks).groupBy(*NAMES).count().filter("count > 1").select(*NAMES)
+    repeated, small = broadcast_if_small(repeated)
+    repeated = repeated if small else repeated.hint("shuffle_hash")
+    marked = df.select("*", *marks)
+    alone = marked.join(repeated, NAMES, "left_anti").select(*df.columns)
+    kept = marked.join(repeated, NAMES, "left_semi").groupBy(*keys).agg(pick(F.struct(*rest)).alias("_kept"))
+    return alone.unionByName(kept.select(*[c if c in keys else F.col(f"_kept.`{c}`").alias(c) for c in df.columns]))
 
 
 def keep_least(df: DataFrame, keys: list[str]) -> DataFrame:

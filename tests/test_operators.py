@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ledgerlift.operators import cluster_metrics as cm
 from ledgerlift.operators.dedup import keep_greatest, keep_least
+from ledgerlift.operators.fingerprint import fingerprint
 from ledgerlift.operators.fx import asof_by_key, asof_within, slices
 from ledgerlift.operators.keys import dense_numbers, fact_numbers
 from ledgerlift.operators.ordering import ntile_of, quantiles, rank_descending
+from ledgerlift.operators.quality import quality_score
 from ledgerlift.operators.sizing import broadcast_if_small, hot_keys, spread_left_join
 
 
@@ -21,6 +23,32 @@ def test_dedup_keeps_least_and_greatest(spark, rows):
     assert rows(keep_greatest(df, ["k"])) == [("a", 2, "x"), ("b", 1, "z"), (None, 4, "v")]
 
 
+def test_dedup_leaves_single_keys_alone(spark, rows, monkeypatch):
+    data = [(None if i % 50 == 0 else f"k{i // 2 if i % 5 == 0 else i}", i % 7, None if i % 3 else "t") for i in range(2_000)]
+    data += [("hot", i % 11, "x" * 50) for i in range(1_000)]
+    df = spark.createDataFrame(data, "k string, n int, t string")
+    least = {}
+    for k, n, t in data:
+        low = least.get(k)
+        if low is None or (n, t is not None, t or "") < (low[0], low[1] is not None, low[1] or ""):
+            least[k] = (n, t)
+    wanted = sorted(((k, *v) for k, v in least.items()), key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert rows(keep_least(df, ["k"])) == wanted
+    plan = keep_least(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    monkeypatch.setattr("ledgerlift.operators.sizing.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("ledgerlift.operators.dedup.broadcast_if_small", lambda x: (x, False))
+    assert rows(keep_least(df, ["k"])) == wanted
+
+
+def test_fingerprints_tell_nulls_apart(spark):
+    data = [(None, "a", [1]), ("a", None, [1]), (None, None, [1]), ("a", "a", [1]), ("", "a", [1]), ("a", "a", [1, None]), ("a", "a", None)]
+    df = spark.createDataFrame(data + data, "x string, y string, z array<int>")
+    marks = df.select(*fingerprint(df, df.columns))
+    assert marks.distinct().count() == len(data)
+    assert quality_score(df).first()[0] == pytest.approx(round((14 * 3 - 10) / 42 * 100 - 25, 2))
+
+
 def test_spread_join_with_hot_and_null_keys(spark, rows):
     big = spark.range(3000).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE cast(id % 50 AS string) END AS k"
