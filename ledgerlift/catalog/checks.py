@@ -283,6 +283,103 @@ CTES = {
 }
 
 
+# ---- segmentation: the same draws and moves of centres, written out in SQL
+SEGMENT_FEATURES = [
+    "total_receita_brl", "ticket_medio_brl", "quantidade_transacoes", "desvio_padrao_brl", "percentual_atraso",
+    "percentual_pago", "dias_ativos",
+]
+GAPS = "list_transform(cs, lambda c: list_distance(c, v) ** 2)"
+
+
+def _segmentation_ctes(largest: int = 6, first_seed: int = 42, restarts: int = 10, shift: str = "1e-5", steps: int = 300) -> dict[str, str]:
+    scaled = ", ".join(f"CAST(CASE WHEN s_{c} = 0 THEN 0 ELSE ({c} - m_{c}) / s_{c} END AS DOUBLE)" for c in SEGMENT_FEATURES)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SEGMENT_FEATURES)
+    key = " || ".join(f"""'"{c}":"' || {c} || '"{"," if c != "currency" else ""}'""" for c in ("id_cliente", "nome_cliente", "pais_cliente", "currency"))
+    out = {
+        "km_z": f"SELECT '{{' || {key} || '}}' AS id, [{scaled}] AS v, features.* FROM features, (SELECT {stats} FROM features)",
+        "km_seeds": f"SELECT CAST(r AS BIGINT) AS r FROM range({first_seed}, {first_seed + restarts}) t(r)",
+    }
+    for step in range(largest):
+        race = f"-ln((CAST('0x' || substr(md5(id || '|' || r || '|{step}'), 1, 12) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(281474976710656 AS DOUBLE))"
+        if step == 0:
+            out["km_d0"] = f"SELECT r, [arg_min(v, {race})] AS cs FROM km_seeds, km_z GROUP BY r"
+        else:
+            out[f"km_d{step}"] = f"""SELECT r, list_append(cs, arg_min(v, {race} / near)) AS cs
+                FROM (SELECT r, cs, id, v, list_min({GAPS}) AS near FROM km_d{step - 1}, km_z) WHERE near > 1e-12 GROUP BY r, cs"""
+    means = ", ".join(f"avg(v[{j + 1}])" for j in range(len(SEGMENT_FEATURES)))
+    sums = ", ".join(f"sum(v[{j + 1}])" for j in range(len(SEGMENT_FEATURES)))
+    places = "range(1, len(cs) + 1)"
+    out |= {
+        "km_moves": f"""
+            SELECT CAST(k AS BIGINT) AS k, r, 0 AS step, cs[1:k] AS cs, false AS rests FROM km_d{largest - 1}, range(2, {largest + 1}) t(k)
+            UNION ALL
+            SELECT k, r, step + 1, moved, list_sum(list_transform({places}, lambda i: list_distance(moved[i], cs[i]) ** 2)) <= {shift} OR step + 1 >= {steps}
+            FROM (
+                SELECT k, r, step, cs, list_transform({places}, lambda i: coalesce(map_from_entries(list((p, c)))[i], cs[i])) AS moved
+                FROM (
+                    SELECT k, r, step, cs, list_position(ds, list_min(ds)) AS p, [{means}] AS c
+                    FROM (SELECT k, r, step, cs, v, {GAPS} AS ds FROM km_moves, km_z WHERE NOT rests) GROUP BY ALL
+                ) GROUP BY k, r, step, cs)""",
+        "km_costs": f"SELECT k, r, cs, sum(list_min({GAPS})) AS cost FROM km_moves, km_z WHERE rests GROUP BY k, r, cs",
+        "km_best": "SELECT k, cs, cost FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(cost, 6), r) AS n FROM km_costs) WHERE n = 1",
+        "km_labels": f"""SELECT k, id, v, list_position(ds, list_min(ds)) - 1 AS label, total_receita_brl
+            FROM (SELECT k, id, v, total_receita_brl, {GAPS} AS ds FROM km_best, km_z)""",
+        "km_sums": f"SELECT k, label, count(*) AS n, [{sums}] AS y, sum(list_inner_product(v, v)) AS psi FROM km_labels GROUP BY k, label",
+        "km_points": """SELECT k, id, max(n) FILTER (own) AS n, max(t / nullif(n - 1, 0)) FILTER (own) AS a, min(t / n) FILTER (NOT own) AS b
+            FROM (SELECT l.k, l.id, l.label = s.label AS own, s.n, s.n * list_inner_product(l.v, l.v) + s.psi - 2 * list_inner_product(l.v, s.y) AS t
+                  FROM km_labels l JOIN km_sums s ON l.k = s.k) GROUP BY k, id""",
+        "km_scores": """SELECT k, avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS score
+            FROM km_points GROUP BY k""",
+        "km_pick": "SELECT k FROM km_scores ORDER BY score DESC, k LIMIT 1",
+        "km_order": """SELECT k, label, row_number() OVER (PARTITION BY k ORDER BY sum(total_receita_brl) DESC, label) - 1 AS cluster
+            FROM km_labels GROUP BY k, label""",
+        "km_centres": """SELECT k, label, n, list_transform(y, lambda x: x / n) AS c FROM km_sums""",
+        "km_gaps": "SELECT k, l.label, list_distance(l.v, c.c) ** 2 AS d2 FROM km_labels l JOIN km_centres c USING (k, label)",
+        "km_spread": "SELECT k, label, c, n, avg(sqrt(d2)) AS s, sum(d2) AS w FROM km_gaps JOIN km_centres USING (k, label) GROUP BY k, label, c, n",
+        "km_bouldin": """SELECT k, avg(worst) AS davies_bouldin_index FROM (
+            SELECT a.k, a.label, max((a.s + b.s) / list_distance(a.c, b.c)) AS worst FROM km_spread a JOIN km_spread b ON a.k = b.k AND a.label <> b.label
+            GROUP BY a.k, a.label) GROUP BY k""",
+        # the scaled features have mean 0, so the length of a centre is its distance from the overall mean
+        "km_harabasz": """SELECT k, sum(n * list_inner_product(c, c)) * (sum(n) - k) / (sum(w) * (k - 1)) AS calinski_harabasz_index, sum(w) AS inertia, sum(n) AS rows
+            FROM km_spread GROUP BY k""",
+    }
+    return out
+
+
+CTES |= _segmentation_ctes()
+
+
+def _principal_axes(steps: int = 3000) -> dict[str, str]:
+    """Two leading eigenvectors of the covariance of the scaled features: power iteration, then deflation."""
+    d = len(SEGMENT_FEATURES)
+    times = "list_transform(m, lambda row: list_inner_product(row, x))"
+    start = f"[CAST(x AS DOUBLE) FOR x IN range(1, {d + 1})]"
+    cells = ", ".join("[" + ", ".join(f"sum(v[{i + 1}] * v[{j + 1}]) / (count(*) - 1)" for j in range(d)) + "]" for i in range(d))
+
+    def power(matrix: str, own: str) -> str:
+        return f"""
+            SELECT 0 AS step, m, {start} AS x FROM {matrix}
+            UNION ALL
+            SELECT step + 1, m, list_transform(y, lambda a: a / sqrt(list_inner_product(y, y)))
+            FROM (SELECT step, m, {times} AS y FROM {own} WHERE step < {steps})"""
+
+    def axis(own: str) -> str:  # turned so that its largest loading is positive
+        big = "list_extract(x, list_position(list_transform(x, lambda a: abs(a)), list_max(list_transform(x, lambda a: abs(a)))))"
+        return f"SELECT m, list_transform(x, lambda a: a * sign({big})) AS x, list_inner_product({times}, x) AS worth FROM {own} WHERE step = {steps}"
+
+    return {
+        "pca_cov": f"SELECT [{cells}] AS m FROM km_z",
+        "pca_p1": power("pca_cov", "pca_p1"),
+        "pca_a1": axis("pca_p1"),
+        "pca_rest": f"SELECT list_transform(range(1, {d + 1}), lambda i: list_transform(range(1, {d + 1}), lambda j: m[i][j] - worth * x[i] * x[j])) AS m FROM pca_a1",
+        "pca_p2": power("pca_rest", "pca_p2"),
+        "pca_a2": axis("pca_p2"),
+    }
+
+
+CTES |= _principal_axes()
+
+
 def _with(select: str) -> str:
     """``select`` with the CTEs it needs, in definition order."""
     needed, frontier = set(), [select]
@@ -293,7 +390,8 @@ def _with(select: str) -> str:
                 needed.add(name)
                 frontier.append(CTES[name])
     parts = [f"{n} AS ({CTES[n]})" for n in CTES if n in needed]
-    return (f"WITH {', '.join(parts)} " if parts else "") + select
+    again = "RECURSIVE " if any(re.search(rf"\b{n}\b", CTES[n]) for n in needed) else ""
+    return (f"WITH {again}{', '.join(parts)} " if parts else "") + select
 
 
 def _replaced(names: str, casts: dict[str, str]) -> str:
@@ -593,6 +691,22 @@ STATEMENTS = {
          USING (cluster))""",
     "inertia": "SELECT round(sum(d2), 4) AS inertia FROM dist2",
     "single_cluster": "SELECT id_cliente, CAST(0 AS BIGINT) AS cluster FROM customer_summary",
+    "select_k": "SELECT k FROM km_pick",
+    "k_analysis": "SELECT k, round(score, 6) AS silhouette_score, round(cost, 4) AS inercia FROM km_scores JOIN km_best USING (k)",
+    "customer_segments": """SELECT f.* REPLACE (round(f.desvio_padrao_brl, 2) AS desvio_padrao_brl), o.cluster
+        FROM km_pick JOIN km_labels l USING (k) JOIN km_order o USING (k, label)
+        JOIN (SELECT * EXCLUDE (v) FROM km_z) z ON l.id = z.id JOIN features f ON f.id_cliente = z.id_cliente""",
+    "cluster_metrics": "SELECT metrica, round(valor, 4) AS valor FROM (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS metrica, CAST({value} AS DOUBLE) AS valor FROM {source} WHERE k = 3"
+        for name, value, source in [
+            ("k_escolhido", "k", "km_harabasz"), ("silhouette_score", "score", "km_scores"),
+            ("davies_bouldin_index", "davies_bouldin_index", "km_bouldin"),
+            ("calinski_harabasz_index", "calinski_harabasz_index", "km_harabasz"), ("inertia", "inertia", "km_harabasz"),
+            ("n_amostras", "rows", "km_harabasz"),
+        ]
+    ) + ")",
+    "pca_2d": """SELECT id_cliente, round(list_inner_product(v, a.x), 6) AS pc1, round(list_inner_product(v, b.x), 6) AS pc2
+        FROM km_z, pca_a1 a, pca_a2 b""",
 }
 
 ORACLES = {name: _with(statement) for name, statement in STATEMENTS.items()}

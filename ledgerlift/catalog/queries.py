@@ -725,7 +725,7 @@ def single_cluster(lake: Lake) -> DataFrame:
 
 @query("customer_segments")
 def customer_segments(lake: Lake) -> DataFrame:
-    return segmentation.run_segmentation(lake.stored("customer_summary")).segments
+    return rounded(segmentation.run_segmentation(lake.stored("customer_summary")).segments, 2, "desvio_padrao_brl")
 
 
 @query("select_k")
@@ -736,16 +736,18 @@ def select_k(lake: Lake) -> DataFrame:
 
 @query("k_analysis")
 def k_analysis(lake: Lake) -> DataFrame:
-    return segmentation.run_segmentation(lake.stored("customer_summary")).analysis_table(lake.spark)
+    table = segmentation.run_segmentation(lake.stored("customer_summary")).analysis_table(lake.spark)
+    return rounded(rounded(table, 6, "silhouette_score"), 4, "inercia")
 
 
 @query("cluster_metrics")
 def cluster_metrics(lake: Lake) -> DataFrame:
     """Metrics of a preset k, skipping the search."""
     preset = segmentation.Settings(n_clusters=3)
-    return segmentation.run_segmentation(lake.stored("customer_summary"), preset).metrics_table(lake.spark)
+    return rounded(segmentation.run_segmentation(lake.stored("customer_summary"), preset).metrics_table(lake.spark), 4, "valor")
 
 
 @query("pca_2d")
 def pca_2d(lake: Lake) -> DataFrame:
-    return segmentation.pca_projection(segmentation.prepare_features(lake.stored("customer_summary")))
+    projected = segmentation.pca_projection(segmentation.prepare_features(lake.stored("customer_summary")))
+    return rounded(projected, 6, "pc1", "pc2")

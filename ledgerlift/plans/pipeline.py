@@ -146,7 +146,6 @@ def run_segments(run: Run, settings: segmentation.Settings | None = None) -> Non
     readers.write_gold(result.metrics_table(run.spark), run.path("metricas_clusterizacao"))
     readers.write_gold(result.analysis_table(run.spark), run.path("analise_k"))
     readers.write_gold(result.profile(), run.path("metricas_por_cluster"))
-    result.release()
     labelled = run.write(gold.write_back_clusters(run.read("customer_dim"), segments), "customer_dim_labelled")
     run.write(labelled, "customer_dim")
 

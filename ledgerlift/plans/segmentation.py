@@ -5,11 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ledgerlift.functions.columns import zero_if_null
 from ledgerlift.operators.cluster_metrics import (
@@ -19,7 +17,9 @@ from ledgerlift.operators.cluster_metrics import (
     scale_features,
     silhouette_score,
 )
+from ledgerlift.operators.kmeans import Fit, best_fits, fit_all, nearest_centre
 from ledgerlift.plans.insights import REVENUE, cluster_profile
+from ledgerlift.sources.readers import scratch_path, write_parquet
 
 # Description and feature columns of the customer summary.
 DESCRIPTION = ["id_cliente", "nome_cliente", "pais_cliente", "currency"]
@@ -34,7 +34,7 @@ FEATURES = [
 ]
 ROWS_PER_PARTITION = 50_000
 # Converged when the squared shifts of all centres add up to this, on unit-variance features.
-TOTAL_SHIFT = 1e-4
+TOTAL_SHIFT = 1e-5
 MANDATORY = {"id_cliente", "total_receita_brl", "ticket_medio_brl", "quantidade_transacoes"}
 
 
@@ -47,7 +47,6 @@ class Settings:
     max_k: int = 6
     seed: int = 42
     restarts: int = 10
-    parallelism: int = 8
     silhouette: str = "squared"
 
 
@@ -56,11 +55,7 @@ class Segmentation:
     segments: DataFrame
     metrics: dict[str, float]
     analysis: list[tuple[int, float, float]] = field(default_factory=list)
-    cached: DataFrame | None = None
-
-    def release(self) -> None:
-        if self.cached is not None:
-            self.cached.unpersist()
+    fit: Fit | None = None
 
     def metrics_table(self, spark: SparkSession) -> DataFrame:
         """(metrica, valor), one row per metric."""
@@ -95,40 +90,6 @@ def scaled_points(features: DataFrame) -> DataFrame:
     return scaled.select(key.alias("id"), F.array(*FEATURES).alias("features"))
 
 
-@dataclass
-class _Fit:
-    k: int
-    cost: float
-    labelled: DataFrame
-
-
-def _fit_best(vectors: DataFrame, ks: list[int], settings: Settings) -> list[_Fit]:
-    """The smallest-cost fit of each k out of ``restarts`` seeds (ties: the earliest seed).
-
-    All fits are submitted together, ``parallelism`` at a time, as the model
-    tuning of Spark ML does.
-    """
-
-    def fit(job: tuple[int, int]):
-        k, restart = job
-        kmeans = KMeans(
-            k=k,
-            seed=settings.seed + restart,
-            maxIter=300,
-            tol=(TOTAL_SHIFT / k) ** 0.5,
-            featuresCol="vector",
-            predictionCol="cluster",
-        )
-        model = kmeans.fit(vectors)
-        return k, model.summary.trainingCost, restart, model
-
-    jobs = [(k, r) for k in ks for r in range(settings.restarts)]
-    with ThreadPool(min(settings.parallelism, len(jobs))) as pool:
-        fits = pool.map(fit, jobs)
-    best = [min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks]
-    return [_Fit(k, cost, model.transform(vectors).select("id", "features", "cluster")) for k, cost, _, model in best]
-
-
 def _candidates(rows: int, settings: Settings) -> list[int]:
     """k = 1 below three rows, the preset k, else min_k..max_k; never more than rows - 1."""
     if rows < 3:
@@ -139,29 +100,30 @@ def _candidates(rows: int, settings: Settings) -> list[int]:
     return list(range(min(settings.min_k, top), top + 1))
 
 
-def _choose(vectors: DataFrame, rows: int, settings: Settings):
-    """(fit of the best silhouette, its score, analysis rows); ties keep the smaller k."""
-    fits = _fit_best(vectors, _candidates(rows, settings), settings)
-    best, best_score, analysis = fits[0], None, []
-    for fit in fits:
-        if fit.labelled.select("cluster").distinct().count() < 2:
-            continue
-        score = silhouette_score(fit.labelled, settings.silhouette)
-        analysis.append((fit.k, score, float(fit.cost)))
-        if best_score is None or score > best_score:
-            best, best_score = fit, score
-    return best, best_score or 0.0, analysis
-
-
-def _vectors(features: DataFrame, rows: int) -> DataFrame:
-    """Scaled points laid out by id, so that repeated runs see the same partitions, and kept for the fits."""
-    return (
-        scaled_points(features)
-        .withColumn("vector", array_to_vector("features"))
-        .repartition(max(1, -(-rows // ROWS_PER_PARTITION)), "id")
-        .sortWithinPartitions("id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+def _labelled(points: DataFrame, fit: Fit) -> DataFrame:
+    return points.withColumn("cluster", nearest_centre(F.col("features"), fit.centres))
+
+
+def _choose(points: DataFrame, rows: int, settings: Settings) -> tuple[Fit, float, list[tuple[int, float, float]]]:
+    """(fit of the best silhouette, its score, analysis rows); ties keep the smaller k.
+
+    All values of k and all restarts share their scans; the silhouettes are taken side by side.
+    """
+    seeds = [settings.seed + r for r in range(settings.restarts)]
+    fits = list(best_fits(fit_all(points, _candidates(rows, settings), seeds, total_shift=TOTAL_SHIFT)).values())
+    split = [f for f in fits if (f.sizes > 0).sum() > 1]
+    if not split:
+        return fits[0], 0.0, []
+    with ThreadPool(len(split)) as pool:
+        scores = pool.map(lambda f: silhouette_score(_labelled(points, f), settings.silhouette), split, chunksize=1)
+    best = max(range(len(split)), key=lambda i: (scores[i], -split[i].k))
+    return split[best], scores[best], [(f.k, score, float(f.cost)) for f, score in zip(split, scores)]
+
+
+def _points(features: DataFrame, rows: int) -> DataFrame:
+    """Scaled points, written once: every pass of the fits reads them."""
+    laid_out = scaled_points(features).repartition(max(1, -(-rows // ROWS_PER_PARTITION)), "id")
+    return write_parquet(laid_out, scratch_path(features.sparkSession, "points"))
 
 
 def select_best_k(features: DataFrame, settings: Settings | None = None) -> int:
@@ -170,19 +132,13 @@ def select_best_k(features: DataFrame, settings: Settings | None = None) -> int:
     candidates = _candidates(rows, settings)
     if len(candidates) == 1:
         return candidates[0]
-    vectors = _vectors(features, rows)
-    try:
-        return _choose(vectors, rows, settings)[0].k
-    finally:
-        vectors.unpersist()
+    return _choose(_points(features, rows), rows, settings)[0].k
 
 
 def run_segmentation(summary: DataFrame, settings: Settings | None = None) -> Segmentation | None:
     """Features, chosen k, labels and metrics; None for an empty summary.
 
-    Labels count from 0 by descending revenue. ``summary`` should be a written
-    table: the fits read it several times. Call ``release`` once the segments are
-    written.
+    Labels count from 0 by descending revenue.
     """
     settings = settings or Settings()
     features = prepare_features(summary)
@@ -191,19 +147,13 @@ def run_segmentation(summary: DataFrame, settings: Settings | None = None) -> Se
         return None
     if _candidates(rows, settings) == [1]:
         return Segmentation(features.withColumn("cluster", F.lit(0)), _metrics(1, rows, 0.0, 0.0, 0.0, 0.0))
-    vectors = _vectors(features, rows)
-    fit, silhouette, analysis = _choose(vectors, rows, settings)
-    points = fit.labelled
-    metrics = _metrics(
-        fit.k,
-        rows,
-        silhouette,
-        davies_bouldin(points).first()[0],
-        calinski_harabasz(points).first()[0],
-        inertia(points).first()[0],
-    )
+    scaled = _points(features, rows)
+    fit, silhouette, analysis = _choose(scaled, rows, settings)
+    points = _labelled(scaled, fit)
+    with ThreadPool(3) as pool:
+        rates = pool.map(lambda rate: rate(points).first()[0], [davies_bouldin, calinski_harabasz, inertia], chunksize=1)
     preset = settings.n_clusters > 1
-    return Segmentation(_label_customers(features, points), metrics, [] if preset else analysis, vectors)
+    return Segmentation(_label_customers(features, points), _metrics(fit.k, rows, silhouette, *rates), [] if preset else analysis, fit)
 
 
 def _metrics(k: int, rows: int, silhouette: float, bouldin: float, harabasz: float, cost: float) -> dict[str, float]:

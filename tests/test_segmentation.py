@@ -41,7 +41,6 @@ def test_two_groups_are_found(spark):
     assert [k for k, _, _ in result.analysis] == [2, 3]
     assert result.analysis[1][2] <= result.analysis[0][2]
     assert {r.metrica for r in result.metrics_table(spark).collect()} == set(result.metrics)
-    result.release()
 
 
 def test_preset_k(spark):
