@@ -260,11 +260,11 @@ CTES = {
         SELECT row_number() OVER (ORDER BY substr(md5(account_code), 1, 3), account_code) AS account_id, account_code, account_type,
                category_id, category_code FROM accounts""",
     "transaction_fact": f"""
-        SELECT (b << 40) + row_number() OVER (PARTITION BY b ORDER BY e.tipo_conta, e.id_conta) AS transaction_id,
+        SELECT (b << 40) + (mes << 28) + row_number() OVER (PARTITION BY b, mes ORDER BY e.tipo_conta, e.id_conta) AS transaction_id,
                c.customer_id, a.account_id, m.currency_id, d.date_id, e.valor_original AS amount_original,
                e.valor_brl AS amount_brl, e.taxa_cambio AS exchange_rate,
                strftime(e.data_referencia, '%Y-%m-%d') || ' 00:00:00' AS transaction_date, '{RUN_TS}' AS created_at
-        FROM (SELECT *, CAST(CAST('0x' || substr(md5(tipo_conta || '|' || id_conta), 1, 4) AS INTEGER) AS BIGINT) AS b FROM enriched) e
+        FROM (SELECT *, CAST((year(data_referencia) - 1900) * 12 + month(data_referencia) - 1 AS BIGINT) AS mes, CAST(CAST('0x' || substr(md5(tipo_conta || '|' || id_conta), 1, 4) AS INTEGER) AS BIGINT) AS b FROM enriched) e
         JOIN account_dim1 a ON a.account_type = upper(e.tipo_conta) AND a.category_code = e.codigo_categoria
         JOIN date_dim1 d ON d.date = e.data_referencia
         JOIN currency_dim1 m ON m.currency_code = e.currency
@@ -450,14 +450,16 @@ def _orphans(child: str, column: str, parent: str, parent_column: str, label: st
 
 
 def _limits(table: str, label: str, limits: dict) -> list[str]:
-    return [
-        f"SELECT '{label}' AS tabela, '{c}' AS coluna, "
-        + (f"count(*) FILTER ({c} IS NULL)" if required else "count(*) FILTER (false)")
-        + " AS nulos_indevidos, "
-        + (f"count(*) FILTER (length({c}) > {length})" if length else "count(*) FILTER (false)")
-        + f" AS longos_demais FROM {table}"
-        for c, (required, length) in limits.items()
-    ]
+    """limits[column] = (required, longest text, number precision or None)."""
+    rows = []
+    for c, (required, length, precision) in limits.items():
+        wide = f"abs({c}) >= 10 ** {precision[0] - precision[1]} OR round({c}, {precision[1]}) <> {c}" if precision else "false"
+        rows.append(
+            f"SELECT '{label}' AS tabela, '{c}' AS coluna, count(*) FILTER ({f'{c} IS NULL' if required else 'false'}) AS nulos_indevidos, "
+            f"count(*) FILTER ({f'length({c}) > {length}' if length else 'false'}) AS longos_demais, "
+            f"count(*) FILTER ({wide}) AS fora_da_precisao FROM {table}"
+        )
+    return rows
 
 
 def _latest(as_of: str) -> str:
@@ -485,21 +487,49 @@ STAR_COUNTS = " UNION ALL ".join(
     }.items()
 )
 STAR_TYPES = {
-    "customer_dim": [
-        ("customer_id", "bigint"), ("customer_code", "string"), ("customer_name", "string"), ("country", "string"),
-        ("created_at", "timestamp"), ("ml_cluster", "int"),
-    ],
-    "category_dim": [("category_id", "bigint"), ("category_code", "string"), ("category_name", "string"), ("description", "string")],
-    "transaction_fact": [
-        ("transaction_id", "bigint"), ("customer_id", "bigint"), ("account_id", "bigint"), ("currency_id", "bigint"),
-        ("date_id", "bigint"), ("amount_original", "decimal(18,2)"), ("amount_brl", "decimal(18,2)"),
-        ("exchange_rate", "decimal(10,4)"), ("transaction_date", "timestamp"), ("created_at", "timestamp"),
-    ],
+    "customer_dim": "customer_id bigint, customer_code string, customer_name string, country string, created_at timestamp, ml_cluster int",
+    "category_dim": "category_id bigint, category_code string, category_name string, description string",
+    "currency_dim": "currency_id bigint, currency_code string, currency_name string, country string",
+    "account_dim": "account_id bigint, account_code string, account_type string, category_id bigint",
+    "date_dim": "date_id bigint, date date, year int, month int, day int, quarter int, week int, day_of_week string, is_weekend int",
+    "transaction_fact": (
+        "transaction_id bigint, customer_id bigint, account_id bigint, currency_id bigint, date_id bigint, amount_original decimal(18;2), "
+        "amount_brl decimal(18;2), exchange_rate decimal(10;4), transaction_date timestamp, created_at timestamp"
+    ),
+    "exchange_rate_fact": (
+        "rate_id bigint, currency_id bigint, date date, buy_rate decimal(10;4), sell_rate decimal(10;4), average_rate decimal(10;4), created_at timestamp"
+    ),
 }
 CALENDAR = """
     date, CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month, CAST(day(date) AS BIGINT) AS day,
     CAST(quarter(date) AS BIGINT) AS quarter, CAST(weekofyear(date) AS BIGINT) AS week, dayname(date) AS day_of_week,
     CAST(CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS BIGINT) AS is_weekend"""
+STAR_SOURCES = {
+    "currency_dim": f"(SELECT *, {CURRENCY_NAME} AS currency_name, {CURRENCY_COUNTRY} AS country FROM currency_dim1)",
+    "account_dim": "account_dim1",
+    "date_dim": f"(SELECT date_id, {CALENDAR} FROM date_dim1)",
+}
+ID, MONEY, RATE = (1, None, None), (1, None, (18, 2)), (1, None, (10, 4))
+STAR_LIMITS = {
+    "currency_dim": {"currency_id": ID, "currency_code": (1, 3, None), "currency_name": (1, 100, None), "country": (1, 100, None)},
+    "customer_dim": {
+        "customer_id": ID, "customer_code": (1, 50, None), "customer_name": (1, 150, None), "country": (1, 100, None), "created_at": ID,
+        "ml_cluster": (0, None, None),
+    },
+    "category_dim": {"category_id": ID, "category_code": (1, 50, None), "category_name": (1, 150, None), "description": (0, 500, None)},
+    "account_dim": {"account_id": ID, "account_code": (1, 80, None), "account_type": (1, 50, None), "category_id": ID},
+    "date_dim": {
+        "date_id": ID, "date": ID, "year": ID, "month": ID, "day": ID, "quarter": ID, "week": ID, "day_of_week": (1, 20, None), "is_weekend": ID,
+    },
+    "transaction_fact": {
+        "transaction_id": ID, "customer_id": (0, None, None), "account_id": ID, "currency_id": ID, "date_id": ID, "amount_original": MONEY,
+        "amount_brl": MONEY, "exchange_rate": RATE, "transaction_date": ID, "created_at": ID,
+    },
+    "exchange_rate_fact": {
+        "rate_id": ID, "currency_id": ID, "date": ID, "buy_rate": (0, None, (10, 4)), "sell_rate": (0, None, (10, 4)), "average_rate": RATE,
+        "created_at": ID,
+    },
+}
 AUDIT = {
     "meta_raw": "b_meta", "categoria_raw": "b_categoria", "conta_pagar_raw": "b_conta_pagar", "conta_receber_raw": "b_conta_receber",
     "cliente_raw": "b_cliente", "bcb_exchange_rates_raw": "b_exchange_rates", "meta_transformed": "s_meta",
@@ -564,11 +594,16 @@ STATEMENTS = {
     "rejected_transactions": """SELECT id_conta, tipo_conta, codigo_categoria, data_referencia, motivo FROM (
         SELECT *, CASE WHEN codigo_categoria NOT IN (SELECT codigo_categoria FROM categorias) THEN 'unknown account'
                        WHEN data_referencia IS NULL THEN 'no date' END AS motivo FROM movimentos) WHERE motivo IS NOT NULL""",
-    "transactions_enriched": f"""SELECT * REPLACE (CAST(taxa_cambio AS DOUBLE) AS taxa_cambio,
-        CAST(valor_original AS DOUBLE) AS valor_original, CAST(valor_brl AS DOUBLE) AS valor_brl) FROM enriched""",
+    "transactions_enriched": """SELECT e.* REPLACE (CAST(e.taxa_cambio AS DOUBLE) AS taxa_cambio,
+        CAST(e.valor_original AS DOUBLE) AS valor_original, CAST(e.valor_brl AS DOUBLE) AS valor_brl),
+        c.customer_id AS customer_dim_id, a.account_id, m.currency_id, d.date_id
+        FROM enriched e
+        JOIN account_dim1 a ON a.account_type = upper(e.tipo_conta) AND a.category_code = e.codigo_categoria
+        JOIN date_dim1 d ON d.date = e.data_referencia
+        JOIN currency_dim1 m ON m.currency_code = e.currency
+        LEFT JOIN customer_dim c ON c.customer_code = e.id_cliente""",
     "date_range": "SELECT s AS start, e AS \"end\" FROM span",
-    "date_dim": f"""SELECT row_number() OVER (ORDER BY late, date) AS date_id, {CALENDAR} FROM (
-        SELECT date, NOT (date BETWEEN (SELECT s FROM span_r) AND (SELECT e FROM span_r)) AS late FROM days)""",
+    "date_dim": f"SELECT date_diff('day', (SELECT s FROM span_r), date) + 1 AS date_id, {CALENDAR} FROM days",
     "currency_dim": f"""SELECT row_number() OVER (ORDER BY late, currency_code) AS currency_id, currency_code,
         {CURRENCY_NAME} AS currency_name, {CURRENCY_COUNTRY} AS country
         FROM (SELECT currency_code, currency_code NOT IN (SELECT currency_code FROM codes1) AS late FROM codes2)""",
@@ -602,17 +637,7 @@ STATEMENTS = {
         ]
     ),
     "check_not_null": " UNION ALL ".join(
-        _limits(f"(SELECT *, {CURRENCY_NAME} AS currency_name, {CURRENCY_COUNTRY} AS country FROM currency_dim1)", "currency_dim",
-                {"currency_code": (1, 3), "currency_name": (1, 100), "country": (1, 100)})
-        + _limits("customer_dim", "customer_dim", {"customer_code": (1, 50), "customer_name": (1, 150), "country": (1, 100), "ml_cluster": (0, None), "created_at": (1, None)})
-        + _limits("category_dim", "category_dim", {"category_code": (1, 50), "category_name": (1, 150), "description": (0, 500)})
-        + _limits("account_dim1", "account_dim", {"account_code": (1, 80), "account_type": (1, 50), "category_id": (1, None)})
-        + _limits("transaction_fact", "transaction_fact", {
-            "customer_id": (0, None), "account_id": (1, None), "currency_id": (1, None), "date_id": (1, None),
-            "amount_original": (1, None), "amount_brl": (1, None), "exchange_rate": (1, None)})
-        + _limits("(SELECT *, year(date) AS year, month(date) AS month, day(date) AS day FROM date_dim1)", "date_dim", {"date": (1, None), "year": (1, None), "month": (1, None), "day": (1, None)})
-        + _limits("exchange_rate_fact", "exchange_rate_fact", {
-            "currency_id": (1, None), "date": (1, None), "buy_rate": (0, None), "sell_rate": (0, None), "average_rate": (1, None)})
+        row for table, limits in STAR_LIMITS.items() for row in _limits(STAR_SOURCES.get(table, table), table, limits)
     ),
     "customer_summary": """SELECT * REPLACE (CAST(total_receita_original AS DOUBLE) AS total_receita_original,
         CAST(total_receita_brl AS DOUBLE) AS total_receita_brl, round(desvio_padrao_brl, 2) AS desvio_padrao_brl) FROM customer_summary""",
@@ -625,9 +650,10 @@ STATEMENTS = {
         for n, t in {"customer_summary": "customer_summary", "cliente": "s_cliente", "categoria": "s_categoria", "exchange_rates": "s_exchange_rates"}.items()
     ),
     "table_columns": " UNION ALL ".join(
-        f"SELECT '{t}' AS tabela, CAST({i} AS BIGINT) AS posicao, '{c}' AS coluna, '{kind}' AS tipo, count({c}) AS preenchidas FROM {t}"
+        f"SELECT '{t}' AS tabela, CAST({i} AS BIGINT) AS posicao, '{c}' AS coluna, '{kind.replace(';', ',')}' AS tipo, "
+        f"count({c}) AS preenchidas, count(DISTINCT {c}) AS distintas FROM {STAR_SOURCES.get(t, t)}"
         for t, columns in STAR_TYPES.items()
-        for i, (c, kind) in enumerate(columns, 1)
+        for i, (c, kind) in enumerate((column.strip().split(" ") for column in columns.split(",")), 1)
     ),
     "revenue_by_account_type": f"""SELECT tipo_conta, CAST(receita AS DOUBLE) AS receita_brl, n AS quantidade_transacoes, {PCT.format('receita')} AS participacao
         FROM (SELECT tipo_conta, sum(valor_brl) AS receita, count(*) AS n FROM enriched GROUP BY 1)""",

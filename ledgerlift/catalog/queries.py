@@ -436,7 +436,8 @@ def rejected_transactions(lake: Lake) -> DataFrame:
 
 @query("transactions_enriched")
 def transactions_enriched(lake: Lake) -> DataFrame:
-    return lake.enriched()
+    """All columns, the dimension keys among them."""
+    return lake.enriched(lake.dims())
 
 
 # ---- star schema ---------------------------------------------------------------
@@ -533,7 +534,7 @@ def check_foreign_keys(lake: Lake) -> DataFrame:
 
 @query("check_not_null")
 def check_not_null(lake: Lake) -> DataFrame:
-    """Required columns and text lengths of all seven star tables."""
+    """Required columns, text lengths and number precisions of every column of the seven star tables."""
     star = _star(lake)
     return quality.union_all([quality.limit_violations(star[t], t, limit) for t, limit in gold.LIMITS.items()])
 
@@ -577,9 +578,8 @@ def table_row_counts(lake: Lake) -> DataFrame:
 
 @query("table_columns")
 def table_columns(lake: Lake) -> DataFrame:
-    return insights.table_columns(
-        {"customer_dim": lake.stored("customer_dim"), "category_dim": lake.stored("category_dim"), "transaction_fact": lake.stored("transaction_fact")}
-    )
+    """Every column of the seven star tables."""
+    return insights.table_columns(_star(lake))
 
 
 @query("revenue_by_account_type")

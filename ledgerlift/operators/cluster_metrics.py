@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 BLOCK_ROWS = 2_000
 
@@ -169,12 +169,68 @@ def silhouette_euclidean(points: DataFrame, rows: int | None = None) -> DataFram
     return silhouette_points(points, rows).agg(F.avg("silhouette").alias("silhouette_score"))
 
 
+def _sample_sums(sample: dict[int, np.ndarray]):
+    """Per task: summed distances from every sampled point to each cluster's points of the task."""
+    spots = np.concatenate(list(sample.values()))
+
+    def run(batches):
+        totals: dict[int, np.ndarray] = {}
+        for frame in batches:
+            for cluster, rows in frame.groupby("cluster"):
+                x = np.stack(rows["features"].to_numpy())
+                for low in range(0, len(x), 1_024):
+                    part = x[low : low + 1_024]
+                    gaps = np.zeros((len(spots), len(part)))
+                    for d in range(spots.shape[1]):
+                        gaps += np.subtract.outer(spots[:, d], part[:, d]) ** 2
+                    totals[cluster] = totals.get(cluster, 0.0) + np.sqrt(gaps).sum(axis=1)
+        for cluster, sums in totals.items():
+            yield pd.DataFrame({"spot": np.arange(len(spots)), "cluster": int(cluster), "total": sums})
+
+    return run
+
+
+def silhouette_estimate(points: DataFrame, per_cluster: int = 1_000, z: float = 2.576) -> tuple[float, float]:
+    """(mean Euclidean silhouette, half width of its confidence interval), linear in the rows.
+
+    Up to ``per_cluster`` points of every cluster, the least by the hash of their id, get their
+    exact silhouette against all points. The clusters are strata: their means are weighted by
+    their sizes, and the half width is ``z`` standard errors (99% by default) with the finite
+    population correction, so it is 0 where every point is in the sample. Clusters of the sample
+    reach the driver: at most ``per_cluster`` rows each.
+    """
+    base = points.select(F.xxhash64("id").alias("_h"), "id", F.col("cluster").cast("int").alias("cluster"), "features")
+    sizes = {r["cluster"]: r["count"] for r in base.groupBy("cluster").count().collect()}
+    place = F.row_number().over(W.partitionBy("cluster").orderBy("_h", "id"))
+    taken = base.withColumn("_place", place).filter(F.col("_place") <= per_cluster).select("cluster", "features").collect()
+    sample = {c: np.array([r["features"] for r in taken if r["cluster"] == c]) for c in sorted(sizes)}
+    sums = base.select("cluster", "features").mapInPandas(_sample_sums(sample), "spot bigint, cluster int, total double")
+    totals = {(r["spot"], r["cluster"]): r["total"] for r in sums.groupBy("spot", "cluster").agg(F.sum("total").alias("total")).collect()}
+    rows, mean, variance, spot = sum(sizes.values()), 0.0, 0.0, 0
+    for own, spots in sample.items():
+        values = []
+        for _ in spots:
+            others = [totals[spot, c] / sizes[c] for c in sizes if c != own]
+            a = totals[spot, own] / (sizes[own] - 1) if sizes[own] > 1 else 0.0
+            b = min(others, default=0.0)
+            values.append((b - a) / max(a, b) if sizes[own] > 1 and max(a, b) > 0 and others else 0.0)
+            spot += 1
+        share, n = sizes[own] / rows, len(values)
+        mean += share * float(np.mean(values))
+        if n > 1:
+            variance += share**2 * float(np.var(values, ddof=1)) / n * (1 - n / sizes[own])
+    return mean, z * variance**0.5
+
+
 def silhouette_score(points: DataFrame, metric: str = "squared") -> float:
     """Mean silhouette of all points, by the metric the caller names, at every size.
 
     ``squared`` is Spark's squared-Euclidean form, linear in the rows;
-    ``euclidean`` is the usual definition, quadratic in the rows.
+    ``euclidean`` is the usual definition, quadratic in the rows, and ``estimated``
+    its estimate from a sample against all rows (see ``silhouette_estimate``).
     """
+    if metric == "estimated":
+        return silhouette_estimate(points)[0]
     if metric == "euclidean":
         return float(silhouette_euclidean(points).first()[0])
     if metric != "squared":

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 PREFIX_DIGITS = 3
 FACT_DIGITS = 4
 FACT_SHIFT = 1 << 40
+GROUP_SHIFT = 1 << 28
 
 
 def dense_numbers(df: DataFrame, code: str, out: str, start: Column | None = None) -> DataFrame:
@@ -43,17 +44,20 @@ def small_numbers(df: DataFrame, order: list[str], out: str, start: Column | Non
     return df.withColumn(out, (base + F.row_number().over(W.orderBy(*order))).cast("bigint"))
 
 
-def fact_numbers(df: DataFrame, parts: list[str], out: str) -> DataFrame:
+def fact_numbers(df: DataFrame, parts: list[str], out: str, group: Column | None = None) -> DataFrame:
     """Unique, repeatable fact keys from one shuffle and one pass.
 
-    High bits: md5 prefix of the natural key; low 40 bits: position in that prefix.
+    High bits: md5 prefix of the natural key; low 40 bits: position in that prefix. With
+    ``group``, a number from 0 to 4,095, the upper 12 of the low bits are the group and the
+    position counts within it, so one group can be numbered again without the others.
     """
     text = F.md5(F.concat_ws("|", *parts))
     bucket = F.conv(F.substring(text, 1, FACT_DIGITS), 16, 10).cast("bigint")
     rest = [c for c in df.columns if c not in parts]  # equal parts are told apart by the other columns
-    spec = W.partitionBy("_bucket").orderBy(*parts, *rest)
+    spec = W.partitionBy("_bucket", "_group").orderBy(*parts, *rest)
+    number = F.col("_bucket") * FACT_SHIFT + F.col("_group") * GROUP_SHIFT + F.row_number().over(spec)
     return (
-        df.withColumn("_bucket", bucket)
-        .withColumn(out, F.col("_bucket") * FACT_SHIFT + F.row_number().over(spec))
+        df.withColumns({"_bucket": bucket, "_group": (F.lit(0) if group is None else group).cast("bigint")})
+        .withColumn(out, number)
         .select(out, *df.columns)
     )

@@ -78,20 +78,39 @@ def orphan_rows(child: DataFrame, parent: DataFrame, child_name: str, column: st
     )
 
 
-def limit_violations(df: DataFrame, table: str, limits: dict[str, tuple[bool, int | None]]) -> DataFrame:
-    """NOT NULL and length checks: ``limits[column] = (nullable, max_length)``; one aggregate per table."""
-    cells = []
-    for name, (nullable, length) in limits.items():
-        nulls = F.count(F.when(F.col(name).isNull(), 1)) if not nullable else F.lit(0).cast("bigint")
-        long = (
-            F.count(F.when(F.length(F.col(name).cast("string")) > length, 1))
-            if length is not None
-            else F.lit(0).cast("bigint")
-        )
-        cells.append(
-            F.struct(F.lit(name).alias("coluna"), nulls.alias("nulos_indevidos"), long.alias("longos_demais"))
-        )
-    packed = df.agg(F.array(*cells).alias("_cells"))
-    return packed.select(F.inline("_cells")).select(
-        F.lit(table).alias("tabela"), "coluna", "nulos_indevidos", "longos_demais"
-    )
+# A limit of a column: (nullable, longest text, (precision, scale)); None where there is none.
+Limit = tuple[bool, int | None, tuple[int, int] | None]
+BROKEN = ["nulos_indevidos", "longos_demais", "fora_da_precisao"]
+
+
+def limit_counts(limits: dict[str, Limit]) -> list[Column]:
+    """Cells that break each limit, three counts per column; for an aggregate or for ``DataFrame.observe``."""
+    never = F.lit(None).cast("int")
+    counts = []
+    for name, (nullable, length, precision) in limits.items():
+        cell = F.col(name)
+        wide = never
+        if precision is not None:
+            whole = F.lit(10 ** (precision[0] - precision[1])).cast("decimal(38,0)")
+            wide = F.when((F.abs(cell) >= whole) | (F.round(cell, precision[1]) != cell), 1)
+        broken = [
+            F.when(cell.isNull(), 1) if not nullable else never,
+            F.when(F.length(cell.cast("string")) > length, 1) if length is not None else never,
+            wide,
+        ]
+        counts += [F.count(b).alias(f"{name}:{kind}") for b, kind in zip(broken, BROKEN)]
+    return counts
+
+
+def broken_limits(counts: dict[str, int]) -> list[str]:
+    """Columns with a count above zero, from ``limit_counts`` as collected by an observation."""
+    return sorted({name.split(":")[0] for name, n in counts.items() if n})
+
+
+def limit_violations(df: DataFrame, table: str, limits: dict[str, Limit]) -> DataFrame:
+    """(table, column, forbidden nulls, texts too long, numbers out of precision); one aggregate per table."""
+    cells = [
+        F.struct(F.lit(name).alias("coluna"), *[F.col(f"`{name}:{kind}`").alias(kind) for kind in BROKEN]) for name in limits
+    ]
+    packed = df.agg(*limit_counts(limits)).select(F.inline(F.array(*cells)))
+    return packed.select(F.lit(table).alias("tabela"), "coluna", *BROKEN)

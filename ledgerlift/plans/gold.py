@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -58,22 +58,43 @@ FOREIGN_KEYS = [
     ("transaction_fact", "date_id", "date_dim"),
     ("exchange_rate_fact", "currency_id", "currency_dim"),
 ]
+REQUIRED, OPTIONAL = (False, None, None), (True, None, None)
+MONEY_LIMIT, RATE_LIMIT = (False, None, (18, 2)), (False, None, (10, 4))
+
+
+def _text(longest: int, nullable: bool = False):
+    return (nullable, longest, None)
+
+
 LIMITS = {
-    "currency_dim": {"currency_code": (False, 3), "currency_name": (False, 100), "country": (False, 100)},
+    "currency_dim": {"currency_id": REQUIRED, "currency_code": _text(3), "currency_name": _text(100), "country": _text(100)},
     "customer_dim": {
-        "customer_code": (False, 50), "customer_name": (False, 150), "country": (False, 100), "ml_cluster": (True, None), "created_at": (False, None),
+        "customer_id": REQUIRED, "customer_code": _text(50), "customer_name": _text(150), "country": _text(100), "created_at": REQUIRED,
+        "ml_cluster": OPTIONAL,
+    },
+    "category_dim": {"category_id": REQUIRED, "category_code": _text(50), "category_name": _text(150), "description": _text(500, True)},
+    "account_dim": {"account_id": REQUIRED, "account_code": _text(80), "account_type": _text(50), "category_id": REQUIRED},
+    "date_dim": {
+        "date_id": REQUIRED, "date": REQUIRED, "year": REQUIRED, "month": REQUIRED, "day": REQUIRED, "quarter": REQUIRED, "week": REQUIRED,
+        "day_of_week": _text(20), "is_weekend": REQUIRED,
     },
-    "category_dim": {"category_code": (False, 50), "category_name": (False, 150), "description": (True, 500)},
-    "account_dim": {"account_code": (False, 80), "account_type": (False, 50), "category_id": (False, None)},
-    "date_dim": {"date": (False, None), "year": (False, None), "month": (False, None), "day": (False, None)},
     "transaction_fact": {
-        "customer_id": (True, None), "account_id": (False, None), "currency_id": (False, None), "date_id": (False, None),
-        "amount_original": (False, None), "amount_brl": (False, None), "exchange_rate": (False, None),
+        "transaction_id": REQUIRED, "customer_id": OPTIONAL, "account_id": REQUIRED, "currency_id": REQUIRED, "date_id": REQUIRED,
+        "amount_original": MONEY_LIMIT, "amount_brl": MONEY_LIMIT, "exchange_rate": RATE_LIMIT, "transaction_date": REQUIRED, "created_at": REQUIRED,
     },
     "exchange_rate_fact": {
-        "currency_id": (False, None), "date": (False, None), "buy_rate": (True, None), "sell_rate": (True, None), "average_rate": (False, None),
+        "rate_id": REQUIRED, "currency_id": REQUIRED, "date": REQUIRED, "buy_rate": (True, None, (10, 4)), "sell_rate": (True, None, (10, 4)),
+        "average_rate": RATE_LIMIT, "created_at": REQUIRED,
     },
 }
+# The group keys of the summaries, which also order their exports.
+SUMMARY_KEYS = {
+    "customer_summary": ["id_cliente", "nome_cliente", "pais_cliente", "currency"],
+    "category_summary": ["tipo_conta", "codigo_categoria", "nome_categoria"],
+    "monthly_summary": ["ano_mes", "tipo_conta"],
+}
+# Days outside are no booking days; their rows are reported by ``rejected``.
+DECLARED_SPAN = (date(1900, 1, 1), date(2199, 12, 31))
 
 
 # ---- lookups -------------------------------------------------------------------
@@ -189,12 +210,13 @@ def account_dim(categories: DataFrame, existing: DataFrame | None = None) -> Dat
     return numbered if existing is None else existing.select(*numbered.columns).unionByName(numbered)
 
 
-def date_range(payables: DataFrame, receivables: DataFrame) -> DataFrame:
-    """One row (start, end) over the due and payment dates of both tables; today when there is none."""
+def date_range(payables: DataFrame, receivables: DataFrame, declared: tuple[date, date] = DECLARED_SPAN) -> DataFrame:
+    """One row (start, end) over the due and payment dates of both tables inside ``declared``; today when there is none."""
 
     def span(df: DataFrame) -> DataFrame:
-        low = F.least(F.min("data_vencimento"), F.min("data_pagamento"))
-        high = F.greatest(F.max("data_vencimento"), F.max("data_pagamento"))
+        days = {c: F.when(F.col(c).between(*map(F.lit, declared)), F.col(c)) for c in ("data_vencimento", "data_pagamento")}
+        low = F.least(*[F.min(d) for d in days.values()])
+        high = F.greatest(*[F.max(d) for d in days.values()])
         return df.agg(low.alias("start"), high.alias("end"))
 
     return union_all([span(payables), span(receivables)]).agg(
@@ -204,13 +226,19 @@ def date_range(payables: DataFrame, receivables: DataFrame) -> DataFrame:
 
 
 def date_dim(span: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One row per calendar day of ``span`` that is not there yet, numbered in day order."""
-    days = span.select(F.explode(F.sequence("start", "end")).alias("date"))
+    """One row per calendar day of ``span`` that is not there yet.
+
+    A key is the day's distance from the day before the first one of the first load, so it
+    needs no numbering and no window; days before that day get keys of 0 and below.
+    """
+    days = span.select(F.explode(F.sequence("start", "end")).alias("date"), F.col("start").alias("_first"))
     if existing is not None:
         days = days.join(F.broadcast(existing.select("date")), "date", "left_anti")
+        anchor = existing.agg(F.min(F.date_sub("date", (F.col("date_id") - 1).cast("int")))).scalar()
+        days = days.withColumn("_first", F.coalesce(anchor, "_first"))
     names = ", ".join(f"'{n}'" for n in DAY_NAMES)
-    new = small_numbers(days, ["date"], "date_id", next_key(existing, "date_id")).selectExpr(
-        "date_id",
+    new = days.selectExpr(
+        "cast(datediff(date, _first) + 1 AS bigint) AS date_id",
         "date",
         "year(date) AS year",
         "month(date) AS month",
@@ -374,8 +402,9 @@ def rejected(
 
 
 def transaction_fact(enriched: DataFrame, run_ts: datetime) -> DataFrame:
-    """Full refresh from enriched rows that carry the dimension keys."""
-    numbered = fact_numbers(enriched, ["tipo_conta", "id_conta"], "transaction_id")
+    """Facts of enriched rows that carry the dimension keys, all months or some; keys are numbered per month."""
+    since = (F.year("data_referencia") - DECLARED_SPAN[0].year) * 12 + F.month("data_referencia") - 1
+    numbered = fact_numbers(enriched.select(*ENRICHED, *KEYS), ["tipo_conta", "id_conta"], "transaction_id", since)
     return numbered.select(
         "transaction_id",
         F.col("customer_dim_id").alias("customer_id"),

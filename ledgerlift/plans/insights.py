@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ledgerlift.operators.fingerprint import NAMES, fingerprint
 from ledgerlift.operators.ordering import ntile_of, quantiles, rank_descending
 from ledgerlift.operators.quality import union_all
 
@@ -23,21 +24,27 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def table_columns(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, position, column, type, filled rows); one aggregate per table."""
-    profiles = []
+    """(table, position, column, type, filled rows, distinct values) of all tables, from one aggregate.
+
+    Cells become (column number, 128-bit value hash). Equal ones are counted together
+    before the shuffle, so a value that fills a third of a column is one row per task.
+    """
+    columns, cells = [], []
     for name, table in tables.items():
-        cells = [
-            F.struct(
-                F.lit(i + 1).cast("bigint").alias("posicao"),
-                F.lit(f.name).alias("coluna"),
-                F.lit(f.dataType.simpleString()).alias("tipo"),
-                F.count(f"`{f.name}`").alias("preenchidas"),
-            )
-            for i, f in enumerate(table.schema)
-        ]
-        packed = table.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
-        profiles.append(packed.select(F.lit(name).alias("tabela"), "*"))
-    return union_all(profiles)
+        first = len(columns)
+        columns += [(first + i, name, i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(table.schema)]
+        melted = []
+        for i, f in enumerate(table.schema):
+            number = F.when(F.col(f"`{f.name}`").isNotNull(), first + i)
+            melted.append(F.struct(number.alias("numero"), *fingerprint(table, [f.name])))
+        cells.append(table.select(F.inline(F.array(*melted))).filter("numero IS NOT NULL"))
+    values = union_all(cells).groupBy("numero", *NAMES).agg(F.count("*").alias("n"))
+    counted = values.groupBy("numero").agg(F.sum("n").alias("preenchidas"), F.count("*").alias("distintas"))
+    spark = next(iter(tables.values())).sparkSession
+    known = spark.createDataFrame(columns, "numero int, tabela string, posicao bigint, coluna string, tipo string")
+    return known.join(F.broadcast(counted), "numero", "left").select(
+        "tabela", "posicao", "coluna", "tipo", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("preenchidas", "distintas")]
+    )
 
 
 def _revenue_by(enriched: DataFrame, key: str) -> DataFrame:

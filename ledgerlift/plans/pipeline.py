@@ -7,11 +7,12 @@ has written.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlift.operators import quality
 from ledgerlift.plans import gold, segmentation, silver
@@ -24,6 +25,8 @@ LANDING = {
     "conta_receber": readers.read_tabular,
     "cliente": readers.read_json,
 }
+# Tables kept by month, with the day that decides.
+BY_MONTH = {"transactions_enriched": "data_referencia", "transaction_fact": "transaction_date"}
 DIMENSIONS = ["date_dim", "currency_dim", "customer_dim", "category_dim", "account_dim"]
 
 
@@ -35,6 +38,7 @@ class Run:
     root: str
     run_ts: datetime
     previous: str | None = None
+    broken: dict[str, list[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.previous is not None and self.previous.rstrip("/") == self.root.rstrip("/"):
@@ -53,7 +57,14 @@ class Run:
         return self.spark.read.parquet(f"{self.path(table)}.parquet")
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
-        return readers.write_parquet(df, f"{self.path(table)}.parquet")
+        """Write a table, the star's facts by month; the limits of a star table are counted by the job that writes it."""
+        path, limits = f"{self.path(table)}.parquet", gold.LIMITS.get(table)
+        counts = Observation(f"{table}-{uuid.uuid4().hex}")
+        df = df.observe(counts, *quality.limit_counts(limits)) if limits else df
+        written = readers.write_months(df, path, BY_MONTH[table]) if table in BY_MONTH else readers.write_parquet(df, path)
+        if limits:
+            self.broken[table] = quality.broken_limits(counts.get)
+        return written
 
     def before(self, table: str) -> DataFrame | None:
         """The table of the previous run; None on a first run."""
@@ -117,22 +128,47 @@ def run_gold(run: Run) -> None:
     gold.require_transactions(enriched)
     facts = run.write(gold.transaction_fact(enriched, run.run_ts), "transaction_fact")
     quoted = run.write(gold.exchange_rate_fact(rates, currencies, run.run_ts), "exchange_rate_fact")
-    require_constraints(dims | {"category": kinds}, facts, quoted)
-    for name in ("customer_summary", "category_summary", "monthly_summary"):
-        readers.write_gold(getattr(gold, name)(enriched), run.path(name))
+    require_constraints(dims | {"category": kinds}, facts, quoted, run.broken)
+    for name, keys in gold.SUMMARY_KEYS.items():
+        readers.write_gold(getattr(gold, name)(enriched), run.path(name), keys)
 
 
-def require_constraints(dims: dict[str, DataFrame], facts: DataFrame, quoted: DataFrame) -> None:
-    """Fail on a repeated key, an orphan or a null where the star schema forbids one; before anything is published."""
+def reload_months(run: Run, months: list[str]) -> None:
+    """Enriched transactions and facts of some months (yyyy-MM) again, from the tables of this run; other months stay."""
+    payables, receivables = run.read("conta_pagar_transformed"), run.read("conta_receber_transformed")
+    day = F.date_format(F.expr(gold.REFERENCE_DAY), "yyyy-MM")
+    dims = {n: run.read(f"{n}_dim") for n in ("date", "currency", "customer", "account")}
+    enriched = gold.enrich(
+        payables.filter(day.isin(months)), receivables.filter(day.isin(months)), run.read("cliente_transformed"),
+        run.read("categoria_transformed"), run.read("exchange_rates_transformed"), dims=dims,
+    )
+    written = run.write(enriched, "transactions_enriched").filter(F.col(readers.MONTH).isin(months))
+    run.write(gold.transaction_fact(written, run.run_ts), "transaction_fact")
+    if run.broken["transaction_fact"]:
+        raise ValueError(f"constraints violated: {run.broken['transaction_fact']}")
+
+
+def require_constraints(
+    dims: dict[str, DataFrame], facts: DataFrame, quoted: DataFrame, broken_limits: dict[str, list[str]] | None = None
+) -> None:
+    """Fail on a repeated key, an orphan or a broken limit of the star schema; before anything is published.
+
+    ``broken_limits`` are the columns that the writing jobs found; without them each table is read for it.
+    """
     tables = {f"{n}_dim": t for n, t in dims.items()} | {"transaction_fact": facts, "exchange_rate_fact": quoted}
     unique = quality.union_all([quality.duplicate_keys(tables[t], t, keys) for t, keys in gold.UNIQUE_KEYS.items()])
     orphans = quality.union_all(
         [quality.orphan_rows(tables[t], tables[p], t, column, column) for t, column, p in gold.FOREIGN_KEYS]
     )
-    limits = quality.union_all([quality.limit_violations(tables[t], t, limit) for t, limit in gold.LIMITS.items()])
+    if broken_limits is None:
+        limits = quality.union_all([quality.limit_violations(tables[t], t, limit) for t, limit in gold.LIMITS.items()])
+        over = " + ".join(quality.BROKEN)
+        found = [f"{r.tabela}: {r.coluna}" for r in limits.filter(f"{over} > 0").collect()]
+    else:
+        found = [f"{t}: {c}" for t, columns in broken_limits.items() for c in columns]
     broken = [f"{r.tabela}: repeated {r.chave}" for r in unique.filter("chaves_repetidas > 0").collect()]
     broken += [f"{r.tabela}: orphans in {r.coluna}" for r in orphans.filter("orfaos > 0").collect()]
-    broken += [f"{r.tabela}: {r.coluna}" for r in limits.filter("nulos_indevidos + longos_demais > 0").collect()]
+    broken += found
     if broken:
         raise ValueError(f"constraints violated: {', '.join(sorted(broken))}")
 
@@ -173,8 +209,12 @@ def run_all(
     payloads: DataFrame,
     as_of: date | None = None,
     settings: segmentation.Settings | None = None,
+    currencies: list[str] | None = None,
+    lookback_days: int = quotes.LOOKBACK_DAYS,
+    json_lines: bool = False,
 ) -> None:
-    run_bronze(run, files, payloads, as_of)
+    """Everything; the arguments of ``run_bronze`` and ``run_segments`` are passed on."""
+    run_bronze(run, files, payloads, as_of, currencies, lookback_days, json_lines)
     run_silver(run)
     run_gold(run)
     run_segments(run, settings)

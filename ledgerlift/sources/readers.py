@@ -65,9 +65,14 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None, multi_l
 
 
 def read_tabular(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Tabular export of a spreadsheet sheet: Parquet when the path says so, else CSV."""
+    """Tabular export of a spreadsheet sheet: Parquet when the path says so, else CSV.
+
+    Both forms are read by the same rules: names normalised, declared columns cast and
+    required, undeclared ones kept.
+    """
     if path.rstrip("/").endswith(".parquet"):
-        return spark.read.parquet(path)
+        table = spark.read.parquet(path)
+        return conform(table, schema) if schema else table
     return read_csv(spark, path, schema)
 
 
@@ -89,6 +94,23 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MONTH = "ano_mes"
+MONTH_FILES = 16
+
+
+def write_months(df: DataFrame, path: str, day: str) -> DataFrame:
+    """Write ``df`` in folders by the month of ``day``; only the months that ``df`` holds are replaced.
+
+    So a month can be reloaded alone, and a filter on ``ano_mes`` reads its folder alone. Rows
+    gather by month in up to ``MONTH_FILES`` tasks each, so a month is a few files, not one per task.
+    """
+    by_month = df.withColumn(MONTH, F.date_format(day, "yyyy-MM"))
+    salt = F.pmod(F.xxhash64(*[f"`{c}`" for c in df.columns]), F.lit(MONTH_FILES))
+    spread = by_month.withColumn("_salt", salt).repartition(MONTH, "_salt").drop("_salt")
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    return df.sparkSession.read.schema(by_month.schema).parquet(path)
+
+
 def write_gold(df: DataFrame, path: str, order: list[str] | None = None) -> DataFrame:
     """Parquet and CSV copies, the CSV written from the Parquet table, sorted by ``order`` (default: the first column)."""
     table = write_parquet(df, f"{path}.parquet")

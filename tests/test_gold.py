@@ -178,6 +178,27 @@ def test_star_and_facts(spark):
     assert gold.exchange_rate_fact(quotes, dims["currency"], T1).count() == 4
 
 
+def test_calendar_keys_and_the_declared_span(spark):
+    def booked(*days):
+        return spark.createDataFrame([(d, None) for d in days], "data_vencimento date, data_pagamento date")
+
+    none = booked().limit(0)
+    span = gold.date_range(booked(date(2024, 3, 1), date(9999, 12, 31), date(1, 1, 1)), booked(date(2024, 2, 27)))
+    assert tuple(span.first()) == (date(2024, 2, 27), date(2024, 3, 1))
+    first = gold.date_dim(span)
+    assert {r.date_id for r in first.collect()} == {1, 2, 3, 4}
+    second = gold.date_dim(gold.date_range(booked(date(2024, 2, 25), date(2024, 3, 3)), none), first)
+    keys = {r.date: r.date_id for r in second.collect()}
+    assert len(keys) == 8 and all(keys[d] == (d - date(2024, 2, 26)).days for d in keys)
+    assert all(keys[r.date] == r.date_id for r in first.collect())
+    assert "Window" not in second._jdf.queryExecution().executedPlan().toString()
+    payables, receivables, _, categories, _ = inputs(spark)
+    far = receivables.withColumn("data_pagamento", F.when(F.col("id_conta") == "r1", F.lit(date(9999, 12, 31))).otherwise(F.col("data_pagamento")))
+    calendar = gold.date_dim(gold.date_range(payables, far))
+    got = {r.id_conta: r.motivo for r in gold.rejected(payables, far, categories, calendar).collect()}
+    assert got["r1"] == "outside the calendar" and calendar.count() < 10
+
+
 def test_concentration(spark):
     data = [(f"c{i}", float(100 - i)) for i in range(10)]
     summary = spark.createDataFrame(data, "id_cliente string, total_receita_brl double")

@@ -11,6 +11,7 @@ from ledgerlift.operators import cluster_metrics as cm
 from ledgerlift.operators.dedup import keep_greatest, keep_least
 from ledgerlift.operators.fingerprint import fingerprint
 from ledgerlift.operators.fx import asof_by_key, asof_within, slices
+from ledgerlift.operators.kmeans import best_fits, fit_all, squared_distances
 from ledgerlift.operators.keys import dense_numbers, fact_numbers
 from ledgerlift.operators.ordering import ntile_of, quantiles, rank_descending
 from ledgerlift.operators.quality import quality_score
@@ -187,6 +188,38 @@ def test_asof_null_keys_find_nothing(spark, rows):
     assert rows(got, "id", "found") == [(1, None), (2, 8), (3, None)]
 
 
+def test_estimated_silhouette_within_its_error(spark):
+    rng = np.random.default_rng(2)
+    data = [(i, (rng.normal(0, 1, 3) + 2.0 * (i % 3)).tolist(), i % 3) for i in range(900)] + [(900, [9.0, 9.0, 9.0], 7)]
+    points = spark.createDataFrame(data, "id int, features array<double>, cluster int").repartition(5)
+    exact = cm.silhouette_euclidean(points).first()[0]
+    whole, no_error = cm.silhouette_estimate(points, per_cluster=1_000)
+    assert whole == pytest.approx(exact, abs=1e-9) and no_error == 0.0
+    part, error = cm.silhouette_estimate(points, per_cluster=60)
+    assert 0 < error < 0.15 and abs(part - exact) <= error
+    assert cm.silhouette_score(points, "estimated") == pytest.approx(exact, abs=1e-9)
+
+
+def test_kmeans_restarts_share_scans_and_match_a_plain_one(spark):
+    rng = np.random.default_rng(4)
+    data = [(f"p{i}", (rng.normal(0, 0.6, 2) + [4 * (i % 4 // 2), 4 * (i % 2)]).tolist()) for i in range(400)]
+    points = spark.createDataFrame(data, "id string, features array<double>").repartition(3)
+    fits = fit_all(points, [1, 2, 4], [1, 2, 3], total_shift=1e-12)
+    assert sorted((f.k, f.restart) for f in fits) == [(k, r) for k in (1, 2, 4) for r in (1, 2, 3)]
+    x = np.array([f for _, f in data])
+    for f in fits:
+        label = squared_distances(x, f.centres).argmin(axis=1)  # at rest: centres are the means of their points
+        means = np.array([x[label == c].mean(axis=0) for c in range(f.k)])
+        assert np.allclose(means, f.centres, atol=1e-5)
+        assert f.cost == pytest.approx(((x - f.centres[label]) ** 2).sum()) and f.sizes.tolist() == np.bincount(label).tolist()
+    best = best_fits(fits)
+    assert best[4].cost < best[2].cost < best[1].cost and best[4].sizes.min() > 80
+    again = best_fits(fit_all(points.repartition(1), [1, 2, 4], [1, 2, 3], total_shift=1e-12))
+    assert all(np.allclose(again[k].centres, best[k].centres) for k in best)
+    few = spark.createDataFrame([("a", [1.0, 1.0]), ("b", [1.0, 1.0]), ("c", [2.0, 2.0])], "id string, features array<double>")
+    assert [len(f.centres) for f in fit_all(few, [3], [1])] == [2]  # no more different points
+
+
 def test_silhouette_metric_is_the_callers(spark):
     points = spark.createDataFrame([(i, [float(i % 2 * 9 + i % 3), 1.0], i % 2) for i in range(12)], "id int, features array<double>, cluster int")
     data = [(r.id, r.features[0], r.cluster) for r in points.collect()]

@@ -1,10 +1,12 @@
 import json
+import pathlib
+import shutil
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlift.plans import pipeline
+from ledgerlift.plans import gold, pipeline
 from ledgerlift.plans.segmentation import Settings
 from ledgerlift.sources.readers import SCHEMAS
 
@@ -55,6 +57,25 @@ def test_two_runs(spark, tmp_path):
     with pytest.raises(ValueError, match="folder"):
         pipeline.Run(spark, second.root, datetime(2024, 3, 31), second.root + "/")
 
+    # facts are kept by month: a filter reads one folder, and a month is reloaded alone
+    facts = second.read("transaction_fact")
+    plan = facts.filter("ano_mes = '2024-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano_mes" in plan
+    held = {r.transaction_id: r for r in facts.collect()}
+    old = pathlib.Path(second.path("transaction_fact") + ".parquet")
+    stays = old / "ano_mes=1999-12"
+    shutil.copytree(next(old.glob("ano_mes=*")), stays)
+    before = {f.name for f in stays.iterdir()}
+    pipeline.reload_months(second, ["2024-01"])
+    assert {f.name for f in stays.iterdir()} == before
+    again = second.read("transaction_fact").filter("ano_mes > '1999-12'").collect()
+    assert {r.transaction_id: r for r in again} == held
+    shutil.rmtree(stays)
+    exported = sorted(pathlib.Path(second.path("monthly_summary") + ".csv").glob("*.csv"))
+    lines = [line for f in exported for line in f.read_text().splitlines()[1:]]
+    assert [tuple(line.split(",")[:2]) for line in lines] == sorted(tuple(line.split(",")[:2]) for line in lines)
+    assert second.broken["transaction_fact"] == [] and set(second.broken) == set(gold.LIMITS)
+
     # a broken dimension is refused before anything is published
     dims = {n: second.read(f"{n}_dim") for n in ("date", "currency", "customer", "category", "account")}
     facts, quoted = second.read("transaction_fact"), second.read("exchange_rate_fact")
@@ -65,5 +86,7 @@ def test_two_runs(spark, tmp_path):
     nameless = dims | {"customer": dims["customer"].withColumn("customer_name", F.lit(None).cast("string"))}
     with pytest.raises(ValueError, match="customer_dim: customer_name"):
         pipeline.require_constraints(nameless, facts, quoted)
+    with pytest.raises(ValueError, match="customer_dim: customer_name"):
+        pipeline.require_constraints(dims, facts, quoted, {"customer_dim": ["customer_name"]})
     with pytest.raises(ValueError, match="transaction_fact: orphans in account_id"):
         pipeline.require_constraints(dims | {"account": dims["account"].limit(0)}, facts, quoted)

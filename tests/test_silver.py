@@ -87,5 +87,5 @@ def test_constraint_checks(spark):
     child = spark.createDataFrame([(1, "abc"), (9, None), (9, "toolong"), (None, "x")], "fk int, nome string")
     assert quality.orphan_rows(child, parent, "child", "fk", "id").first().orfaos == 2
     assert quality.duplicate_keys(child, "child", ["fk"]).first().linhas_a_mais == 1
-    got = quality.limit_violations(child, "child", {"nome": (False, 3)}).first()
+    got = quality.limit_violations(child, "child", {"nome": (False, 3, None)}).first()
     assert (got.nulos_indevidos, got.longos_demais) == (1, 1)

@@ -11,7 +11,7 @@ RUN_TS = datetime(2024, 1, 1)
 
 def test_csv_with_lineage(spark, tmp_path):
     path = tmp_path / "metas.csv"
-    path.write_text("quantia;nota\n".replace(";", ",") + "7.25,a\n9.5,b\n")
+    path.write_text("quantia,nota\n7.25,a\n9.5,b\n")
     df = readers.with_lineage(readers.read_csv(spark, str(path)), "metas", RUN_TS)
     got = df.collect()
     assert len(got) == 2
@@ -21,6 +21,15 @@ def test_csv_with_lineage(spark, tmp_path):
     assert dict(df.dtypes)["quantia"] == "double"
 
 
+def test_parquet_exports_follow_the_same_rules(spark, rows, tmp_path):
+    path = str(tmp_path / "metas.parquet")
+    spark.createDataFrame([(" 150k", 7, "2024-01")], "` Meta ` string, EXTRA int, MES_META string").write.option("x", 1).parquet(path)
+    df = readers.read_tabular(spark, path, readers.SCHEMAS["meta"])
+    assert df.columns == ["mes_meta", "meta", "extra"] and rows(df) == [("2024-01", " 150k", 7)]
+    with pytest.raises(ValueError, match="id_conta"):
+        readers.read_tabular(spark, path, readers.SCHEMAS["conta_pagar"])
+
+
 def test_csv_is_read_by_header_name(spark, rows, tmp_path):
     """Another order, padded upper-case names and a column nobody declared."""
     path = tmp_path / "metas.csv"
