@@ -178,7 +178,7 @@ def bronze_csv(lake: Lake) -> DataFrame:
 
 @query("bronze_json")
 def bronze_json(lake: Lake) -> DataFrame:
-    """Customers landed as JSON arrays of a thousand ids per line."""
+    """Customers landed as JSON arrays of a thousand ids."""
     rows = _as_text(lake.bronze("cliente"), readers.SCHEMAS["cliente"])
     arrays = (
         rows.groupBy(F.floor(F.col("id_cliente").cast("bigint") / 1000).alias("_chunk"))
@@ -187,7 +187,7 @@ def bronze_json(lake: Lake) -> DataFrame:
     )
     path = readers.scratch_path(lake.spark, "cliente_json")
     arrays.write.text(path)
-    return readers.read_json(lake.spark, path, readers.SCHEMAS["cliente"], multi_line=False)
+    return readers.read_json_array(lake.spark, path, readers.SCHEMAS["cliente"])
 
 
 @query("bronze_tabular")

@@ -23,7 +23,7 @@ LANDING = {
     "categoria": readers.read_csv,
     "conta_pagar": readers.read_tabular,
     "conta_receber": readers.read_tabular,
-    "cliente": readers.read_json,
+    "cliente": readers.read_json_array,
 }
 # Tables kept by month, with the day that decides.
 BY_MONTH = {"transactions_enriched": "data_referencia", "transaction_fact": "transaction_date"}
@@ -82,7 +82,7 @@ def run_bronze(
     lookback_days: int = quotes.LOOKBACK_DAYS,
     json_lines: bool = False,
 ) -> None:
-    """Land the five files and the quotes; ``json_lines`` reads customers line by line, which Spark can split.
+    """Land the five files and the quotes; ``json_lines`` says that customers come as JSON lines, not as an array.
 
     With ``as_of`` only the newest quote of each of ``currencies`` in the lookback
     window is kept, and ``missing_quotes`` lists those without one; else the whole
@@ -90,8 +90,10 @@ def run_bronze(
     quotes stand in; without those the run fails.
     """
     for name, read in LANDING.items():
-        options = {"multi_line": not json_lines} if read is readers.read_json else {}
-        rows = read(run.spark, files[name], readers.SCHEMAS[name], **options)
+        if json_lines and read is readers.read_json_array:
+            rows = readers.read_json(run.spark, files[name], readers.SCHEMAS[name], multi_line=False)
+        else:
+            rows = read(run.spark, files[name], readers.SCHEMAS[name])
         run.write(readers.with_lineage(rows, name, run.run_ts, files[name]), f"{name}_raw")
     landed = quotes.flatten_payloads(payloads)
     if as_of is not None:

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlift.functions.columns import instant, normalize_columns
+from ledgerlift.sources.json_arrays import json_elements
 
 # Declared bronze schemas; text first, silver casts.
 SCHEMAS = {
@@ -64,6 +65,13 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None, multi_l
     return conform(reader.option("primitivesAsString", True).json(path), schema, complete=False) if schema else reader.json(path)
 
 
+def read_json_array(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Like ``read_json`` for large arrays: many tasks a file. The elements are written as JSON lines and read from there."""
+    lines = scratch_path(spark, "elements")
+    json_elements(spark, path).write.text(lines)
+    return read_json(spark, lines, schema, multi_line=False)
+
+
 def read_tabular(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Tabular export of a spreadsheet sheet: Parquet when the path says so, else CSV.
 

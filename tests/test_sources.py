@@ -1,10 +1,12 @@
 import json
+import random
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.sources import quotes, readers
+from ledgerlift.sources.json_arrays import json_elements
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -61,6 +63,35 @@ def test_json_array_object_and_lines(spark, tmp_path):
     assert readers.read_json(spark, str(lines), schema, multi_line=False).count() == 3
 
 
+def test_one_large_array_is_read_by_many_tasks(spark, tmp_path):
+    """Braces, brackets and quotes inside strings, nested objects, elements that cross byte ranges."""
+    pick = random.Random(6)
+    parts = ["}", "{", "]", "[", '"', "\\", '\\"}', "},{", "é", "日本", " ", "x", "\n", "]}"]
+    people = []
+    for i in range(1_500):
+        text = "".join(pick.choice(parts) for _ in range(pick.randrange(12)))
+        people.append({"id_cliente": str(i), "nome_cliente": text * (400 if i == 700 else 1), "extra": {"a": [{"b": text}], "}": None}})
+    held = {(p["id_cliente"], p["nome_cliente"], json.dumps(p["extra"]["a"], ensure_ascii=False)) for p in people}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        for name, text in {"flat": json.dumps(people), "pretty": json.dumps(people, indent=2, ensure_ascii=False), "mixed": " [1, \"}\", " + json.dumps(people)[1:]}.items():
+            path = tmp_path / f"{name}.json"
+            path.write_text(text)
+            elements = json_elements(spark, str(path))
+            assert sorted(r.value for r in elements.collect()) != [] and elements.rdd.getNumPartitions() > 20
+            got = [json.loads(r.value) for r in elements.collect()]
+            assert {(p["id_cliente"], p["nome_cliente"], json.dumps(p["extra"]["a"], ensure_ascii=False)) for p in got} == held and len(got) == 1_500
+        read = readers.read_json_array(spark, str(path), readers.SCHEMAS["cliente"])
+        assert {(r.id_cliente, r.nome_cliente) for r in read.collect()} == {h[:2] for h in held}
+        (tmp_path / "one.json").write_text('{"id_cliente": "7", "nome_cliente": "{}", "x": {"y": {}}}\n')
+        assert [r.nome_cliente for r in readers.read_json_array(spark, str(tmp_path / "one.json"), readers.SCHEMAS["cliente"]).collect()] == ["{}"]
+        (tmp_path / "none.json").write_text("[]")
+        assert json_elements(spark, str(tmp_path / "none.json")).collect() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_written_table_and_gold_copies(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, nome string")
     table = readers.write_gold(df, str(tmp_path / "t"))
