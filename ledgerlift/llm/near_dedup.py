@@ -13,7 +13,7 @@
 4. Where a bucket still holds several components, its texts meet a second head, from
    another component than the first. Then all texts of different components whose
    samples agree often enough are compared: in buckets of up to 32 texts as pairs, in
-   larger ones inside cells of bounded size that return only the links they find.
+   larger ones inside cells, bounded in texts and bytes, that return only the links they find.
 
 So no pair rows are made in a large bucket, and texts of one component never meet in it.
 
@@ -40,7 +40,7 @@ BIN_BITS = 20
 FIELD = 1 << 12
 CHUNK = 4096
 SMALL_BUCKET = 32
-CELL = 512  # texts of a large bucket on each side of a cell
+CELL_TEXTS, CELL_BYTES = 4096, 4 << 20  # of a large bucket, on each side of a cell
 LAST = (1 << 63) - 1
 
 
@@ -184,13 +184,18 @@ def _cell(idf: np.ndarray):
 
 
 def _cells(left: DataFrame) -> DataFrame:
-    """Rows (bucket, first, label, tid, ...) of large buckets, once per cell in which they take part.
+    """Rows (bucket, first, label, tid, size, ...) of large buckets, once per cell in which they take part.
 
-    Texts outside the bucket's first component (``out``) meet each other and all texts of it, block by block.
+    Texts outside the bucket's first component (``out``) meet each other and all texts of it, block by
+    block. Blocks are bounded by texts and by bytes, so a text is sent as often as its bucket has blocks.
     """
+
+    def blocks(side: Column) -> Column:
+        size = F.coalesce(F.sum(F.when(side, F.col("size"))), F.lit(0))
+        return F.greatest(F.ceil(F.count_if(side) / CELL_TEXTS), F.ceil(size / CELL_BYTES)).cast("int")
+
     sizes = left.groupBy("bucket").agg(
-        F.ceil(F.count_if(F.col("label") != F.col("first")) / CELL).cast("int").alias("outs"),
-        F.ceil(F.count_if(F.col("label") == F.col("first")) / CELL).cast("int").alias("ins"),
+        blocks(F.col("label") != F.col("first")).alias("outs"), blocks(F.col("label") == F.col("first")).alias("ins")
     )
     out, block = F.col("label") != F.col("first"), F.xxhash64("tid", "bucket")
     rows = left.join(sizes, "bucket").withColumn("block", F.when(out, F.pmod(block, "outs")).otherwise(F.pmod(block, "ins")).cast("int"))
@@ -219,13 +224,13 @@ def components(edges: DataFrame) -> DataFrame:
         parent = ways.groupBy("a").agg(F.least("a", F.min("b")).alias("up")).withColumnRenamed("a", "node")
         for _ in range(2):  # jump to the parent's parent
             upper = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            parent = cut(parent.join(upper, "up").select("node", F.col("top").alias("up")))
+            parent = parent.join(upper, "up").select("node", F.col("top").alias("up"))
+        parent = cut(parent)
         if labels is None:
             labels = parent.withColumnRenamed("up", "label")
         else:
             moved = parent.select(F.col("node").alias("label"), "up")
             labels = labels.join(moved, "label", "left").select("node", F.coalesce("up", "label").alias("label"))
-        labels = cut(labels)
         up_a = parent.select(F.col("node").alias("a"), F.col("up").alias("ua"))
         up_b = parent.select(F.col("node").alias("b"), F.col("up").alias("ub"))
         moved = left.join(up_a, "a").join(up_b, "b").filter("ua <> ub")
@@ -286,7 +291,8 @@ def _classes(rows: DataFrame) -> DataFrame:
             a = few.select("bucket", F.col("tid").alias("a"), F.col("label").alias("la"), F.col("samples").alias("sa"))
             b = few.select("bucket", F.col("tid").alias("b"), F.col("label").alias("lb"), F.col("samples").alias("sb"))
             meet = a.join(b, "bucket").filter((F.col("la") < F.col("lb")) & (_agreement(F.col("sa"), F.col("sb")) >= AGREE))
-            cells = _cells(left.filter(F.col("n") > SMALL_BUCKET).join(found, "tid"))
+            sized = found.select("tid", F.octet_length("text").alias("size"))
+            cells = _cells(left.filter(F.col("n") > SMALL_BUCKET).join(sized, "tid")).join(found, "tid")
             links = links.unionByName(cut(cells.groupBy("bucket", "kind", "i", "j").applyInArrow(_cell(idf), "a string, b string")))
         else:
             second = left.filter("label <> first").groupBy("bucket").agg(F.max(F.struct("rank", "tid", "label")).alias("s"))

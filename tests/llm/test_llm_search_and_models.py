@@ -263,7 +263,7 @@ def test_near_duplicates(spark):
 
 def test_near_duplicates_of_large_buckets(spark, monkeypatch):
     """A chain of edited copies and three families under shared boilerplate, some hundred texts each, against brute force."""
-    monkeypatch.setattr(near, "CELL", 100)  # several cells a bucket
+    monkeypatch.setattr(near, "CELL_TEXTS", 100)  # several cells a bucket
     shared, chain, texts = words(1, 400), words(2, 300), []
     for k in range(150):  # each version replaces two more words, so that only near versions are alike
         chain[2 * k : 2 * k + 2] = [f"v{k}x", f"v{k}y"]
