@@ -193,7 +193,10 @@ def _features_of(model: KneserNey):
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Scorer | None:
-    """Models from one half of the sample, the curve from the other; None where a class has no labelled document."""
+    """Models from one half of the sample, the curve from the other; None where a class has no labelled document.
+
+    Where the labels are so few that a half lacks a class, both are fitted on the whole sample.
+    """
     known = labels.filter(F.coalesce(learn, F.lit(False)) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     place = F.xxhash64("doc_id")
@@ -203,8 +206,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SA
         chosen = part if chosen is None else chosen.unionByName(part)
     half = F.pmod(F.shiftright(place, 8), F.lit(2))
     sample = documents(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic", half.alias("half"))
+    return _fitted(sample, "half = 0", "half = 1") or _fitted(sample, "true", "true")
+
+
+def _fitted(sample: DataFrame, models: str, curve: str) -> Scorer | None:
+    """Models from the rows that meet one condition, the curve from those that meet the other; None where either lacks a class."""
     counted = (
-        sample.filter("half = 0").select("text", "toxic")
+        sample.filter(models).select("text", "toxic")
         .mapInArrow(_count_words, "word binary, toxic bigint, ordinary bigint")
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     ).toArrow()  # the words of at most 2 * sample_docs documents
@@ -212,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SA
     if not (counts.sum(axis=0) > 0).all() or not len(counts):
         return None
     model = KneserNey(counted.column("word").to_pylist(), counts)
-    seen = sample.filter("half = 1").select("text", "toxic").mapInArrow(_features_of(model), "toxic int, a double, b double, c double").toArrow()
+    seen = sample.filter(curve).select("text", "toxic").mapInArrow(_features_of(model), "toxic int, a double, b double, c double").toArrow()
     toxic = seen.column("toxic").to_numpy()
     if len(set(toxic.tolist())) < 2:
         return None
@@ -233,7 +241,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFr
     """(doc_id, score, predicted) per row of ``docs``; ``labels`` has doc_id and toxic (0 or 1).
 
     Only labels where ``learn`` holds are learned from, and nothing but the text is
-    scored. predicted is 1 from a score of 0.7. Labels that are null, neither 0 nor
+    scored. Repeated rows are scored each. predicted is 1 from a score of 0.7. Labels that are null, neither 0 nor
     1 or without a doc_id are ignored; a document labelled twice counts as toxic if
     one label says so. Null and empty texts are scored as texts without words. If
     a class has no labelled document, every score is 0.
