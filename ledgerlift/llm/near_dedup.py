@@ -42,6 +42,7 @@ CHUNK = 4096
 SMALL_BUCKET = 32
 CELL_TEXTS, CELL_BYTES = 4096, 4 << 20  # of a large bucket, on each side of a cell
 LAST = (1 << 63) - 1
+FILE_ROWS = 20_000  # of what is kept between the rounds, rows of some hundred bytes
 
 
 # ---- shingles and weights ------------------------------------------------------
@@ -216,16 +217,22 @@ def _agreement(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
+def _files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most about ``rows`` rows, in as many partitions as these ask for: few rows leave few files."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node of each connected component, for the nodes of ``edges`` (a, b)."""
-    labels, left = None, cut(edges.filter("a <> b").select("a", "b").distinct())
+    """(node, label): the least node of each connected component, for the nodes of ``edges`` (a, b), which is read twice."""
+    most = edges.count()
+    labels, left = None, cut(_files(edges.filter("a <> b").select("a", "b").distinct(), most))
     while not left.isEmpty():
         ways = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = ways.groupBy("a").agg(F.least("a", F.min("b")).alias("up")).withColumnRenamed("a", "node")
         for _ in range(2):  # jump to the parent's parent
             upper = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
             parent = parent.join(upper, "up").select("node", F.col("top").alias("up"))
-        parent = cut(parent)
+        parent = cut(_files(parent, 2 * most))
         if labels is None:
             labels = parent.withColumnRenamed("up", "label")
         else:
@@ -234,7 +241,7 @@ def components(edges: DataFrame) -> DataFrame:
         up_a = parent.select(F.col("node").alias("a"), F.col("up").alias("ua"))
         up_b = parent.select(F.col("node").alias("b"), F.col("up").alias("ub"))
         moved = left.join(up_a, "a").join(up_b, "b").filter("ua <> ub")
-        left = cut(moved.select(F.col("ua").alias("a"), F.col("ub").alias("b")).distinct())
+        left = cut(_files(moved.select(F.col("ua").alias("a"), F.col("ub").alias("b")).distinct(), most))
     return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
@@ -248,9 +255,10 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 def _classes(rows: DataFrame) -> DataFrame:
     """(tid, id, label) of every distinct text of rows (tid, id, text); equal labels are one class."""
-    idf = smooth_idf(*bin_counts(rows, BIN_BITS))
+    held, n = bin_counts(rows, BIN_BITS)
+    idf = smooth_idf(held, n)
     signed = rows.select("tid", "id", "text").mapInArrow(_signatures(idf), "tid string, id bigint, samples array<bigint>")
-    texts = cut(signed.groupBy("tid").agg(F.min("id").alias("id"), F.any_value("samples").alias("samples")))
+    texts = cut(_files(signed.groupBy("tid").agg(F.min("id").alias("id"), F.any_value("samples").alias("samples")), n))
 
     band = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -260,17 +268,19 @@ def _classes(rows: DataFrame) -> DataFrame:
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     paired = keyed.join(shared, "bucket")
     rank = paired.groupBy("tid").agg(F.sum("n").alias("rank"))  # an original shares larger buckets than its copies
-    members = cut(paired.join(rank, "tid"))
+    members = cut(_files(paired.join(rank, "tid"), BANDS * n // 4))
+    met_rows = members.count()
 
     # the texts of all candidates, once for all rounds
     where = members.select("tid").distinct().join(texts.select("tid", "id"), "tid")
     found = rows.select("tid", "id", "text").join(where, ["tid", "id"]).dropDuplicates(["tid", "id"])
-    found = stored(found.select("tid", "text"))
+    found = stored(_files(found.select("tid", "text"), n))
     a_side, b_side = (found.select(F.col("tid").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
 
     def verified(pairs: DataFrame) -> DataFrame:
         met = pairs.distinct().join(a_side, "a").join(b_side, "b").select("a", "b", "a_text", "b_text")
-        return cut(met.mapInArrow(_verify(idf), "a string, b string"))
+        near = met.mapInArrow(_verify(idf), "a string, b string")
+        return cut(near.repartition(max(1, -(-met_rows // FILE_ROWS))))
 
     heads = members.groupBy("bucket").agg(F.max(F.struct("rank", "tid")).alias("head")).select("bucket", "head.tid")
     meet = members.join(heads.withColumnRenamed("tid", "a"), "bucket").filter("tid <> a")
@@ -284,7 +294,7 @@ def _classes(rows: DataFrame) -> DataFrame:
         several = grouped.groupBy("bucket").agg(
             F.min("label").alias("x"), F.max("label").alias("y"), F.max(F.struct("rank", "tid", "label")).alias("head")
         ).filter("x <> y").select("bucket", F.col("head.label").alias("first"))
-        left = cut(grouped.join(several, "bucket"))
+        left = cut(_files(grouped.join(several, "bucket"), met_rows))
         if small:
             left = left.join(texts.select("tid", "samples"), "tid")
             few = left.filter(F.col("n") <= SMALL_BUCKET)
@@ -293,7 +303,8 @@ def _classes(rows: DataFrame) -> DataFrame:
             meet = a.join(b, "bucket").filter((F.col("la") < F.col("lb")) & (_agreement(F.col("sa"), F.col("sb")) >= AGREE))
             sized = found.select("tid", F.octet_length("text").alias("size"))
             cells = _cells(left.filter(F.col("n") > SMALL_BUCKET).join(sized, "tid")).join(found, "tid")
-            links = links.unionByName(cut(cells.groupBy("bucket", "kind", "i", "j").applyInArrow(_cell(idf), "a string, b string")))
+            linked = cells.groupBy("bucket", "kind", "i", "j").applyInArrow(_cell(idf), "a string, b string")
+            links = links.unionByName(cut(linked.repartition(max(1, -(-met_rows // FILE_ROWS)))))
         else:
             second = left.filter("label <> first").groupBy("bucket").agg(F.max(F.struct("rank", "tid", "label")).alias("s"))
             second = second.select("bucket", F.col("s.tid").alias("a"), F.col("s.label").alias("la"))
