@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlift.llm.common import documents
+from ledgerlift.llm.common import documents, tidy
 
 BUCKETS = 1 << 16
 ID_BITS, RANK_BITS = 20, 26
@@ -36,8 +36,8 @@ SHIFT, NO_PAIR = 1 << ID_BITS, 1 << 50
 LOW_MASK, FIRST_MASK = (1 << RANK_BITS) - 1, (1 << RANK_BITS) - (1 << ID_BITS)
 CHUNK_DOCS = 256
 FOLD_BYTES = 64  # longer pieces (runs of one letter, say) are merged with a heap
-MOST_PIECES = 1_000_000  # then a task starts a new list of pieces
-CACHE_DOCS, CACHE_PIECES = 16_000, 300_000
+MOST_PIECES = 500_000  # then a task starts a new list of pieces
+CACHE_DOCS, CACHE_PIECES = 8_000, 150_000
 CACHE_TASKS = 48
 
 
@@ -183,7 +183,7 @@ def merged_pieces(pieces: DataFrame, byte_ids: list[int], ranks: Column) -> _Mer
     some = pieces.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(F.explode("pieces").alias("piece"))
     counted = some.filter(F.octet_length("piece").between(2, FOLD_BYTES)).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     most = counted.orderBy(F.desc("n"), "piece").limit(CACHE_PIECES).select("piece").repartition(CACHE_TASKS)
-    words = most.mapInArrow(_as_byte_ids(byte_ids), "piece binary, word array<int>").withColumn("ranks", ranks)
+    words = most.mapInArrow(tidy(_as_byte_ids(byte_ids)), "piece binary, word array<int>").withColumn("ranks", ranks)
     folded = words.select("piece", fold_merges(F.col("word"), F.col("ranks")).alias("ids")).toArrow()
     return _Merged(folded.column("piece").combine_chunks(), folded.column("ids").combine_chunks())
 
@@ -320,7 +320,7 @@ def bpe(docs: DataFrame, path: str, pattern: str, form: str = "full") -> DataFra
     split = documents(docs).select("doc_id", pieces.alias("pieces"))
     rank_of_pair = rank_map(docs.sparkSession, pair_ranks(ranks))
     merged = merged_pieces(split, byte_ids, rank_of_pair)
-    numbered = split.mapInArrow(_number_pieces(byte_ids, merged), LIST_DDL)
+    numbered = split.mapInArrow(tidy(_number_pieces(byte_ids, merged)), LIST_DDL)
     ranked = numbered.withColumn("ranks", rank_of_pair)
     folded = ranked.withColumn("folded", F.transform("words", lambda w: fold_merges(w, F.col("ranks"))))
-    return folded.drop("words", "ranks").mapInArrow(_assemble(tokens, form), FORMS[form][1])
+    return folded.drop("words", "ranks").mapInArrow(tidy(_assemble(tokens, form)), FORMS[form][1])

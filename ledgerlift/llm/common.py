@@ -7,6 +7,7 @@ says otherwise.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from functools import lru_cache
 
@@ -20,6 +21,25 @@ HASH_STEP = 1 << 20
 U64 = np.uint64
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system; Python workers live on idle between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run):
+    """A function of batches that leaves its worker small: once its locals are gone, memory goes back."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

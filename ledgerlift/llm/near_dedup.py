@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlift.llm.common import U64, cut, documents, mix, stored, strings, window_hashes
+from ledgerlift.llm.common import U64, cut, documents, mix, stored, strings, tidy, window_hashes
 from ledgerlift.llm.tfidf import bin_counts, lower_words, smooth_idf, word_bins
 
 WORDS = 5
@@ -257,7 +257,7 @@ def _classes(rows: DataFrame) -> DataFrame:
     """(tid, id, label) of every distinct text of rows (tid, id, text); equal labels are one class."""
     held, n = bin_counts(rows, BIN_BITS)
     idf = smooth_idf(held, n)
-    signed = rows.select("tid", "id", "text").mapInArrow(_signatures(idf), "tid string, id bigint, samples array<bigint>")
+    signed = rows.select("tid", "id", "text").mapInArrow(tidy(_signatures(idf)), "tid string, id bigint, samples array<bigint>")
     texts = cut(_files(signed.groupBy("tid").agg(F.min("id").alias("id"), F.any_value("samples").alias("samples")), n))
 
     band = F.transform(
@@ -279,7 +279,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         met = pairs.distinct().join(a_side, "a").join(b_side, "b").select("a", "b", "a_text", "b_text")
-        near = met.mapInArrow(_verify(idf), "a string, b string")
+        near = met.mapInArrow(tidy(_verify(idf)), "a string, b string")
         return cut(near.repartition(max(1, -(-met_rows // FILE_ROWS))))
 
     heads = members.groupBy("bucket").agg(F.max(F.struct("rank", "tid")).alias("head")).select("bucket", "head.tid")

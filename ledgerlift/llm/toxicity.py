@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlift.llm.common import LOWER, U64, bytes_of, documents, mix, slices, strings, word_hashes, word_spans
+from ledgerlift.llm.common import LOWER, U64, bytes_of, documents, give_back, mix, slices, strings, tidy, word_hashes, word_spans
 
 SAMPLE_DOCS = 2000
 ORDER = 6
@@ -213,14 +213,16 @@ def _fitted(sample: DataFrame, models: str, curve: str) -> Scorer | None:
     """Models from the rows that meet one condition, the curve from those that meet the other; None where either lacks a class."""
     counted = (
         sample.filter(models).select("text", "toxic")
-        .mapInArrow(_count_words, "word binary, toxic bigint, ordinary bigint")
+        .mapInArrow(tidy(_count_words), "word binary, toxic bigint, ordinary bigint")
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     ).toArrow()  # the words of at most 2 * sample_docs documents
     counts = np.stack([counted.column(c).to_numpy().astype(np.int64) for c in ("toxic", "ordinary")], axis=1)
     if not (counts.sum(axis=0) > 0).all() or not len(counts):
         return None
     model = KneserNey(counted.column("word").to_pylist(), counts)
-    seen = sample.filter(curve).select("text", "toxic").mapInArrow(_features_of(model), "toxic int, a double, b double, c double").toArrow()
+    del counted
+    give_back()
+    seen = sample.filter(curve).select("text", "toxic").mapInArrow(tidy(_features_of(model)), "toxic int, a double, b double, c double").toArrow()
     toxic = seen.column("toxic").to_numpy()
     if len(set(toxic.tolist())) < 2:
         return None
@@ -246,7 +248,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFr
     one label says so. Null and empty texts are scored as texts without words. If
     a class has no labelled document, every score is 0.
     """
-    scored = documents(docs).mapInArrow(_score(fit(docs, labels, learn)), "doc_id bigint, score double")
+    scored = documents(docs).mapInArrow(tidy(_score(fit(docs, labels, learn))), "doc_id bigint, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -258,4 +260,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFram
         for batch in batches:
             yield batch.filter(pa.array(scorer(strings(batch.column("text"))) < THRESHOLD)) if scorer else batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
