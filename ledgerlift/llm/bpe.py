@@ -4,11 +4,7 @@ Within each task the texts flow through three steps without a shuffle:
 
 1. Spark splits a text by the pattern; the distinct pieces that this task has not
    met yet are listed, and each text becomes a row of piece numbers.
-   Frequent pieces start from their merges: up to ``CACHE_PIECES`` pieces of about
-   ``CACHE_DOCS`` documents are folded once beforehand. A piece that is missing there is
-   folded where it occurs, so the bounds never change a result.
 2. Higher-order functions fold the ranked merges over the bytes of every new piece.
-   Folding a piece whose merges are done leaves it as it is.
    The rank map is a constant: an array of small maps, so that a look-up costs the
    same for any vocabulary. A step merges the leftmost pair of the least rank.
 3. Piece numbers become ids, and ids become bytes again by concatenation.
@@ -37,8 +33,6 @@ LOW_MASK, FIRST_MASK = (1 << RANK_BITS) - 1, (1 << RANK_BITS) - (1 << ID_BITS)
 CHUNK_DOCS = 256
 FOLD_BYTES = 64  # longer pieces (runs of one letter, say) are merged with a heap
 MOST_PIECES = 500_000  # then a task starts a new list of pieces
-CACHE_DOCS, CACHE_PIECES = 8_000, 150_000
-CACHE_TASKS = 48
 
 
 @lru_cache(maxsize=4)
@@ -151,49 +145,11 @@ LIST = pa.schema([
 ])
 
 
-class _Merged:
-    """Ids of frequent pieces: their bytes in order, with the ids one after the other."""
-
-    def __init__(self, pieces: pa.Array, ids: pa.ListArray):
-        order = np.array(sorted(range(len(pieces)), key=pieces.to_pylist().__getitem__), np.int64)
-        self.pieces, self.ids = pieces.take(pa.array(order)).cast(pa.large_binary()), ids.take(pa.array(order))
-
-    def table(self) -> dict[bytes, int]:
-        return {piece: i for i, piece in enumerate(self.pieces.to_pylist())}
-
-    def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.ids.flatten().to_numpy(), np.r_[0, np.cumsum(self.ids.value_lengths().to_numpy())]
-
-
-def _as_byte_ids(byte_ids: list[int]):
-    to_ids = np.array(byte_ids, np.int32)
-
-    def run(batches):
-        for batch in batches:
-            pieces = batch.column("piece").cast(pa.binary())
-            words = [to_ids[np.frombuffer(p, np.uint8)] for p in pieces.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pieces, pa.array(words, pa.list_(pa.int32()))], names=["piece", "word"])
-
-    return run
-
-
-def merged_pieces(pieces: DataFrame, byte_ids: list[int], ranks: Column) -> _Merged:
-    """Ids of the most frequent pieces of about CACHE_DOCS rows of pieces (doc_id, pieces); at most CACHE_PIECES reach the driver."""
-    every = max(1, pieces.count() // CACHE_DOCS)
-    some = pieces.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(F.explode("pieces").alias("piece"))
-    counted = some.filter(F.octet_length("piece").between(2, FOLD_BYTES)).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    most = counted.orderBy(F.desc("n"), "piece").limit(CACHE_PIECES).select("piece").repartition(CACHE_TASKS)
-    words = most.mapInArrow(tidy(_as_byte_ids(byte_ids)), "piece binary, word array<int>").withColumn("ranks", ranks)
-    folded = words.select("piece", fold_merges(F.col("word"), F.col("ranks")).alias("ids")).toArrow()
-    return _Merged(folded.column("piece").combine_chunks(), folded.column("ids").combine_chunks())
-
-
-def _number_pieces(byte_ids: list[int], merged: _Merged):
-    """Texts as piece numbers; ``words`` are the new pieces (ids of their merges or of their bytes), or null where ``long`` holds the bytes."""
+def _number_pieces(byte_ids: list[int]):
+    """Texts as piece numbers; ``words`` are the new pieces (byte ids), or null where ``long`` holds the bytes."""
     to_ids = np.array(byte_ids, np.int32)
 
     def run(batches):
-        known, (merges, edges) = merged.table(), merged.flat()
         seen: dict[bytes, int] = {}
         for batch in batches:
             for low in range(0, batch.num_rows, CHUNK_DOCS):
@@ -212,8 +168,6 @@ def _number_pieces(byte_ids: list[int], merged: _Merged):
                         if len(word) > FOLD_BYTES:
                             words.append(None)
                             long.append(word)
-                        elif (at := known.get(word)) is not None:
-                            words.append(merges[edges[at] : edges[at + 1]])
                         else:
                             words.append(to_ids[np.frombuffer(word, np.uint8)])
                     numbers[i] = number
@@ -317,10 +271,7 @@ def bpe(docs: DataFrame, path: str, pattern: str, form: str = "full") -> DataFra
     tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
     byte_ids = [ranks[bytes([b])] for b in range(256)]
     pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"(?U){pattern}"), F.lit(0))
-    split = documents(docs).select("doc_id", pieces.alias("pieces"))
-    rank_of_pair = rank_map(docs.sparkSession, pair_ranks(ranks))
-    merged = merged_pieces(split, byte_ids, rank_of_pair)
-    numbered = split.mapInArrow(tidy(_number_pieces(byte_ids, merged)), LIST_DDL)
-    ranked = numbered.withColumn("ranks", rank_of_pair)
+    numbered = documents(docs).select("doc_id", pieces.alias("pieces")).mapInArrow(tidy(_number_pieces(byte_ids)), LIST_DDL)
+    ranked = numbered.withColumn("ranks", rank_map(docs.sparkSession, pair_ranks(ranks)))
     folded = ranked.withColumn("folded", F.transform("words", lambda w: fold_merges(w, F.col("ranks"))))
     return folded.drop("words", "ranks").mapInArrow(tidy(_assemble(tokens, form)), FORMS[form][1])

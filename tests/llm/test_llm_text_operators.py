@@ -184,12 +184,3 @@ def test_token_counts_query(spark):
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe_module.load_ranks(path), special_tokens={})
     known = Counter(len(encoding.encode_ordinary(r.text or "")) for r in table(spark, str(FOLDER), "documents").collect())
     assert {r.context_limit: r.docs for r in QUERIES["op10_token_counts"](spark, str(FOLDER)).collect()} == known
-
-
-def test_bpe_does_not_depend_on_the_pieces_merged_beforehand(spark, monkeypatch):
-    docs = frame(spark, TEXTS)
-    path, pattern = vocabulary()
-    whole = sorted(map(str, bpe(docs, path, pattern, form="digest").collect()))
-    for most in (0, 5):
-        monkeypatch.setattr(bpe_module, "CACHE_PIECES", most)
-        assert sorted(map(str, bpe(docs, path, pattern, form="digest").collect())) == whole
