@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlift.llm.common import U64, block_count, block_of, cut, mix, pack, strings
+from ledgerlift.llm.common import U64, block_count, block_of, cut, give_back, mix, pack, strings, tidy
 
 LINES_PER_SHARD = 1 << 15
 BLANK = b" \t\n\x0b\x0c\r"
@@ -174,6 +174,7 @@ def _drop(min_chars: int, digest: bool, carry: list[str]):
             texts.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace"))
         columns = [docs.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())]
         names = [n for n, _ in COUNTS] + ["kept_sha256" if digest else "kept_text"]
+        give_back()
         return pa.Table.from_arrays(columns + [docs.column(f"carry_{i}") for i in range(len(carry))], names=names + carry)
 
     return run
@@ -201,7 +202,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, digest:
     blocked = docs.withColumn("block", block_of(blocks))
     lines = docs.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit("\n")) + 1), F.lit(1))).first()[0]
     shards = max(1, -(-lines // LINES_PER_SHARD))
-    asks = cut(blocked.select("block", "text").mapInArrow(_line_asks(shards, min_chars), ASK_DDL))
+    asks = cut(blocked.select("block", "text").mapInArrow(tidy(_line_asks(shards, min_chars)), ASK_DDL))
     index = asks.groupBy("shard").applyInArrow(_index, INDEX_DDL)
     drops = asks.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), DROP_DDL)
     return blocked.groupBy("block").cogroup(drops.groupBy("block")).applyInArrow(
