@@ -6,12 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ledgerlift.sources.readers import scratch_path, write_parquet
+
 BLOCK_ROWS = 2_000
+BLOCK_FILES = 256
+# Squares below this share of the squared lengths are taken exactly, so many pairs at once.
+NEAR, NEAR_AT_ONCE = 1e-6, 1 << 15
+# Sums that a task holds before it returns them.
+SUMS_HELD = 1 << 23
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -94,57 +102,88 @@ def davies_bouldin(points: DataFrame) -> DataFrame:
 # ---- silhouette ----------------------------------------------------------------
 
 
-def _distance_sums(rows: pd.DataFrame, others: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Summed Euclidean distances from each row to each cluster of the other block."""
-    left, right = np.stack(rows["features"].to_numpy()), np.stack(others["features"].to_numpy())
-    codes, labels = pd.factorize(others["cluster"])
-    member = np.zeros((len(others), len(labels)))
-    member[np.arange(len(others)), codes] = 1.0
-    for start in range(0, len(left), 256):
-        part = left[start : start + 256]
-        squares = np.zeros((len(part), len(right)))
-        for d in range(left.shape[1]):
-            squares += np.subtract.outer(part[:, d], right[:, d]) ** 2
-        sums = np.sqrt(squares) @ member
-        who = rows.iloc[start : start + 256]
-        yield pd.DataFrame(
-            {
-                "id": np.repeat(who["id"].to_numpy(), len(labels)),
-                "cluster": np.repeat(who["cluster"].to_numpy(), len(labels)),
-                "other": np.tile(labels.to_numpy() if hasattr(labels, "to_numpy") else labels, len(part)),
-                "total": sums.ravel(),
-            }
-        )
-
-
-def _block_pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    if left.empty or right.empty:
-        return pd.DataFrame({"id": [], "cluster": [], "other": [], "total": []})
-    return pd.concat(_distance_sums(left, right), ignore_index=True)
+def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all pairs by one matrix product; pairs so close that it cancels are taken by their differences."""
+    scale = (left * left).sum(axis=1)[:, None] + (right * right).sum(axis=1)[None, :]
+    squares = scale - 2.0 * (left @ right.T)
+    near = np.flatnonzero(~(squares >= NEAR * scale))
+    for low in range(0, len(near), NEAR_AT_ONCE):
+        at = near[low : low + NEAR_AT_ONCE]
+        i, j = np.divmod(at, len(right))
+        squares.ravel()[at] = ((left[i] - right[j]) ** 2).sum(axis=1)
+    return np.sqrt(squares, out=squares)
+
+
+class _Block:
+    """One packed block: ids, clusters, vectors and the membership of its rows in its labels (a null is no cluster)."""
+
+    def __init__(self, points: pa.StructArray):
+        self.ids, self.clusters = points.field("id"), points.field("cluster")
+        features = points.field("features")
+        if features.null_count:
+            raise ValueError("features must not be null")
+        self.x = features.flatten().to_numpy(zero_copy_only=False).reshape(len(points), -1)
+        codes, self.labels = pd.factorize(self.clusters.to_pandas())
+        self.member = (codes[:, None] == np.arange(len(self.labels))).astype(float)
+
+
+def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed distances from every point to each cluster of the blocks its own block meets in this task."""
+    totals: dict[tuple[int, int], np.ndarray] = {}
+    seen: dict[int, _Block] = {}
+
+    def add(number: int, block: _Block, first: int, labels: np.ndarray, sums: np.ndarray) -> None:
+        seen.setdefault(number, block)
+        for label, column in zip(labels, sums.T):
+            held = totals.setdefault((number, int(label)), np.zeros(len(block.ids)))
+            held[first : first + len(column)] += column
+
+    def done() -> Iterator[pa.RecordBatch]:
+        for (number, label), held in totals.items():
+            block = seen[number]
+            other = pa.array(np.full(len(held), label, np.int32))
+            yield pa.RecordBatch.from_arrays([block.ids, block.clusters, other, pa.array(held)], ["id", "cluster", "other", "total"])
+        totals.clear()
+        seen.clear()
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            i, j = batch.column("_i")[row].as_py(), batch.column("_j")[row].as_py()
+            left, right = _Block(batch.column("_left")[row].values), _Block(batch.column("_right")[row].values)
+            for first in range(0, len(left.x), 512):
+                gaps = _distances(left.x[first : first + 512], right.x)
+                add(i, left, first, right.labels, gaps @ right.member)
+                if i != j:
+                    add(j, right, 0, left.labels, gaps.T @ left.member[first : first + 512])
+            if sum(map(len, totals.values())) > SUMS_HELD:
+                yield from done()
+    yield from done()
 
 
 def silhouette_points(points: DataFrame, rows: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, cluster, silhouette) with exact mean Euclidean distances.
 
-    Points are hashed into blocks of about ``block_rows`` and every ordered pair
-    of blocks is one task group that returns sums per (point, cluster); no pair of
-    points is ever a row. The work is quadratic by definition of the metric.
-    ``id`` must be unique.
+    Points are hashed into blocks of about ``block_rows``, one row each, which are written
+    once to the shared folder. Every two blocks meet in a product of the written table with
+    itself, so the points are shuffled once and only read again for each share of the other
+    side; a task returns sums per (point, cluster) for all the blocks it holds, and no pair
+    of points is ever a row. Two blocks meet once, for both of them. The work is quadratic
+    by definition of the metric. ``id`` must be unique.
     """
     rows = points.count() if rows is None else rows
     blocks = max(1, -(-rows // block_rows))
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     base = points.select("id", F.col("cluster").cast("int").alias("cluster"), "features")
     # An explicit number of partitions: little data but much work, which coalescing by size would pile up.
-    tasks = blocks * blocks
-    left = base.select("*", own.alias("_i"), every.alias("_j")).repartition(tasks, "_i", "_j")
-    right = base.select("*", own.alias("_j"), every.alias("_i")).repartition(tasks, "_i", "_j")
+    dealt = base.withColumn("_i", F.pmod(F.xxhash64("id"), F.lit(blocks))).repartition(min(blocks, BLOCK_FILES), "_i")
+    packed = dealt.groupBy("_i").agg(F.collect_list(F.struct(*base.columns)).alias("_left"))
+    left = write_parquet(packed, scratch_path(points.sparkSession, "blocks"))
+    right = left.select(F.col("_i").alias("_j"), F.col("_left").alias("_right")).hint("shuffle_replicate_nl")
+    i, j = F.col("_i"), F.col("_j")
+    once = (i == j) | ((i < j) == ((i + j) % 2 == 0))  # of (i, j) and (j, i) the one that spreads them evenly
     id_type = points.schema["id"].dataType.simpleString()
     sums = (
-        left.groupBy("_i", "_j")
-        .cogroup(right.groupBy("_i", "_j"))
-        .applyInPandas(_block_pair, f"id {id_type}, cluster int, other int, total double")
+        left.join(right, once)
+        .mapInArrow(_block_sums, f"id {id_type}, cluster int, other int, total double")
         .groupBy("id", "cluster", "other")
         .agg(F.sum("total").alias("total"))
     )

@@ -283,6 +283,23 @@ def test_metrics_against_brute_force(spark):
     assert cm.inertia(df).first()[0] == pytest.approx(within)
 
 
+def test_exact_silhouette_sends_points_once_and_keeps_close_pairs_exact(spark):
+    x, labels = labelled(n=90, seed=5)
+    x = x * 1e-4 + 1e4  # close together and far from the origin: a product of vectors alone would cancel
+    x[60:] = x[:30]  # copies
+    df = frame(spark, x, labels)
+    got = cm.silhouette_points(df, block_rows=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "CoGroup" not in plan  # blocks meet without a shuffle of points
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    values = {r.id: r.silhouette for r in got.collect()}
+    for i, c in enumerate(labels):
+        own = (labels == c).sum()
+        a = dist[i][labels == c].sum() / max(own - 1, 1)
+        b = min(dist[i][labels == o].mean() for o in set(labels) - {c})
+        assert values[i] == pytest.approx((b - a) / max(a, b) if own > 1 else 0.0, abs=1e-9)
+
+
 def test_scaling_uses_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     got = sorted(tuple(r) for r in cm.scale_features(df, ["a", "b"]).collect())
