@@ -118,8 +118,9 @@ def common_subsequence(masks: dict[int, int], size: int, words: list[int]) -> in
     """Length of the longest common subsequence, bit-parallel; ``masks`` has each item word's places."""
     full = state = (1 << size) - 1
     for w in words:
-        hit = state & masks.get(w, 0)
-        state = ((state + hit) | (state - hit)) & full
+        if w in masks:  # others change nothing
+            hit = state & masks[w]
+            state = ((state + hit) | (state - hit)) & full
     return size - state.bit_count()
 
 
@@ -131,6 +132,11 @@ class Item:
             self.masks[w] = self.masks.get(w, 0) | (1 << i)
         self.answer = self.words[-ANSWER:]
 
+    def may_hold(self, words: list[int]) -> bool:
+        """Whether the words in common, in any order, are enough for a leak; no subsequence has more."""
+        common = sum(self.masks[w].bit_count() for w in self.masks.keys() & words)
+        return common / len(self.words) >= PARAPHRASE
+
     def judge(self, words: list[int]) -> tuple[float, str | None]:
         share = common_subsequence(self.masks, len(self.words), words) / len(self.words)
         if share >= COPY:
@@ -165,6 +171,18 @@ class Index:
         kinds, tf = np.unique(binned, return_counts=True)
         return float(np.sqrt(((tf * self.idf[kinds]) ** 2).sum()))
 
+    def _sums(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Sum of the directions of each run of rows; the k-th row of all runs is added at once."""
+        sizes = np.diff(np.r_[first, len(rows)])
+        order = np.argsort(-sizes, kind="stable")
+        sums = self.directions[rows[first[order]]]
+        for k in range(1, int(sizes.max())):
+            more = first[order[: np.count_nonzero(sizes > k)]]
+            sums[: len(more)] += self.directions[rows[more + k]]
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return sums[back]
+
     def candidates(self, words: np.ndarray, counts: np.ndarray):
         """(document, passage, item) with a cosine of COSINE or more (less for short items), for a run of documents."""
         return {(d, p, int(self.owners[k])) for d, p, k in self._hits(words, counts)}
@@ -181,7 +199,7 @@ class Index:
         latent = np.zeros((total, self.directions.shape[1]), np.float32)
         if len(known):  # words come in the order of their blocks
             first = np.flatnonzero(np.r_[True, np.diff(block[known]) > 0])
-            latent[block[known][first]] = np.add.reduceat(self.directions[self.row_of[binned[known]]], first, axis=0)
+            latent[block[known][first]] = self._sums(self.row_of[binned[known]], first)
         square = np.bincount(block, self.idf[binned] ** 2, total)
         owner = np.repeat(np.arange(len(counts)), blocks)
         pair = np.r_[owner[1:] == owner[:-1], False] if total else np.zeros(0, bool)
@@ -214,7 +232,8 @@ class Index:
         ends = np.cumsum(counts)
         best: dict[tuple[int, int], tuple[float, str]] = {}
         for doc, item, start, stop in self._regions(words, counts):
-            share, kind = self.items[item].judge(words[ends[doc] - counts[doc] : ends[doc]][start:stop].tolist())
+            near = words[ends[doc] - counts[doc] : ends[doc]][start:stop].tolist()
+            share, kind = self.items[item].judge(near) if self.items[item].may_hold(near) else (0.0, None)
             if kind and share > best.get((doc, item), (0.0, ""))[0]:
                 best[doc, item] = share, kind
         for (doc, item), (share, kind) in sorted(best.items()):

@@ -34,8 +34,9 @@ def _count(bits: int, between: np.ndarray):
             docs += batch.num_rows
             for _, words, counts in lower_words(strings(batch.column("text")), between):
                 owner = np.repeat(np.arange(len(counts)), counts)
-                pairs = np.unique((owner << bits) | word_bins(words, bits))
-                total += np.bincount(pairs & ((1 << bits) - 1), minlength=1 << bits)
+                pairs = np.sort((owner << bits) | word_bins(words, bits))
+                once = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
+                total += np.bincount(once & ((1 << bits) - 1), minlength=1 << bits)
         rows = [{"part": -1, "bins": b"", "docs": pack(np.array([docs]))}]
         for p, held in enumerate(total.reshape(PARTS, -1)):
             bins = np.flatnonzero(held)

@@ -186,6 +186,32 @@ def test_common_subsequence():
         assert dec.common_subsequence(item.masks, len(a), b) == best[-1][-1]
 
 
+def test_regions_with_too_few_common_words_are_not_aligned(monkeypatch):
+    pick, aligned = random.Random(2), []
+    monkeypatch.setattr(dec, "common_subsequence", lambda *x, f=dec.common_subsequence: aligned.append(x) or f(*x))
+    item = dec.Item(0, np.arange(40, dtype=np.uint64))
+    idf, bins = np.ones(1 << dec.BIN_BITS, np.float32), np.array([0])  # all words in one bin: every passage is a candidate
+    index = dec.Index([item], bins, idf, np.ones((1, 1), np.float32))
+    far = np.array([*range(12), *range(100, 148)], np.uint64)
+    pick.shuffle(far)
+    assert list(index.leaks(far, np.array([len(far)]))) == [] and not aligned
+    near = np.array([*range(24), *range(100, 116)], np.uint64)
+    assert list(index.leaks(near, np.array([len(near)]))) == [(0, 0, 0.6, "copy")] and aligned
+    for n in range(1, 40):  # at the edge of a paraphrase too
+        item = dec.Item(0, np.arange(n, dtype=np.uint64))
+        for common in range(n + 1):
+            words = [*range(n - common, n), *range(100, 140)]
+            assert item.may_hold(words) or item.judge(words)[1] is None
+
+
+def test_sums_of_directions():
+    pick = np.random.default_rng(3)
+    index = object.__new__(dec.Index)
+    index.directions = pick.integers(-9, 9, (50, 7)).astype(np.float32)
+    rows, first = pick.integers(0, 50, 200), np.array([0, 1, 30, 31, 90, 199])
+    assert np.array_equal(index._sums(rows, first), np.add.reduceat(index.directions[rows], first, axis=0))
+
+
 # ---- toxicity ------------------------------------------------------------------
 
 
