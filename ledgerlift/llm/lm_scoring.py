@@ -34,6 +34,7 @@ ORDERS = (2, 3, 5)
 CONTEXT_BITS = 15
 CONTEXTS = 1 << CONTEXT_BITS
 SEGMENT = 512
+STEPS = 64  # bits of each segment that are mixed before the next are fetched
 SIDE_BY_SIDE = 2 << 20  # bytes of text mixed at a time
 TRUST, RECORD = 0.9, 10  # first weight of a word's share, and the tokens it stands for
 BLOCK_DOCS = 1024
@@ -47,28 +48,28 @@ STRETCH_STEP = 1 / 16  # log-odds are kept in signed bytes: -8 to 8
 # ---- contexts and counts -------------------------------------------------------
 
 
+def lower_spans(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased bytes, starts and ends of the words, words per text)."""
+    buf, offsets = bytes_of(texts)
+    return LOWER[buf], *word_spans(buf, offsets)
+
+
 def coded_bytes(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, text edges, token edges, word hashes, words per text).
 
     A text becomes its lower-cased words, each ended by one space, and an end. Its
     tokens are the words with their space, then the end.
     """
-    buf, offsets = bytes_of(texts)
-    starts, ends, counts = word_spans(buf, offsets)
-    low = LOWER[buf]
+    buf, starts, ends, counts = lower_spans(texts)
     sizes = np.insert(ends - starts + 1, np.cumsum(counts), 1)  # an end after the words of each text
     tokens = np.r_[0, np.cumsum(sizes)]
     edges = tokens[np.r_[0, np.cumsum(counts + 1)]]
+    inside = np.ones(edges[-1], bool)
+    inside[tokens[1:] - 1] = False
     out = np.full(edges[-1], 32, np.uint8)
     out[edges[1:] - 1] = END
-    inside = np.zeros(len(out) + 1, np.int8)
-    is_word = np.ones(len(sizes), bool)
-    is_word[np.cumsum(counts + 1) - 1] = False
-    first = tokens[:-1][is_word]
-    np.add.at(inside, first, 1)
-    np.subtract.at(inside, first + (ends - starts), 1)
-    out[np.cumsum(inside[:-1]) > 0] = low[~SPACE[buf]]
-    return out, edges, tokens, word_hashes(low, starts, ends), counts
+    out[inside] = buf[~SPACE[buf]]
+    return out, edges, tokens, word_hashes(buf, starts, ends), counts
 
 
 def contexts(data: np.ndarray, edges: np.ndarray):
@@ -191,10 +192,13 @@ class Model:
 
     def token_logs(self, data: np.ndarray, edges: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Natural log-probability of each token by its spelling."""
-        lengths, flats = zip(*self._segments(data, edges))
-        loss = self._mix(np.concatenate(lengths), np.concatenate(flats))
+        parts = list(self._segments(data, edges))
+        length, needs = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+        parts.clear()
+        loss = self._mix(length, needs)
+        del needs
         bits = np.r_[0, np.cumsum(self.sizes[data])]
-        return np.add.reduceat(loss, bits[tokens[:-1]], dtype=np.float64)
+        return np.add.reduceat(loss.astype(np.float64), bits[tokens[:-1]])
 
     def _segments(self, data: np.ndarray, edges: np.ndarray):
         """(bits, what each bit needs) of the segments, about a megabyte at a time."""
@@ -207,53 +211,73 @@ class Model:
         gate = np.zeros(len(data), bool)  # after white space, and at the start
         gate[1:] = data[:-1] <= 32
         gate[edges[:-1]] = True
-        slots = list(contexts(data, edges))
-        for a in range(0, len(start), 2048):
-            b = min(a + 2048, len(start))
+        slots = [slot.astype(np.intp) << 8 for slot in contexts(data, edges)]
+        for a in range(0, len(start), 128):
+            b = min(a + 128, len(start))
             lo, hi = start[a], stop[b - 1]
             sizes = self.sizes[data[lo:hi]]
             ends = np.cumsum(sizes)
-            of = np.repeat(np.arange(lo, hi, dtype=np.int32), sizes)
-            step = np.arange(len(of), dtype=np.int32) + np.repeat((self.starts[data[lo:hi]] - (ends - sizes)).astype(np.int32), sizes)
+            of = np.repeat(np.arange(hi - lo), sizes)
+            step = np.arange(len(of)) + (self.starts[data[lo:hi]] - (ends - sizes))[of]
             node = self.nodes[step]
             needs = np.empty((len(of), 4), np.int8)  # three log-odds and two flags, gathered as one number later
             for k, (t, slot) in enumerate(zip(self.tables, slots)):
-                needs[:, k] = t.reshape(-1)[(slot[of].astype(np.int32) << 8) | node]
-            needs[:, 3] = self.bits[step] + 2 * gate[of]
+                needs[:, k] = t.reshape(-1)[slot[lo:hi][of] | node]
+            needs[:, 3] = self.bits[step] + 2 * gate[lo:hi][of]
             bits = np.r_[0, ends][stop[a:b] - lo] - np.r_[0, ends][start[a:b] - lo]
             yield bits, needs
 
     @staticmethod
     def _mix(length: np.ndarray, needs: np.ndarray) -> np.ndarray:
-        """Natural log-probability of every bit."""
+        """Natural log-probability of every bit.
+
+        Segments advance bit by bit, side by side. Their bits are turned from segment
+        order to step order and back in runs of STEPS, as a step alone would touch one
+        page of memory per segment.
+        """
         needs = needs.view(np.uint32).reshape(-1)
         first = np.cumsum(length) - length
         by_length = np.argsort(-length, kind="stable")
         first, length = first[by_length], length[by_length]
         n, one = len(first), np.float32(1)
-        weight = [np.full(n, w * STRETCH_STEP, np.float32) for w in FIRST_WEIGHTS]
-        extra = [np.zeros(n, np.float32) for _ in FIRST_WEIGHTS]
-        bias, loss = np.zeros(n, np.float32), np.empty(len(needs), np.float32)
-        active = np.searchsorted(-length, -np.arange(length[0]), "left")  # segments longer than t
-        for t, m in enumerate(active.tolist()):
-            at = first[:m] + t
-            *s, flags = needs[at].view(np.int8).reshape(m, 4).T.astype(np.float32)
-            g = flags >= 2
-            b = flags - 2 * g
-            dot = bias[:m].copy()
-            for x, w, e in zip(s, weight, extra):
-                dot += x * (w[:m] + g * e[:m])
-            np.minimum(np.maximum(dot, -12, out=dot), 12, out=dot)
-            err = b - one / (one + np.exp(-dot))
-            loss[at] = np.log(one - np.abs(err))
-            bias[:m] += err * BIAS_RATE
-            err *= RATE
-            for x, w, e in zip(s, weight, extra):
-                x *= err
-                w[:m] += x
+        weight = np.repeat(FIRST_WEIGHTS[:, None] * np.float32(STRETCH_STEP), n, axis=1)
+        extra, bias = np.zeros_like(weight), np.zeros(n, np.float32)
+        loss = np.empty(len(needs) + 1, np.float32)  # the last place takes what is no bit
+        active = np.searchsorted(-length, -np.arange(length[0]), "left").tolist()  # segments longer than t
+        for low in range(0, len(active), STEPS):
+            run = active[low : low + STEPS]
+            most = run[0]
+            places = first[:most, None] + np.arange(low, low + len(run))
+            if run[-1] < most:
+                places[np.arange(low, low + len(run)) >= length[:most, None]] = len(needs)
+            fetched = needs.take(places, mode="clip").view(np.int8).reshape(most, len(run), 4)
+            stretched = np.ascontiguousarray(fetched[:, :, :3].transpose(1, 2, 0)).astype(np.float32)
+            flags = np.ascontiguousarray(fetched[:, :, 3].T)
+            gates = (flags >= 2).astype(np.float32)
+            signs = ((flags & 1) * 2 - 1).astype(np.float32)
+            odds = np.ones((len(run), most), np.float32)  # one over the probability of the bit
+            for t, m in enumerate(run):
+                x, g, sign = stretched[t, :, :m], gates[t, :m], signs[t, :m]
+                w = extra[:, :m] * g
+                w += weight[:, :m]
+                w *= x
+                dot = bias[:m] + w[0]
+                dot += w[1]
+                dot += w[2]
+                np.minimum(np.maximum(dot, -12, out=dot), 12, out=dot)
+                dot *= sign
+                against = np.exp(np.negative(dot, out=dot), out=dot)
+                whole = np.add(against, one, out=odds[t, :m])
+                against /= whole
+                against *= sign
+                bias[:m] += against * BIAS_RATE
+                against *= RATE
+                x *= against
+                weight[:, :m] += x
                 x *= g
-                e[:m] += x
-        return loss
+                extra[:, :m] += x
+            loss[places] = -np.log(odds).T
+        return loss[:-1]
 
 
 def refined(spelled: np.ndarray, share: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -281,8 +305,8 @@ def _word_asks(shards: int):
         keys, weights = [], []
         texts = strings(docs.column("text"))
         for low, high in slices(texts):
-            *_, words, counts = coded_bytes(texts.slice(low, high - low))
-            part, place = np.unique(words, return_inverse=True)
+            buf, starts, ends, counts = lower_spans(texts.slice(low, high - low))
+            part, place = np.unique(word_hashes(buf, starts, ends), return_inverse=True)
             keys.append(part)
             weights.append(np.bincount(place, np.repeat(learn[low:high], counts), len(part)))
         if not keys:

@@ -9,11 +9,12 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe as bpe_module
+from ledgerlift.llm import bpe as bpe_module, lm_scoring as lm
 from ledgerlift.llm.bpe import bpe
 from ledgerlift.llm.common import crc_mod, table
 from ledgerlift.llm.line_dedup import PAIR, build_index, line_dedup, line_key, probe_index
@@ -179,6 +180,35 @@ def test_lm_scores(spark):
 
 
 @mounted
+@pytest.mark.parametrize("steps", [1, 7, 64, 5000])
+def test_lm_mixing_in_runs_of_steps(monkeypatch, steps):
+    """Every bit costs what a plain loop over its segment says, however many steps are fetched at once."""
+    monkeypatch.setattr(lm, "STEPS", steps)
+
+    def texts(*x):
+        return pa.array([t.encode() for t in x], pa.large_binary())
+
+    train = pa.RecordBatch.from_arrays([texts("the cat sat on the mat " * 40, "a dog ran off " * 30)], ["text"])
+    model = lm.Model([r for x in lm._count_bytes([train]) for r in x.to_pylist()])
+    data, edges, tokens, *_ = lm.coded_bytes(texts("the cat sat on the mat " * 30, "ZZ \U0001f600 \u00e9 " * 15 + "the cat", "", "qq cat "))
+    lengths, needs = (np.concatenate(x) for x in zip(*model._segments(data, edges)))
+    want, at = [], 0
+    for n in lengths:
+        w, extra, bias = lm.FIRST_WEIGHTS.astype(float) * lm.STRETCH_STEP, np.zeros(3), 0.0
+        for *s, flags in needs[at : at + n].astype(float):
+            s, bit, gate = np.array(s), flags % 2, flags // 2
+            dot = np.clip(bias + s @ (w + gate * extra), -12, 12)
+            err = bit - 1 / (1 + np.exp(-dot))
+            want.append(-np.log1p(np.exp(-dot if bit else dot)))
+            bias += err * float(lm.BIAS_RATE)
+            w, extra = w + s * err * float(lm.RATE), extra + gate * s * err * float(lm.RATE)
+        at += n
+    assert len(set(lengths)) > 3 and max(lengths) > 2 * 64
+    assert np.allclose(model._mix(lengths, needs), want, rtol=0, atol=1e-4)
+    bits = np.r_[0, np.cumsum(model.sizes[data])]
+    assert np.allclose(model.token_logs(data, edges, tokens), np.add.reduceat(want, bits[tokens[:-1]]), rtol=0, atol=1e-3)
+
+
 def test_token_counts_query(spark):
     path, pattern = vocabulary()
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe_module.load_ranks(path), special_tokens={})
