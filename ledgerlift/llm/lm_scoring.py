@@ -175,8 +175,10 @@ class Model:
             if r["ord"] == 0:
                 np.add.at(frequency, np.frombuffer(r["cells"], np.int32) & 255, np.frombuffer(r["counts"], np.int64))
         self.tokens = int(frequency[32] + frequency[END])  # a space or an end closes each
-        order, nodes, self.sizes, self.nodes, self.bits = code_tree(frequency)
+        order, nodes, self.sizes, path_nodes, path_bits = code_tree(frequency)
         self.starts = np.cumsum(self.sizes) - self.sizes
+        paths = np.r_[path_nodes + 256 * path_bits.astype(np.uint16), np.zeros(STEPS, np.uint16)]  # zeros for what fills a run
+        self.paths, self.gated = np.r_[paths, paths + np.uint16(512)], len(paths)  # node, and above it bit and gate
         low, middle, high = (np.array(x) for x in zip(*nodes))
         size = CONTEXTS // PARTS
         self.tables = np.zeros((len(ORDERS), CONTEXTS, 256), np.int8)
@@ -192,70 +194,75 @@ class Model:
 
     def token_logs(self, data: np.ndarray, edges: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Natural log-probability of each token by its spelling."""
-        parts = list(self._segments(data, edges))
-        length, needs = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
-        parts.clear()
-        loss = self._mix(length, needs)
-        del needs
-        bits = np.r_[0, np.cumsum(self.sizes[data])]
-        return np.add.reduceat(loss.astype(np.float64), bits[tokens[:-1]])
-
-    def _segments(self, data: np.ndarray, edges: np.ndarray):
-        """(bits, what each bit needs) of the segments, about a megabyte at a time."""
+        start, stop, bits, sizes = self._cut(data, edges)
+        loss = self._mix(bits, np.concatenate(list(self._needs(data, edges, start, stop, sizes))))
+        starts = np.cumsum(sizes) - sizes
+        return np.add.reduceat(loss, starts[tokens[:-1]], dtype=np.float64)
+
+    def _cut(self, data: np.ndarray, edges: np.ndarray):
+        """(starts, stops, bits) of the segments, and the places of each byte; a segment's last fills its last run of STEPS."""
         lengths = np.diff(edges)
         pieces = -(-lengths // SEGMENT)
         owner = np.repeat(np.arange(len(lengths)), pieces)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = edges[:-1][owner] + within * SEGMENT
         stop = np.minimum(start + SEGMENT, edges[1:][owner])
+        sizes = self.sizes[data]
+        bits = np.add.reduceat(sizes, start)
+        sizes[stop - 1] += -bits % STEPS
+        return start, stop, bits, sizes
+
+    def _needs(self, data: np.ndarray, edges: np.ndarray, start: np.ndarray, stop: np.ndarray, sizes: np.ndarray):
+        """What each bit needs, some segments at a time."""
         gate = np.zeros(len(data), bool)  # after white space, and at the start
         gate[1:] = data[:-1] <= 32
         gate[edges[:-1]] = True
+        begin = self.starts[data] + gate * self.gated
         slots = [slot.astype(np.intp) << 8 for slot in contexts(data, edges)]
-        for a in range(0, len(start), 128):
-            b = min(a + 128, len(start))
-            lo, hi = start[a], stop[b - 1]
-            sizes = self.sizes[data[lo:hi]]
-            ends = np.cumsum(sizes)
-            of = np.repeat(np.arange(hi - lo), sizes)
-            step = np.arange(len(of)) + (self.starts[data[lo:hi]] - (ends - sizes))[of]
-            node = self.nodes[step]
+        for a in range(0, len(start), 32):
+            lo, hi = start[a], stop[min(a + 32, len(start)) - 1]
+            size = sizes[lo:hi]
+            of = np.repeat(np.arange(hi - lo), size)
+            step = (begin[lo:hi] - (np.cumsum(size) - size)).take(of, mode="clip")
+            step += np.arange(len(of))
+            path = self.paths.take(step, mode="clip")
+            node = (path & np.uint16(255)).astype(np.intp)
             needs = np.empty((len(of), 4), np.int8)  # three log-odds and two flags, gathered as one number later
             for k, (t, slot) in enumerate(zip(self.tables, slots)):
-                needs[:, k] = t.reshape(-1)[slot[lo:hi][of] | node]
-            needs[:, 3] = self.bits[step] + 2 * gate[lo:hi][of]
-            bits = np.r_[0, ends][stop[a:b] - lo] - np.r_[0, ends][start[a:b] - lo]
-            yield bits, needs
+                cell = slot[lo:hi].take(of, mode="clip")
+                cell |= node
+                needs[:, k] = t.reshape(-1).take(cell, mode="clip")
+            needs[:, 3] = path >> np.uint16(8)
+            yield needs
 
     @staticmethod
     def _mix(length: np.ndarray, needs: np.ndarray) -> np.ndarray:
-        """Natural log-probability of every bit.
+        """Natural log-probability of every bit, 0 for what fills the last run of a segment.
 
         Segments advance bit by bit, side by side. Their bits are turned from segment
         order to step order and back in runs of STEPS, as a step alone would touch one
         page of memory per segment.
         """
-        needs = needs.view(np.uint32).reshape(-1)
-        first = np.cumsum(length) - length
+        needs = needs.view(np.uint32).reshape(-1, STEPS)
+        runs = -(-length // STEPS)
+        first = np.cumsum(runs) - runs
         by_length = np.argsort(-length, kind="stable")
         first, length = first[by_length], length[by_length]
         n, one = len(first), np.float32(1)
         weight = np.repeat(FIRST_WEIGHTS[:, None] * np.float32(STRETCH_STEP), n, axis=1)
         extra, bias = np.zeros_like(weight), np.zeros(n, np.float32)
-        loss = np.empty(len(needs) + 1, np.float32)  # the last place takes what is no bit
+        loss = np.empty(needs.shape, np.float32)
         active = np.searchsorted(-length, -np.arange(length[0]), "left").tolist()  # segments longer than t
         for low in range(0, len(active), STEPS):
             run = active[low : low + STEPS]
             most = run[0]
-            places = first[:most, None] + np.arange(low, low + len(run))
-            if run[-1] < most:
-                places[np.arange(low, low + len(run)) >= length[:most, None]] = len(needs)
-            fetched = needs.take(places, mode="clip").view(np.int8).reshape(most, len(run), 4)
-            stretched = np.ascontiguousarray(fetched[:, :, :3].transpose(1, 2, 0)).astype(np.float32)
-            flags = np.ascontiguousarray(fetched[:, :, 3].T)
+            rows = first[:most] + low // STEPS
+            fetched = np.ascontiguousarray(needs[rows].T).view(np.int8).reshape(STEPS, most, 4)
+            stretched = fetched[:, :, :3].transpose(0, 2, 1).astype(np.float32, order="C")
+            flags = np.ascontiguousarray(fetched[:, :, 3])
             gates = (flags >= 2).astype(np.float32)
             signs = ((flags & 1) * 2 - 1).astype(np.float32)
-            odds = np.ones((len(run), most), np.float32)  # one over the probability of the bit
+            odds = np.ones((STEPS, most), np.float32)  # one over the probability of the bit
             for t, m in enumerate(run):
                 x, g, sign = stretched[t, :, :m], gates[t, :m], signs[t, :m]
                 w = extra[:, :m] * g
@@ -276,8 +283,8 @@ class Model:
                 weight[:, :m] += x
                 x *= g
                 extra[:, :m] += x
-            loss[places] = -np.log(odds).T
-        return loss[:-1]
+            loss[rows] = np.ascontiguousarray(-np.log(odds).T)
+        return loss.reshape(-1)
 
 
 def refined(spelled: np.ndarray, share: np.ndarray, tokens: np.ndarray) -> np.ndarray:

@@ -191,7 +191,8 @@ def test_lm_mixing_in_runs_of_steps(monkeypatch, steps):
     train = pa.RecordBatch.from_arrays([texts("the cat sat on the mat " * 40, "a dog ran off " * 30)], ["text"])
     model = lm.Model([r for x in lm._count_bytes([train]) for r in x.to_pylist()])
     data, edges, tokens, *_ = lm.coded_bytes(texts("the cat sat on the mat " * 30, "ZZ \U0001f600 \u00e9 " * 15 + "the cat", "", "qq cat "))
-    lengths, needs = (np.concatenate(x) for x in zip(*model._segments(data, edges)))
+    start, stop, lengths, sizes = model._cut(data, edges)
+    needs = np.concatenate(list(model._needs(data, edges, start, stop, sizes)))
     want, at = [], 0
     for n in lengths:
         w, extra, bias = lm.FIRST_WEIGHTS.astype(float) * lm.STRETCH_STEP, np.zeros(3), 0.0
@@ -202,10 +203,11 @@ def test_lm_mixing_in_runs_of_steps(monkeypatch, steps):
             want.append(-np.log1p(np.exp(-dot if bit else dot)))
             bias += err * float(lm.BIAS_RATE)
             w, extra = w + s * err * float(lm.RATE), extra + gate * s * err * float(lm.RATE)
-        at += n
-    assert len(set(lengths)) > 3 and max(lengths) > 2 * 64
+        at += -(-n // steps) * steps
+        want += [0.0] * (at - len(want))
+    assert len(set(lengths)) > 3 and max(lengths) > 2 * 64 and lengths.sum() == model.sizes[data].sum()
     assert np.allclose(model._mix(lengths, needs), want, rtol=0, atol=1e-4)
-    bits = np.r_[0, np.cumsum(model.sizes[data])]
+    bits = np.cumsum(sizes) - sizes
     assert np.allclose(model.token_logs(data, edges, tokens), np.add.reduceat(want, bits[tokens[:-1]]), rtol=0, atol=1e-3)
 
 
