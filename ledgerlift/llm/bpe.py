@@ -160,17 +160,19 @@ def _number_pieces(byte_ids: list[int]):
                 fresh = len(seen) > MOST_PIECES
                 if fresh:
                     seen.clear()
-                words, long, numbers = [], [], np.empty(len(found.dictionary), np.int32)
+                short, sizes, long, numbers = [], [], [], np.empty(len(found.dictionary), np.int32)
                 for i, word in enumerate(found.dictionary.to_pylist()):
                     number = seen.get(word)
                     if number is None:
                         number = seen[word] = len(seen)
-                        if len(word) > FOLD_BYTES:
-                            words.append(None)
-                            long.append(word)
-                        else:
-                            words.append(to_ids[np.frombuffer(word, np.uint8)])
+                        sizes.append(len(word))
+                        (short if len(word) <= FOLD_BYTES else long).append(word)
                     numbers[i] = number
+                sizes = np.array(sizes, np.int32)
+                is_long = sizes > FOLD_BYTES
+                ends = np.cumsum(np.where(is_long, 0, sizes), dtype=np.int32)
+                ids = to_ids[np.frombuffer(bytearray().join(short), np.uint8)]
+                words = pa.ListArray.from_arrays(np.r_[np.int32(0), ends], ids, mask=pa.array(is_long))
                 codes = numbers[found.indices.to_numpy()] if len(found) else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -178,7 +180,7 @@ def _number_pieces(byte_ids: list[int]):
                         pa.array([counts], LIST.field("counts").type),
                         pa.array([codes.tobytes()], pa.binary()),
                         pa.array([fresh]),
-                        pa.array([words], LIST.field("words").type),
+                        pa.ListArray.from_arrays(np.array([0, len(words)], np.int32), words),
                         pa.array([long], LIST.field("long").type),
                     ],
                     schema=LIST,

@@ -142,6 +142,27 @@ def test_bpe_matches_the_tokenizer_library(spark):
         assert bpe_module.heap_merges(word, ranks) == encoding._encode_single_piece(word)
 
 
+def test_new_pieces_are_listed_in_bulk(monkeypatch):
+    """One array per list of new pieces: no conversion per piece; long pieces go apart."""
+    import numpy
+
+    calls = []
+    monkeypatch.setattr(bpe_module.np, "frombuffer", lambda *x, f=numpy.frombuffer: calls.append(x) or f(*x))
+    pieces = [[f"w{i}" for i in range(50)] + ["x" * 70, "w1"], None, [], ["w1", "y" * 64, "z" * 65]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(pieces, pa.list_(pa.string()))], ["doc_id", "pieces"])
+    run = bpe_module._number_pieces(list(range(256)))
+    (listed,) = run([batch])
+    row = listed.to_pylist()[0]
+    flat = [w for x in pieces for w in x or []]
+    distinct = list(dict.fromkeys(flat))
+    assert row["words"] == [None if len(w) > 64 else list(w.encode()) for w in distinct]
+    assert row["long"] == [w.encode() for w in distinct if len(w) > 64] and row["counts"] == [52, 0, 0, 3]
+    assert numpy.array(row["codes"] and memoryview(row["codes"]).cast("i")).tolist() == [distinct.index(w) for w in flat]
+    assert len(calls) == 1
+    (none,) = run([batch.slice(1, 2)])
+    assert none.to_pylist()[0]["words"] == [] and none.to_pylist()[0]["counts"] == [0, 0]
+
+
 def test_token_counts(spark):
     lengths = [0, 0, 3, 3, 3, 1023, 1024, 5000, 5000, None]
     got = {r.context_limit: r for r in token_counts(spark.createDataFrame([(x, "c") for x in lengths], "n_tokens long, docs string")).collect()}
