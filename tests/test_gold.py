@@ -178,6 +178,36 @@ def test_star_and_facts(spark):
     assert gold.exchange_rate_fact(quotes, dims["currency"], T1).count() == 4
 
 
+def test_names_that_an_id_decides_take_no_part_in_the_numbering(spark):
+    payables, receivables, customers, categories, quotes = inputs(spark)
+    dims = {
+        "date": gold.date_dim(gold.date_range(payables, receivables)),
+        "currency": gold.currency_dim(quotes, customers),
+        "customer": gold.customer_dim(customers, T1),
+        "account": gold.account_dim(gold.category_dim(categories)),
+    }
+    enriched = gold.enrich(payables, receivables, customers, categories, quotes, dims=dims)
+    plan = gold.transaction_fact(enriched, T1)._jdf.queryExecution().optimizedPlan().toString()
+    numbering = [line for line in plan.splitlines() if "row_number()" in line and "Window [" in line and "id_conta" in line]
+    assert len(numbering) == 1 and "id_cliente" in numbering[0] and not any(f"{c}#" in numbering[0] for c in gold.DECIDED)
+
+
+def test_column_profile_counts_numbers_as_they_are(spark, rows):
+    numbers = spark.createDataFrame(
+        [(1, 0.0, date(2024, 1, 1)), (1, -0.0, None), (None, float("nan"), date(2024, 1, 2)), (3, float("nan"), date(2024, 1, 2))],
+        "n int, x double, d date",
+    )
+    texts = spark.createDataFrame([("a", [1, None]), ("a", [1]), (None, [1, None]), ("", None)], "t string, a array<int>")
+    profile = insights.table_columns({"numbers": numbers, "texts": texts, "none": numbers.filter("false")})
+    assert rows(profile.filter("tabela <> 'none'"), "tabela", "posicao", "coluna", "tipo", "preenchidas", "distintas") == [
+        ("numbers", 1, "n", "int", 3, 2), ("numbers", 2, "x", "double", 4, 2), ("numbers", 3, "d", "date", 3, 2),
+        ("texts", 1, "t", "string", 3, 2), ("texts", 2, "a", "array<int>", 3, 2),
+    ]
+    assert rows(profile.filter("tabela = 'none'"), "coluna", "preenchidas", "distintas") == [("d", 0, 0), ("n", 0, 0), ("x", 0, 0)]
+    plan = insights.table_columns({"numbers": numbers})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "xxhash64" not in plan
+
+
 def test_calendar_keys_and_the_declared_span(spark):
     def booked(*days):
         return spark.createDataFrame([(d, None) for d in days], "data_vencimento date, data_pagamento date")

@@ -56,6 +56,18 @@ def test_many_repeats_meet_in_one_shuffle(spark, rows, monkeypatch):
         assert [(k, str(n), t) for k, n, t in rows(got)] == [(k, str(n), t) for k, n, t in wanted]
 
 
+def test_many_repeats_without_a_hot_key_are_sorted_once(spark, rows, monkeypatch):
+    data = [(f"k{i % 300}", [None, 1.5, float("nan"), -1.0][i % 4], None if i % 5 else f"t{i % 7}") for i in range(2_000)]
+    df = spark.createDataFrame(data, "k string, n double, t string").repartition(5)
+    aggregated = [rows(keep(df, ["k"])) for keep in (keep_least, keep_greatest)]
+    monkeypatch.setattr("ledgerlift.operators.dedup.BROADCAST_ROWS", 0)
+    for keep, wanted in zip((keep_least, keep_greatest), aggregated):
+        got = keep(df, ["k"])
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("hashpartitioning(k") == 1 and plan.count("Sort [") == 1 and "WindowGroupLimit" not in plan
+        assert [(k, str(n), t) for k, n, t in rows(got)] == [(k, str(n), t) for k, n, t in wanted]
+
+
 def test_fingerprints_tell_nulls_apart(spark):
     data = [(None, "a", [1]), ("a", None, [1]), (None, None, [1]), ("a", "a", [1]), ("", "a", [1]), ("a", "a", [1, None]), ("a", "a", None)]
     df = spark.createDataFrame(data + data, "x string, y string, z array<int>")
